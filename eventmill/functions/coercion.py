@@ -1,8 +1,14 @@
-"""Reading JSON fields from a VARIANT column, leniently or strictly."""
+"""Reading JSON fields from VARIANT columns, leniently or strictly.
+
+A field is first read as two plain columns, its text and its kind (:func:`add_scalars`); the
+coercions then work on those, so that a document is parsed and searched once per field.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 INT_MIN, INT_MAX = -2147483648, 2147483647
@@ -19,26 +25,50 @@ def field(doc: Column, path: str) -> Column:
 
 
 def json_kind(node: Column) -> Column:
-    """Leading type word of a VARIANT: OBJECT, ARRAY, STRING, BIGINT, DECIMAL, DOUBLE, ..."""
-    return F.regexp_extract(F.schema_of_variant(node), r"^[A-Z]+", 0)
+    """Type word of a VARIANT: OBJECT, ARRAY, STRING, BIGINT, DECIMAL, DOUBLE, BOOLEAN, VOID.
+
+    NULL for a missing node; VOID is JSON null.
+    """
+    return F.substring_index(F.substring_index(F.schema_of_variant(node), "<", 1), "(", 1)
+
+
+def once(df: DataFrame, *computed: Column) -> DataFrame:
+    """Add columns that are computed once per row, whatever is filtered on them later.
+
+    A filter on a plain computed column is moved below the projection and computes it a
+    second time, which for parsed JSON doubles the work. The columns go through a one-row
+    ``inline``, which filters are not moved across.
+    """
+    packed = df.select("*", F.struct(*computed).alias("_once"))
+    return packed.select(*df.columns, F.inline(F.array("_once")))
+
+
+def add_scalars(df: DataFrame, doc: str, paths: Mapping[str, str]) -> DataFrame:
+    """Add ``<name>_text`` and ``<name>_kind`` for each path in the VARIANT column ``doc``."""
+    added = []
+    for name, path in paths.items():
+        added.append(F.try_variant_get(F.col(doc), path, "string").alias(f"{name}_text"))
+        added.append(json_kind(field(F.col(doc), path)).alias(f"{name}_kind"))
+    return once(df, *added)
+
 
+def _parts(name: str) -> tuple[Column, Column]:
+    return F.col(f"{name}_text"), F.col(f"{name}_kind")
 
-def lenient_text(doc: Column, path: str) -> Column:
+
+def lenient_text(name: str) -> Column:
     """Field as text: missing or nested gives '', JSON null gives 'null'."""
-    text = F.try_variant_get(doc, path, "string")
-    nested = json_kind(field(doc, path)).isin("OBJECT", "ARRAY")
-    return F.coalesce(
-        # Only text that looks like a container can be one, so the type is rarely asked for.
-        F.when(text.rlike(r"^[\[{]") & nested, F.lit("")).otherwise(text),
-        F.when(F.is_variant_null(field(doc, path)), F.lit("null")),
-        F.lit(""),
+    text, kind = _parts(name)
+    return (
+        F.when(kind.isNull() | kind.isin("OBJECT", "ARRAY"), "")
+        .when(kind == "VOID", "null")
+        .otherwise(text)
     )
 
 
 def _clamped_int(number: Column) -> Column:
     return (
-        F.when(F.isnan(number), F.lit(0))
-        .when(number >= INT_MAX, F.lit(INT_MAX))
+        F.when(number >= INT_MAX, F.lit(INT_MAX))
         .when(number <= INT_MIN, F.lit(INT_MIN))
         .otherwise(number.try_cast("int"))
     )
@@ -49,34 +79,29 @@ def _low_32_bits(number: Column) -> Column:
     return F.when(low > INT_MAX, low - F.lit(4294967296).cast("bigint")).otherwise(low).cast("int")
 
 
-def lenient_int(doc: Column, path: str) -> Column:
+def lenient_int(name: str) -> Column:
     """Field as INT: missing, null or not numeric gives 0; fractions are cut off.
 
-    JSON integers too large for INT keep their low 32 bits, digit strings too
-    large give 0, and larger fractions saturate.
+    JSON integers too large for INT keep their low 32 bits, digit strings too large give 0,
+    and larger fractions saturate.
     """
-    text = F.try_variant_get(doc, path, "string")
-    kind = json_kind(field(doc, path))
+    text, kind = _parts(name)
+    whole = text.rlike(r"^\s*[+-]?[0-9]+\s*$")
     return F.coalesce(
         text.try_cast("int"),
-        F.when((text == "true") & (kind == "BOOLEAN"), F.lit(1)),
-        F.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$") & (kind == "STRING"), F.lit(0)),
-        F.when(
-            text.rlike(r"^-?[0-9]+$") & (kind == "BIGINT"),
-            _low_32_bits(text.try_cast("bigint")),
-        ),
-        _clamped_int(text.try_cast("double")),
+        F.when(kind == "BOOLEAN", (text == "true").cast("int")),
+        F.when(kind == "BIGINT", _low_32_bits(text.try_cast("bigint"))),
+        F.when(~((kind == "STRING") & whole), _clamped_int(text.try_cast("double"))),
         F.lit(0),
     )
 
 
-def lenient_double(doc: Column, path: str) -> Column:
+def lenient_double(name: str) -> Column:
     """Field as DOUBLE: missing, null or not numeric gives 0.0."""
-    text = F.try_variant_get(doc, path, "string")
-    kind = json_kind(field(doc, path))
+    text, kind = _parts(name)
     return F.coalesce(
         text.try_cast("double"),
-        F.when((text == "true") & (kind == "BOOLEAN"), F.lit(1.0)),
+        F.when(kind == "BOOLEAN", (text == "true").cast("int").cast("double")),
         F.lit(0.0),
     )
 
@@ -89,26 +114,25 @@ def any_case_field(doc: Column, name: str) -> Column:
     return F.coalesce(exact, F.try_element_at(matching, F.lit(-1))["value"])
 
 
-def absent(node: Column) -> Column:
-    """True where a strict reader leaves the zero value: field missing or JSON null."""
-    return node.isNull() | F.is_variant_null(node)
+# JSON kinds a strict reader accepts per target type. Absent fields and JSON null leave the
+# zero value and are accepted too.
+STRICT_KINDS = {
+    "string": ["STRING", "VOID"],
+    "int": ["BIGINT", "VOID"],
+    "double": ["BIGINT", "DECIMAL", "DOUBLE", "VOID"],
+}
 
 
-def strict_ok(node: Column, kind: str) -> Column:
-    """True where ``node`` is absent or holds exactly the JSON type a strict reader accepts."""
-    accepted = {
-        "string": ["STRING"],
-        "int": ["BIGINT"],
-        "double": ["BIGINT", "DECIMAL", "DOUBLE"],
-    }[kind]
-    return absent(node) | F.coalesce(json_kind(node).isin(accepted), F.lit(False))
+def strict_ok(kind: Column, target: str) -> Column:
+    """True where a field of this JSON kind can be read strictly as ``target``."""
+    return kind.isNull() | kind.isin(STRICT_KINDS[target])
 
 
-def strict_value(node: Column, kind: str) -> Column:
+def strict_value(node: Column, target: str) -> Column:
     """Typed value of a field that passed :func:`strict_ok`; absent gives the zero value."""
     spark_type, zero = {
         "string": ("string", F.lit("")),
         "int": ("bigint", F.lit(0).cast("bigint")),
         "double": ("double", F.lit(0.0)),
-    }[kind]
+    }[target]
     return F.coalesce(F.try_variant_get(node, "$", spark_type), zero)

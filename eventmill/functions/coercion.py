@@ -49,7 +49,7 @@ def add_scalars(df: DataFrame, doc: str, paths: Mapping[str, str]) -> DataFrame:
     for name, path in paths.items():
         added.append(F.try_variant_get(F.col(doc), path, "string").alias(f"{name}_text"))
         added.append(json_kind(field(F.col(doc), path)).alias(f"{name}_kind"))
-    return once(df, *added)
+    return df.select("*", *added)
 
 
 def _parts(name: str) -> tuple[Column, Column]:

@@ -91,6 +91,11 @@ def payload_fields(handled: Sequence[str]) -> dict[str, str]:
     return {name: kind for t in handled for name, kind in PAYLOAD_FIELDS[t]}
 
 
+def _type_has(field: str, handled: Sequence[str]) -> Column:
+    types = [t for t in handled if field in dict(PAYLOAD_FIELDS[t])]
+    return F.col("_type_name").isin(types)
+
+
 def _payload_error(event_type: str) -> Column:
     """Error of a payload of this type; the kinds were read into ``_kind_<field>``."""
     # An absent payload is an error, JSON null is not (it decodes to the zero struct).
@@ -128,6 +133,7 @@ def decode_strict(records: DataFrame, handled: Sequence[str] = (C.ORDER_CREATED,
         coercion.any_case_field(F.col("_doc"), "timestamp").alias("_time"),
         coercion.any_case_field(F.col("_doc"), "payload").alias("_payload"),
     )
+    envelope = envelope.withColumn("_type_name", coercion.strict_value(F.col("_type"), "string"))
     scalars = envelope.select(
         *raw,
         "_doc_kind",
@@ -136,7 +142,14 @@ def decode_strict(records: DataFrame, handled: Sequence[str] = (C.ORDER_CREATED,
         coercion.json_kind(F.col("_time")).alias("_time_kind"),
         F.try_variant_get(F.col("_time"), "$", "string").alias("_time_text"),
         coercion.json_kind(F.col("_payload")).alias("_payload_kind"),
-        *[coercion.any_case_field(F.col("_payload"), n).alias(f"_node_{n}") for n in fields],
+        # A field is looked for only where the type has it.
+        *[
+            F.when(
+                F.col("_payload").isNotNull() & _type_has(n, handled),
+                coercion.any_case_field(F.col("_payload"), n),
+            ).alias(f"_node_{n}")
+            for n in fields
+        ],
     )
     kinds = ["_doc_kind", "_payload_kind", "_time_kind", *[f"{c}_kind" for c in names]]
     typed = coercion.once(

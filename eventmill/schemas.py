@@ -1,31 +1,29 @@
-"""Schemas of topic records, payloads and tables."""
+"""Schemas of topic records, payloads and tables, as DDL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-TOPIC_RECORD = T.StructType.fromDDL(
+TOPIC_RECORD = (
     "key STRING, value STRING, topic STRING, partition INT, offset BIGINT, "
     "timestamp TIMESTAMP, headers ARRAY<STRUCT<key: STRING, value: BINARY>>"
 )
 
-ORDERS = T.StructType.fromDDL(
+ORDERS = (
     "id STRING, item STRING, quantity INT, status STRING, "
     "created_at TIMESTAMP, updated_at TIMESTAMP"
 )
-INVENTORY = T.StructType.fromDDL("item STRING, available_quantity INT")
-RESERVATIONS = T.StructType.fromDDL(
+INVENTORY = "item STRING, available_quantity INT"
+RESERVATIONS = (
     "order_id STRING, item STRING, quantity INT, created_at TIMESTAMP"
 )
-PAYMENTS = T.StructType.fromDDL(
+PAYMENTS = (
     "id STRING, order_id STRING, amount DOUBLE, status STRING, created_at TIMESTAMP"
 )
-OUTBOX = T.StructType.fromDDL(
+OUTBOX = (
     "seq BIGINT, event_id STRING, topic STRING, key STRING, value BINARY, "
     "created_at TIMESTAMP, published_at TIMESTAMP"
 )
-PROCESSED_EVENTS = T.StructType.fromDDL("event_id STRING, processed_at TIMESTAMP")
-PRICES = T.StructType.fromDDL("item STRING, price DOUBLE")
+PROCESSED_EVENTS = "event_id STRING, processed_at TIMESTAMP"
+PRICES = "item STRING, price DOUBLE"
 
 # Payload fields per event type, with the JSON type a strict reader requires.
 PAYLOAD_FIELDS: dict[str, list[tuple[str, str]]] = {

@@ -42,7 +42,7 @@ def stream_topic(
 def stream_files(
     spark: SparkSession,
     location: str,
-    schema: StructType,
+    schema: StructType | str,
     format: str = "parquet",
     **options: str,
 ) -> DataFrame:

@@ -68,7 +68,7 @@ def unpaid_orders_stream(
         f"AND o.event_time + INTERVAL {window}"
     )
     return left.join(right, on, "leftOuter").select(
-        F.col("o.key").alias("key"), "order_id", "item", "quantity", "payment_id", "amount"
+        "o.key", "o.order_id", "o.item", "o.quantity", "p.payment_id", "p.amount"
     )
 
 

@@ -11,6 +11,7 @@ from eventmill.operators import reliability
 from eventmill.plans import decoding, sql
 from eventmill.sources import driver_tables as tables
 
+HANDLED = decoding.HANDLED
 GROUP = "inventory-service"
 # "Now" of the retry and parking queries: a fixed moment inside the events' month.
 NOW = "2024-01-15 00:00:00"

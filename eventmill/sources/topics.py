@@ -15,7 +15,7 @@ from eventmill.schemas import TOPIC_RECORD
 
 # Upper bound on new data per micro-batch, so that a replay of a long history does not
 # become one huge batch.
-BATCH_BYTES = "64g"
+BATCH_BYTES = str(64 * 1024**3)
 
 
 def read_topic(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,9 +16,27 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Set the session options that results depend on: UTC and last-wins JSON keys."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if getattr(context, "_eventmill_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="run-"), "eventmill.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, files in os.walk(package):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._eventmill_shipped = True
+
+
 def is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventmill import constants as C
 from eventmill.functions import times
+from eventmill.streaming import processors
 from eventmill.streaming.processors import CountChanges, LateFilter, StockKeeper
 
+# The worker that prepares a stateful operator does not see files added to the session.
+cloudpickle.register_pickle_by_value(processors)
+
 
 def count_changes(orders: DataFrame) -> DataFrame:
     """Stream of ``seq, item, order_count``: one row per order."""

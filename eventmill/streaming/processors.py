@@ -3,6 +3,8 @@
 Rows of a key reach a processor in shuffle order, so each sorts its rows of the micro-batch
 by ``seq`` first. A row older than one handled in an earlier batch is applied as it comes.
 Micro-batches are bounded by the source, and so is what is sorted.
+
+The classes are sent to the workers by value, so they use nothing else of this package.
 """
 
 from __future__ import annotations
@@ -13,7 +15,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from eventmill import constants as C
+from eventmill.constants import (
+    INSUFFICIENT_STOCK,
+    INVENTORY_RELEASED,
+    INVENTORY_RESERVATION_FAILED,
+    INVENTORY_RESERVED,
+    UNKNOWN_ITEM,
+)
 
 
 def _in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
@@ -80,17 +88,17 @@ class StockKeeper(StatefulProcessor):
                 quantity = self._held.getValue((order_id,))[0]
                 self._held.removeKey((order_id,))
                 stock += quantity
-                event = C.INVENTORY_RELEASED
+                event = INVENTORY_RELEASED
             elif stock is None:
-                event, reason = C.INVENTORY_RESERVATION_FAILED, C.UNKNOWN_ITEM
+                event, reason = INVENTORY_RESERVATION_FAILED, UNKNOWN_ITEM
             elif stock < quantity:
-                event, reason = C.INVENTORY_RESERVATION_FAILED, C.INSUFFICIENT_STOCK
+                event, reason = INVENTORY_RESERVATION_FAILED, INSUFFICIENT_STOCK
             elif self._held.containsKey((order_id,)):
                 error = "order already reserved"
             else:
                 stock -= quantity
                 self._held.updateValue((order_id,), (int(quantity),))
-                event = C.INVENTORY_RESERVED
+                event = INVENTORY_RESERVED
             out.append((seq, order_id, key[0], quantity, before, event, reason, error))
         if stock is not None:
             self._stock.update((int(stock),))

@@ -6,7 +6,7 @@ coercions then work on those, so that a document is parsed and searched once per
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,11 +25,13 @@ def field(doc: Column, path: str) -> Column:
 
 
 def json_kind(node: Column) -> Column:
-    """Type word of a VARIANT: OBJECT, ARRAY, STRING, BIGINT, DECIMAL, DOUBLE, BOOLEAN, VOID.
+    """Type of a VARIANT: STRING, BIGINT, DECIMAL(p,s), DOUBLE, BOOLEAN, OBJECT<..>, ARRAY<..>,
+    VOID for JSON null, NULL for a missing node."""
+    return F.schema_of_variant(node)
 
-    NULL for a missing node; VOID is JSON null.
-    """
-    return F.substring_index(F.substring_index(F.schema_of_variant(node), "<", 1), "(", 1)
+
+def is_nested(kind: Column) -> Column:
+    return kind.startswith("OBJECT<") | kind.startswith("ARRAY<")
 
 
 def once(df: DataFrame, *computed: Column) -> DataFrame:
@@ -60,7 +62,7 @@ def lenient_text(name: str) -> Column:
     """Field as text: missing or nested gives '', JSON null gives 'null'."""
     text, kind = _parts(name)
     return (
-        F.when(kind.isNull() | kind.isin("OBJECT", "ARRAY"), "")
+        F.when(kind.isNull() | is_nested(kind), "")
         .when(kind == "VOID", "null")
         .otherwise(text)
     )
@@ -106,33 +108,46 @@ def lenient_double(name: str) -> Column:
     )
 
 
-def any_case_field(doc: Column, name: str) -> Column:
-    """Field as VARIANT with the name matched exactly first, then in any letter case."""
-    exact = field(doc, f"$.{name}")
-    entries = F.map_entries(F.try_variant_get(doc, "$", "map<string,variant>"))
-    matching = F.filter(entries, lambda e: F.lower(e["key"]) == name.lower())
-    return F.coalesce(exact, F.try_element_at(matching, F.lit(-1))["value"])
+def has_name(value: Column, name: str) -> Column:
+    """True where JSON text has a field of this name in this spelling (without spaces)."""
+    return value.contains(f'"{name}":')
 
 
-# JSON kinds a strict reader accepts per target type. Absent fields and JSON null leave the
-# zero value and are accepted too.
-STRICT_KINDS = {
-    "string": ["STRING", "VOID"],
-    "int": ["BIGINT", "VOID"],
-    "double": ["BIGINT", "DECIMAL", "DOUBLE", "VOID"],
-}
+def spelled(value: Column, names: Sequence[str], sound: Column) -> Column:
+    """JSON text with the given field names in exactly this spelling.
+
+    A strict reader matches names in any letter case and lets the last one win, so other
+    spellings are rewritten before parsing. Only a name can stand between quotes before a
+    colon, so no value is touched. Rows for which ``sound`` holds have every name they need
+    and are left alone, which saves most rows the regular expressions.
+    """
+    any_case = "|".join(name.lower() for name in names)
+    exact = "|".join(names)
+    fixed = value
+    for name in names:
+        fixed = F.regexp_replace(fixed, rf'(?i)"{name}"(\s*:)', f'"{name}"$1')
+    odd = value.rlike(rf'"(?!(?:{exact})")(?i:{any_case})"\s*:')
+    return F.when(sound, value).when(odd, fixed).otherwise(value)
 
 
 def strict_ok(kind: Column, target: str) -> Column:
-    """True where a field of this JSON kind can be read strictly as ``target``."""
-    return kind.isNull() | kind.isin(STRICT_KINDS[target])
+    """True where a field of this JSON kind can be read strictly as ``target``.
+
+    Absent fields and JSON null leave the zero value and are accepted.
+    """
+    accepted = {
+        "string": kind == "STRING",
+        "int": kind == "BIGINT",
+        "double": kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL"),
+    }[target]
+    return kind.isNull() | (kind == "VOID") | accepted
 
 
-def strict_value(node: Column, target: str) -> Column:
+def strict_value(doc: Column, path: str, target: str) -> Column:
     """Typed value of a field that passed :func:`strict_ok`; absent gives the zero value."""
     spark_type, zero = {
         "string": ("string", F.lit("")),
         "int": ("bigint", F.lit(0).cast("bigint")),
         "double": ("double", F.lit(0.0)),
     }[target]
-    return F.coalesce(F.try_variant_get(node, "$", spark_type), zero)
+    return F.coalesce(F.try_variant_get(doc, path, spark_type), zero)

@@ -14,9 +14,9 @@ def is_uuid(text: Column) -> Column:
     return F.coalesce(text.rlike(UUID_FORMS), F.lit(False))
 
 
-def fits_uuid_column(text: Column) -> Column:
-    """Valid and storable: the urn form parses but no id column takes it."""
-    return is_uuid(text) & ~F.lower(text).startswith("urn:")
+def is_urn(text: Column) -> Column:
+    """The urn form is a valid id, but no id column takes it."""
+    return F.lower(text).startswith("urn:")
 
 
 def canonical_uuid(text: Column) -> Column:

@@ -17,39 +17,52 @@ from eventmill.schemas import PAYLOAD_FIELDS
 INT_MIN, INT_MAX = coercion.INT_MIN, coercion.INT_MAX
 
 
-ENVELOPE_PATHS = {
-    "event_id": "$.eventId",
-    "event_type": "$.eventType",
-    "aggregate_id": "$.aggregateId",
-    "time": "$.timestamp",
-}
+# The envelope, every field of any JSON type; ``_bad`` is set where the value is no JSON object.
+ENVELOPE = (
+    "eventId VARIANT, eventType VARIANT, aggregateId VARIANT, timestamp VARIANT, "
+    "payload VARIANT, _bad STRING"
+)
 
 
 def decode_lenient(records: DataFrame) -> DataFrame:
-    """Envelope fields of every record whose value is JSON; other records are skipped.
+    """Envelope fields of every record whose value is a JSON object; others are skipped.
 
     Output: ``key, event_id, event_type, aggregate_id, event_time, payload`` plus
     ``partition, offset``. Records with an event time before 1970 are dropped.
     """
-    parsed = coercion.once(
-        records.select("key", "value", "timestamp", "partition", "offset"),
-        coercion.parse_lenient(F.col("value")).alias("_doc"),
+    read = F.from_json("value", ENVELOPE, {"columnNameOfCorruptRecord": "_bad"})
+    names = {
+        "event_id": "eventId",
+        "event_type": "eventType",
+        "aggregate_id": "aggregateId",
+        "time": "timestamp",
+    }
+    parsed = records.select(
+        F.col("key").cast("string").alias("key"),
+        F.col("timestamp").alias("_record_time"),
+        "partition",
+        "offset",
+        F.inline(F.array(read)),
     )
-    scalars = coercion.add_scalars(parsed, "_doc", ENVELOPE_PATHS)
-    return (
-        scalars.filter(F.col("_doc").isNotNull())
-        .select(
-            F.col("key").cast("string").alias("key"),
-            coercion.lenient_text("event_id").alias("event_id"),
-            coercion.lenient_text("event_type").alias("event_type"),
-            coercion.lenient_text("aggregate_id").alias("aggregate_id"),
-            times.event_time(F.col("time_text"), F.col("timestamp")).alias("event_time"),
-            coercion.field(F.col("_doc"), "$.payload").alias("payload"),
-            "partition",
-            "offset",
-        )
-        .filter(F.col("event_time") >= F.timestamp_seconds(F.lit(0)))
+    scalars = parsed.filter(F.col("_bad").isNull()).select(
+        "key",
+        "_record_time",
+        "payload",
+        "partition",
+        "offset",
+        *[F.try_variant_get(n, "$", "string").alias(f"{c}_text") for c, n in names.items()],
+        *[coercion.json_kind(F.col(n)).alias(f"{c}_kind") for c, n in names.items()],
     )
+    return scalars.select(
+        "key",
+        coercion.lenient_text("event_id").alias("event_id"),
+        coercion.lenient_text("event_type").alias("event_type"),
+        coercion.lenient_text("aggregate_id").alias("aggregate_id"),
+        times.event_time(F.col("time_text"), F.col("_record_time")).alias("event_time"),
+        "payload",
+        "partition",
+        "offset",
+    ).filter(F.col("event_time") >= F.timestamp_seconds(F.lit(0)))
 
 
 def is_type(event_type: str) -> Column:
@@ -91,22 +104,32 @@ def payload_fields(handled: Sequence[str]) -> dict[str, str]:
     return {name: kind for t in handled for name, kind in PAYLOAD_FIELDS[t]}
 
 
-def _type_has(field: str, handled: Sequence[str]) -> Column:
-    types = [t for t in handled if field in dict(PAYLOAD_FIELDS[t])]
-    return F.col("_type_name").isin(types)
+def _well_spelled(outer: Sequence[str], handled: Sequence[str]) -> Column:
+    """True where the text has all outer names, and all fields of a handled type it mentions."""
+    value = F.col("value")
+    good = F.lit(True)
+    for name in outer:
+        good = good & coercion.has_name(value, name)
+    for event_type in handled:
+        fields = F.lit(True)
+        for name, _ in PAYLOAD_FIELDS[event_type]:
+            fields = fields & coercion.has_name(value, name)
+        good = good & (~value.contains(f'"{event_type}"') | fields)
+    return good
 
 
 def _payload_error(event_type: str) -> Column:
-    """Error of a payload of this type; the kinds were read into ``_kind_<field>``."""
+    """Error of a payload of this type; its fields were read into ``_kind_*``, ``_whole_*``."""
     # An absent payload is an error, JSON null is not (it decodes to the zero struct).
-    bad = F.coalesce(~F.col("_payload_kind").isin("OBJECT", "VOID"), F.lit(True))
-    for name, kind in PAYLOAD_FIELDS[event_type]:
-        bad = bad | ~coercion.strict_ok(F.col(f"_kind_{name}"), kind)
+    kind = F.col("_payload_kind")
+    bad = ~F.coalesce((kind == "VOID") | kind.startswith("OBJECT<"), F.lit(False))
     # A whole number the reader accepts but the INT column does not.
     too_large = F.lit(False)
-    for name, kind in PAYLOAD_FIELDS[event_type]:
-        if kind == "int":
-            too_large = too_large | ~F.col(f"_field_{name}").between(INT_MIN, INT_MAX)
+    for name, target in PAYLOAD_FIELDS[event_type]:
+        bad = bad | ~coercion.strict_ok(F.col(f"_kind_{name}"), target)
+        if target == "int":
+            whole = F.col(f"_whole_{name}")
+            too_large = too_large | (whole > INT_MAX) | (whole < INT_MIN)
     return F.when(
         F.col("event_type") == event_type,
         F.when(bad, f"bad {event_type} payload:").when(
@@ -116,76 +139,59 @@ def _payload_error(event_type: str) -> Column:
 
 
 def decode_strict(records: DataFrame, handled: Sequence[str] = (C.ORDER_CREATED,)) -> DataFrame:
-    """All record columns plus envelope columns, ``error`` and the payload as ``_field_*``.
+    """All record columns plus envelope columns, ``error`` and the payload as VARIANT.
 
     Checks run in the order JSON, id, payload; ``error`` is NULL for a good record. The
     payload is checked for ``handled`` types only, so a broken payload of an ignored type is
     no error. Each stage below is one projection: parse, envelope, payload, verdict.
     """
-    names = {"_id": "eventId", "_type": "eventType", "_aggregate": "aggregateId"}
+    names = {"event_id": "eventId", "event_type": "eventType", "aggregate_id": "aggregateId"}
     fields = payload_fields(handled)
     raw = list(records.columns)
-    parsed = records.select(*raw, coercion.parse_lenient(F.col("value")).alias("_doc"))
+    outer = [*names.values(), "timestamp", "payload"]
+    text = coercion.spelled(F.col("value"), [*outer, *fields], _well_spelled(outer, handled))
+    parsed = records.select(*raw, coercion.parse_lenient(text).alias("_doc"))
+    doc, payload = F.col("_doc"), F.col("_payload")
+    start = F.ltrim(F.col("value"), F.lit(" \t\r\n"))
     envelope = parsed.select(
         *raw,
-        coercion.json_kind(F.col("_doc")).alias("_doc_kind"),
-        *[coercion.any_case_field(F.col("_doc"), n).alias(c) for c, n in names.items()],
-        coercion.any_case_field(F.col("_doc"), "timestamp").alias("_time"),
-        coercion.any_case_field(F.col("_doc"), "payload").alias("_payload"),
+        # The document is known to be JSON, so its first character tells what it is.
+        (doc.isNotNull() & (start.startswith("{") | start.startswith("null"))).alias("_root_ok"),
+        *[coercion.json_kind(coercion.field(doc, f"$.{n}")).alias(f"_kind_{c}")
+          for c, n in names.items()],
+        *[coercion.strict_value(doc, f"$.{n}", "string").alias(c) for c, n in names.items()],
+        coercion.json_kind(coercion.field(doc, "$.timestamp")).alias("_time_kind"),
+        F.try_variant_get(doc, "$.timestamp", "string").alias("_time_text"),
+        coercion.field(doc, "$.payload").alias("_payload"),
     )
-    envelope = envelope.withColumn("_type_name", coercion.strict_value(F.col("_type"), "string"))
-    scalars = envelope.select(
-        *raw,
-        "_doc_kind",
-        *[coercion.json_kind(F.col(c)).alias(f"{c}_kind") for c in names],
-        *[coercion.strict_value(F.col(c), "string").alias(f"{c}_text") for c in names],
-        coercion.json_kind(F.col("_time")).alias("_time_kind"),
-        F.try_variant_get(F.col("_time"), "$", "string").alias("_time_text"),
-        coercion.json_kind(F.col("_payload")).alias("_payload_kind"),
-        # A field is looked for only where the type has it.
-        *[
-            F.when(
-                F.col("_payload").isNotNull() & _type_has(n, handled),
-                coercion.any_case_field(F.col("_payload"), n),
-            ).alias(f"_node_{n}")
-            for n in fields
-        ],
-    )
-    kinds = ["_doc_kind", "_payload_kind", "_time_kind", *[f"{c}_kind" for c in names]]
     typed = coercion.once(
-        scalars.select(*raw, *kinds, *[f"{c}_text" for c in [*names, "_time"]],
-                       *[f"_node_{n}" for n in fields]),
-        *[coercion.json_kind(F.col(f"_node_{n}")).alias(f"_kind_{n}") for n in fields],
-        *[coercion.strict_value(F.col(f"_node_{n}"), k).alias(f"_field_{n}")
-          for n, k in fields.items()],
+        envelope,
+        coercion.json_kind(payload).alias("_payload_kind"),
         times.parse_instant(F.col("_time_text")).alias("event_time"),
-        F.col("_id_text").alias("event_id"),
-        F.col("_type_text").alias("event_type"),
-        F.col("_aggregate_text").alias("aggregate_id"),
+        *[coercion.json_kind(coercion.field(payload, f"$.{n}")).alias(f"_kind_{n}") for n in fields],
+        *[F.try_variant_get(payload, f"$.{n}", "bigint").alias(f"_whole_{n}")
+          for n, target in fields.items() if target == "int"],
     )
-    envelope_ok = F.col("_doc_kind").isin("OBJECT", "VOID")
-    for c in names:
-        envelope_ok = envelope_ok & coercion.strict_ok(F.col(f"{c}_kind"), "string")
     time_kind = F.col("_time_kind")
-    envelope_ok = envelope_ok & (
+    envelope_ok = F.col("_root_ok") & (
         time_kind.isNull()
         | (time_kind == "VOID")
         | ((time_kind == "STRING") & F.col("event_time").isNotNull())
     )
+    for c in names:
+        envelope_ok = envelope_ok & coercion.strict_ok(F.col(f"_kind_{c}"), "string")
     error = F.coalesce(
         F.when(~F.coalesce(envelope_ok, F.lit(False)), "decode event:"),
         F.when(~ids.is_uuid(F.col("event_id")), "invalid eventId"),
-        F.when(~ids.fits_uuid_column(F.col("event_id")), "unstorable eventId"),
+        F.when(ids.is_urn(F.col("event_id")), "unstorable eventId"),
         *[_payload_error(t) for t in handled],
     )
     return typed.select(
         *raw,
-        "event_id",
-        "event_type",
-        "aggregate_id",
+        *names,
         "event_time",
         error.alias("error"),
-        *[f"_field_{n}" for n in fields],
+        payload.alias("payload"),
     )
 
 
@@ -193,11 +199,11 @@ def typed_payload(decoded: DataFrame, event_type: str) -> DataFrame:
     """Good rows of one type, payload fields as typed columns (after :func:`decode_strict`)."""
     columns = []
     for name, kind in PAYLOAD_FIELDS[event_type]:
-        value = F.col(f"_field_{name}")
+        value = coercion.strict_value(F.col("payload"), f"$.{name}", kind)
         snake = "".join(f"_{c.lower()}" if c.isupper() else c for c in name)
         columns.append((value.try_cast("int") if kind == "int" else value).alias(snake))
-    dropped = {"error", "value", "headers"}
-    keep = [c for c in decoded.columns if c not in dropped and not c.startswith("_field_")]
+    dropped = {"error", "value", "headers", "payload"}
+    keep = [c for c in decoded.columns if c not in dropped]
     good = decoded.filter(F.col("error").isNull() & is_type(event_type))
     return good.select(*keep, *columns)
 

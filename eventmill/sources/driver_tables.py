@@ -108,117 +108,108 @@ def _topic_of(event_type: Column) -> Column:
     return F.when(payment, C.PAYMENT_EVENTS).otherwise(C.ORDER_EVENTS)
 
 
+# Damage done to a record, by ``k``: the first matching range changes the named parts.
+# A part of None leaves the field out.
+DAMAGE = [
+    (10, 14, {"quantity": '"7"'}),
+    (15, 19, {"quantity": "7.9"}),
+    (20, 24, {"quantity": None, "item": None}),
+    (25, 29, {"quantity": "null", "item": "null"}),
+    (30, 34, {"eventId": "event-@order@"}),
+    (35, 39, {"payload": None}),
+    (40, 44, {"payload": "null"}),
+    (45, 49, {"timestamp": "@date@"}),
+    (50, 54, {"timestamp": None}),
+    (55, 59, {"eventType name": "EventType"}),
+    (60, 64, {"quantity": "true"}),
+    (65, 69, {"quantity": "3000000000"}),
+    (70, 74, {"item": '{"id":1}'}),
+    (75, 79, {"item": "7"}),
+    (80, 84, {"eventId": "{@DASHED@}"}),
+    (85, 89, {"eventId": "@dashed@"}),
+]
+STEP = 5  # every range above starts at a multiple of this
+
+
+def _body(event_type: str, parts: dict) -> str:
+    if event_type == C.ORDER_CREATED:
+        fields = {
+            "orderId": '"@order@"',
+            "item": parts.get("item", '"@item@"'),
+            "quantity": parts.get("quantity", "@k@"),
+        }
+    elif event_type == C.PAYMENT_COMPLETED:
+        fields = {"orderId": '"@key@"', "paymentId": '"@order@"', "amount": "@amount@"}
+    elif event_type == C.PAYMENT_FAILED:
+        fields = {"orderId": '"@key@"', "reason": f'"{C.PAYMENT_DECLINED}"'}
+    else:
+        fields = {}
+    return "{" + ",".join(f'"{n}":{v}' for n, v in fields.items() if v is not None) + "}"
+
+
+def _template(event_type: str, k: int) -> str:
+    """JSON text of a record of this type and ``k``, with places for the row's values."""
+    if 5 <= k < 10:
+        return "this is not json"
+    parts = next((changed for low, high, changed in DAMAGE if low <= k <= high), {})
+    fields = {
+        "eventId": f'"{parts.get("eventId", "@id@")}"',
+        parts.get("eventType name", "eventType"): '"@type@"',
+        "aggregateId": '"@key@"',
+        "timestamp": f'"{parts.get("timestamp", "@time@")}"',
+        "payload": parts.get("payload", _body(event_type, parts)),
+    }
+    missing = [n for n in ("timestamp", "payload") if n in parts and parts[n] is None]
+    text = ",".join(f'"{n}":{v}' for n, v in fields.items() if n not in missing)
+    text = "{" + text + "}"
+    return text[:-2] if k < 5 else text
+
+
+def _template_of(event_type: str) -> Column:
+    texts = F.array(*[F.lit(_template(event_type, k)) for k in range(0, 100, STEP)])
+    return F.element_at(texts, F.expr(f"CAST(quantity DIV {STEP} + 1 AS INT)"))
+
+
 def topic_records(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     """All events as topic records with JSON values, many of them damaged.
 
-    The kind of damage depends on ``k``; from 80 on records are sound. Offsets are the event
-    ids, so they grow within a partition with gaps, as in a compacted topic.
+    The kind of damage depends on ``k`` (see ``DAMAGE``; below 5 the text is cut short, below
+    10 it is no JSON at all); from 80 on records are sound. Offsets are the event ids, so
+    they grow within a partition with gaps, as in a compacted topic.
     """
     log = event_stream(spark, sf_dir) if streaming else event_log(spark, sf_dir)
-    log = log.withColumn("_md5", F.md5("order_id")).withColumn("k", F.col("quantity"))
-    value = F.expr(
-        """
-        CASE
-          WHEN k < 5 THEN left(_json, length(_json) - 2)
-          WHEN k < 10 THEN 'this is not json'
-          ELSE _json
-        END"""
-    )
-    json = F.concat(
-        F.lit('{"eventId":"'),
-        _event_id_text(),
-        F.expr("""CASE WHEN k BETWEEN 55 AND 59 THEN '","EventType":"'
-                  ELSE '","eventType":"' END"""),
-        F.col("event_type"),
-        F.lit('","aggregateId":"'),
-        F.col("key"),
-        F.lit('"'),
-        _time_part(),
-        _payload_part(),
-        F.lit("}"),
-    )
-    published = F.col("event_time").cast("timestamp") + F.expr("INTERVAL 5 SECONDS")
-    return log.withColumn("_json", json).select(
+    md5 = F.md5("order_id")
+    dashed = F.regexp_replace(md5, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    value = _template_of("")
+    for event_type in EVENT_TYPES.values():
+        value = F.when(F.col("event_type") == event_type, _template_of(event_type)).otherwise(value)
+    places = {
+        "@id@": md5,
+        "@dashed@": dashed,
+        "@DASHED@": F.upper(dashed),
+        "@type@": F.col("event_type"),
+        "@key@": F.col("key"),
+        "@item@": F.col("item"),
+        "@order@": F.col("order_id"),
+        "@k@": F.col("quantity").cast("string"),
+        "@amount@": F.col("amount").cast("string"),
+        "@time@": F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"),
+        "@date@": F.date_format("event_time", "yyyy-MM-dd"),
+    }
+    for place, column in places.items():
+        value = F.replace(value, F.lit(place), column)
+    payment = F.col("event_type").startswith("Payment")
+    return log.select(
         "key",
         value.alias("value"),
-        _topic_of(F.col("event_type")).alias("topic"),
+        F.when(payment, C.PAYMENT_EVENTS).otherwise(C.ORDER_EVENTS).alias("topic"),
         "partition",
         F.col("seq").alias("offset"),
-        published.alias("timestamp"),
+        (F.col("event_time").cast("timestamp") + F.expr("INTERVAL 5 SECONDS")).alias("timestamp"),
         F.lit(None).cast("array<struct<key:string,value:binary>>").alias("headers"),
     )
 
 
-def _event_id_text() -> Column:
-    dashed = F.regexp_replace("_md5", "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
-    return (
-        F.when(F.col("k").between(30, 34), F.concat(F.lit("event-"), "order_id"))
-        .when(F.col("k").between(80, 84), F.concat(F.lit("{"), F.upper(dashed), F.lit("}")))
-        .when(F.col("k").between(85, 89), dashed)
-        .otherwise(F.col("_md5"))
-    )
-
-
-def _time_part() -> Column:
-    text = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
-    date = F.date_format("event_time", "yyyy-MM-dd")
-    return (
-        F.when(F.col("k").between(45, 49), F.concat(F.lit(',"timestamp":"'), date, F.lit('"')))
-        .when(F.col("k").between(50, 54), F.lit(""))
-        .otherwise(F.concat(F.lit(',"timestamp":"'), text, F.lit('"')))
-    )
-
-
-def _payload_part() -> Column:
-    quantity = F.expr(
-        """
-        CASE
-          WHEN k BETWEEN 10 AND 14 THEN ',"quantity":"7"'
-          WHEN k BETWEEN 15 AND 19 THEN ',"quantity":7.9'
-          WHEN k BETWEEN 20 AND 24 THEN ''
-          WHEN k BETWEEN 25 AND 29 THEN ',"quantity":null'
-          WHEN k BETWEEN 60 AND 64 THEN ',"quantity":true'
-          WHEN k BETWEEN 65 AND 69 THEN ',"quantity":3000000000'
-          ELSE concat(',"quantity":', k)
-        END"""
-    )
-    item = F.expr(
-        """
-        CASE
-          WHEN k BETWEEN 20 AND 24 THEN ''
-          WHEN k BETWEEN 25 AND 29 THEN ',"item":null'
-          WHEN k BETWEEN 70 AND 74 THEN ',"item":{"id":1}'
-          WHEN k BETWEEN 75 AND 79 THEN ',"item":7'
-          ELSE concat(',"item":"', item, '"')
-        END"""
-    )
-    order = F.concat(F.lit('{"orderId":"'), "order_id", F.lit('"'), item, quantity, F.lit("}"))
-    paid = F.concat(
-        F.lit('{"orderId":"'),
-        "key",
-        F.lit('","paymentId":"'),
-        "order_id",
-        F.lit('","amount":'),
-        F.col("amount").cast("string"),
-        F.lit("}"),
-    )
-    failed = F.concat(
-        F.lit('{"orderId":"'), "key", F.lit(f'","reason":"{C.PAYMENT_DECLINED}"}}')
-    )
-    kind = F.col("event_type")
-    body = (
-        F.when(kind == C.ORDER_CREATED, order)
-        .when(kind == C.PAYMENT_COMPLETED, paid)
-        .when(kind == C.PAYMENT_FAILED, failed)
-        .otherwise(F.lit("{}"))
-    )
-    return (
-        F.when(F.col("k").between(35, 39), F.lit(""))
-        .when(F.col("k").between(40, 44), F.lit(',"payload":null'))
-        .otherwise(F.concat(F.lit(',"payload":'), body))
-    )
-
-
 def processed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids the service recorded before: those of all view events."""
     views = table(spark, sf_dir, "events").filter(F.col("event_type") == "view")

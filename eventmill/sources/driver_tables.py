@@ -199,7 +199,7 @@ def topic_records(spark: SparkSession, sf_dir: str, streaming: bool = False) ->
     for place, column in places.items():
         value = F.replace(value, F.lit(place), column)
     payment = F.col("event_type").startswith("Payment")
-    return log.select(
+    records = log.select(
         "key",
         value.alias("value"),
         F.when(payment, C.PAYMENT_EVENTS).otherwise(C.ORDER_EVENTS).alias("topic"),
@@ -208,6 +208,9 @@ def topic_records(spark: SparkSession, sf_dir: str, streaming: bool = False) ->
         (F.col("event_time").cast("timestamp") + F.expr("INTERVAL 5 SECONDS")).alias("timestamp"),
         F.lit(None).cast("array<struct<key:string,value:binary>>").alias("headers"),
     )
+    # Also keeps making the records out of the code generated for decoding them, which the
+    # JIT would refuse to compile as one method.
+    return topics.traced(records, "topic records")
 
 
 def processed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,6 +58,15 @@ def _text_columns(records: DataFrame) -> DataFrame:
     )
 
 
+def traced(df: DataFrame, name: str, *metrics: Column) -> DataFrame:
+    """Count rows (and any other aggregates) as they pass this point.
+
+    The numbers reach query listeners and, for streams, the query progress. The rows pass
+    through unchanged.
+    """
+    return df.observe(name, F.count(F.lit(1)).alias("rows"), *metrics)
+
+
 def partition_of(key: Column, partitions: int) -> Column:
     """Partition of a key; the same key is always in the same partition."""
     return F.pmod(F.crc32(key.cast("binary")), F.lit(partitions)).cast("int")

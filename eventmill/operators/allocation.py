@@ -20,6 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,21 +68,29 @@ def allocate(
     if not hot.isEmpty():
         entries = _block_openings(rows, hot, opening)
         opening = opening.join(F.broadcast(hot.select("item")), "item", "left_anti")
-        opening = opening.unionByName(entries)
+        opening = opening.unionByName(entries.filter("_open IS NOT NULL"))
     rows = rows.withColumn(BLOCK, F.coalesce(BLOCK, F.lit(0).cast("bigint")))
-    # Placed before the join, so that join and fold share this one shuffle of the rows.
-    placed = rows.repartition("item", BLOCK).join(opening, ["item", BLOCK], "left")
-    ordered = placed.sortWithinPartitions("item", BLOCK, "seq")
-    schema = ordered.drop(BLOCK, "_open").schema.add("available_before", T.LongType()).add(
-        "reserved", T.BooleanType()
+    decided = [
+        T.StructField("available_before", T.LongType()),
+        T.StructField("reserved", T.BooleanType()),
+    ]
+    schema = T.StructType([*requests.schema.fields, *decided])
+    # The opening stock travels as a row in front of its requests: one shuffle of everything
+    # and no join, whatever the size of the stock table. The placement is an explicit
+    # repartition, which adaptive execution never splits.
+    placed = rows.unionByName(opening, allowMissingColumns=True)
+    ordered = placed.repartition("item", BLOCK).sortWithinPartitions(
+        "item", BLOCK, F.col("seq").asc_nulls_first()
     )
-    return ordered.mapInArrow(_fold_partition, schema)
+    kept = ordered.select(*requests.columns, BLOCK, "_open")
+    return kept.mapInArrow(_fold_partition, schema)
 
 
 def _fold_step(stock: int, quantity: list, holds: list) -> tuple[list, list, int]:
     """Stock before each request, the decisions, and the closing stock."""
     before, taken = [], []
     for q, h in zip(quantity, holds):
+        q = q or 0  # a request without a quantity asks for nothing
         fits = stock >= q
         before.append(stock)
         taken.append(fits)
@@ -91,12 +100,13 @@ def _fold_step(stock: int, quantity: list, holds: list) -> tuple[list, list, int
 
 
 def _fold_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fold rows sorted by item, block and seq; the stock is carried from batch to batch."""
+    """Fold rows sorted by item, block and seq, each group led by its opening row if it has
+    one; the stock is carried from batch to batch."""
     current, stock = None, None
     for batch in batches:
         items = batch.column("item").to_pylist()
         blocks = batch.column(BLOCK).to_pylist()
-        opens = batch.column("_open")
+        opens = batch.column("_open").to_pylist()
         quantity = batch.column("quantity").to_pylist()
         holds = batch.column("holds").to_pylist()
         before: list = []
@@ -108,7 +118,10 @@ def _fold_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             while end < len(items) and items[end] == group[0] and blocks[end] == group[1]:
                 end += 1
             if group != current:
-                current, stock = group, opens[start].as_py()
+                current, stock = group, None
+            if opens[start] is not None:
+                stock = opens[start]
+                start += 1
             if stock is None:
                 before += [None] * (end - start)
                 taken += [False] * (end - start)
@@ -117,9 +130,10 @@ def _fold_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 before += b
                 taken += t
             start = end
+        requests = batch.filter(pa.compute.is_null(batch.column("_open")))
         kept = [i for i, n in enumerate(batch.schema.names) if n not in (BLOCK, "_open")]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(i) for i in kept]
+            [requests.column(i) for i in kept]
             + [pa.array(before, pa.int64()), pa.array(taken, pa.bool_())],
             names=[batch.schema.names[i] for i in kept] + ["available_before", "reserved"],
         )
@@ -131,7 +145,13 @@ def _block_openings(rows: DataFrame, hot: DataFrame, opening: DataFrame) -> Data
     spark = rows.sparkSession
     narrow = written(
         rows.filter(F.col(BLOCK).isNotNull())
-        .select("item", BLOCK, "seq", F.col("quantity").cast("bigint").alias("quantity"), "holds")
+        .select(
+            "item",
+            BLOCK,
+            "seq",
+            F.coalesce(F.col("quantity").cast("bigint"), F.lit(0)).alias("quantity"),
+            F.coalesce("holds", F.lit(False)).alias("holds"),
+        )
         .repartition("item", BLOCK)
         .sortWithinPartitions("item", BLOCK, "seq"),
         "hot-requests",

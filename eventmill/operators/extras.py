@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -238,18 +238,16 @@ SAGA_STATES = {
 
 def saga_state(events: DataFrame) -> DataFrame:
     """State and due step per order. ``events``: ``order_id, event_type, seq``."""
-    known = events.filter(F.col("event_type").isin(*SAGA_STATES))
-    last = known.groupBy("order_id").agg(F.max(F.struct("seq", "event_type")).alias("_last"))
-    names = {
-        kind: F.struct(F.lit(state).alias("state"), F.lit(step).alias("step"))
-        for kind, (state, step) in SAGA_STATES.items()
-    }
-    chosen: Column = F.lit(None)
-    for kind, name in names.items():
-        chosen = F.when(F.col("_last.event_type") == kind, name).otherwise(chosen)
-    return last.withColumn("_name", chosen).select(
+    kinds = list(SAGA_STATES)
+    # As a number the type is aggregated in a hash table; text would need a sort.
+    code = F.array_position(F.lit(kinds), F.col("event_type")).cast("int")
+    known = events.filter(F.col("event_type").isin(*kinds)).withColumn("_code", code)
+    last = known.groupBy("order_id").agg(F.max_by("_code", "seq").alias("_code"))
+    states = [state for state, _ in SAGA_STATES.values()]
+    steps = [step for _, step in SAGA_STATES.values()]
+    return last.select(
         "order_id",
-        F.col("_last.event_type").alias("last_event"),
-        F.col("_name.state").alias("state"),
-        F.col("_name.step").alias("current_step"),
+        F.element_at(F.lit(kinds), F.col("_code")).alias("last_event"),
+        F.element_at(F.lit(states), F.col("_code")).alias("state"),
+        F.element_at(F.lit(steps), F.col("_code")).alias("current_step"),
     )

@@ -24,7 +24,13 @@ def first_arrivals(
     order = F.struct(*seq) if not isinstance(seq, str) else F.col(seq)
     whole = F.struct(*events.columns)
     kept = events.groupBy(F.col(event_id).alias("_id")).agg(F.min_by(whole, order).alias("_row"))
-    return kept.select("_row.*")
+    # The grouping column itself is kept as the id, so that a later join on it needs no shuffle.
+    return kept.select(
+        *[
+            F.col("_id").alias(c) if c == event_id else F.col(f"_row.{c}").alias(c)
+            for c in events.columns
+        ]
+    )
 
 
 def unprocessed(
@@ -137,7 +143,9 @@ def dlq_replay(letters: DataFrame, processed: DataFrame, key: str | None = None)
     if key is not None:
         rows = rows.filter(F.col("key") == key)
     id_text = F.try_variant_get(coercion.parse_lenient(F.col("value")), "$.eventId", "string")
-    rows = rows.withColumn("_id", ids.canonical_uuid(id_text))
+    # A row without an id gets one of its own, so that such rows do not meet in one task.
+    own = F.concat_ws(":", F.lit("none"), "original_partition", "original_offset")
+    rows = rows.withColumn("_id", F.coalesce(ids.canonical_uuid(id_text), own))
     done = processed.select(ids.canonical_uuid(F.col("event_id")).alias("_id"))
     return rows.join(done, "_id", "left_anti").select(
         F.col("original_topic").alias("topic"), "key", "value"
@@ -195,6 +203,17 @@ def outbox_next_batch(outbox: DataFrame, size: int = C.OUTBOX_BATCH_SIZE) -> Dat
     return outbox.filter(F.col("published_at").isNull()).orderBy("seq").limit(size)
 
 
+def relay_records(outbox: DataFrame) -> DataFrame:
+    """Outbox rows as records to publish; also valid on the outbox read as a stream.
+
+    A relay that stops between publishing and marking publishes again, so delivery is at
+    least once and consumers skip the copies (:func:`dedup_events`).
+    """
+    return outbox.filter(F.col("published_at").isNull()).select(
+        "topic", "key", F.col("value").cast("string").alias("value")
+    )
+
+
 def mark_published(outbox: DataFrame, published: DataFrame, now: Column) -> DataFrame:
     """Outbox with the published rows stamped."""
     done = published.select("seq", F.lit(True).alias("_done"))

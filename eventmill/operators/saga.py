@@ -165,8 +165,14 @@ def merge_events(*topics: DataFrame) -> DataFrame:
 
 def latest_status(events: DataFrame) -> DataFrame:
     """Last status set per order, by ``seq``. Also valid on a stream in update mode."""
-    setting = events.withColumn("new_status", status_of_event()).filter("new_status IS NOT NULL")
-    return setting.groupBy("order_id").agg(F.max_by("new_status", "seq").alias("new_status"))
+    setting = events.withColumn("_status", status_of_event()).filter("_status IS NOT NULL")
+    # The status goes through the aggregate as a flag: two plain numbers per order can be
+    # aggregated in a hash table, text would need a sort.
+    done = F.max_by((F.col("_status") == C.COMPLETED).cast("int"), "seq")
+    last = setting.groupBy("order_id").agg(done.alias("_done"))
+    return last.select(
+        "order_id", F.when(F.col("_done") == 1, C.COMPLETED).otherwise(C.CANCELLED).alias("new_status")
+    )
 
 
 def order_status(orders: DataFrame, events: DataFrame) -> DataFrame:

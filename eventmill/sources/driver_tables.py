@@ -39,6 +39,7 @@ def _typed(raw: DataFrame, time: Column) -> DataFrame:
         kind = F.when(F.col("event_type") == source, target).otherwise(kind)
     return raw.select(
         F.col("event_id").alias("seq"),
+        F.col("event_type").alias("source_type"),
         kind.alias("event_type"),
         F.col("user_id").cast("string").alias("key"),
         F.col("user_id").cast("string").alias("item"),
@@ -62,7 +63,11 @@ def event_stream(spark: SparkSession, sf_dir: str, **options: str) -> DataFrame:
 
 
 def of_type(events: DataFrame, event_type: str) -> DataFrame:
-    return events.filter(F.col("event_type") == event_type)
+    """Events of one type, filtered on the table's own column so that the scan does it."""
+    if "source_type" not in events.columns:
+        return events.filter(F.col("event_type") == event_type)
+    source = {target: source for source, target in EVENT_TYPES.items()}[event_type]
+    return events.filter(F.col("source_type") == source)
 
 
 def orders_in(events: DataFrame) -> DataFrame:

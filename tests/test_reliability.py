@@ -106,6 +106,24 @@ def test_outbox_batches_publish_oldest_first_until_empty(spark):
     assert reliability.outbox_backlog(outbox).count() == 0
 
 
+def test_relay_of_an_outbox_stream_publishes_each_row_once(spark):
+    from eventmill.schemas import OUTBOX
+    from eventmill.streaming import runner
+
+    folder, _ = runner.job_paths(spark, "outbox")
+    sink, checkpoint = runner.job_paths(spark, "relay")
+
+    def queue(low, high):
+        rows = [(i, uid(i), "order.events", f"o{i}", b"{}", NOW, None) for i in range(low, high)]
+        spark.createDataFrame(rows, OUTBOX).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(OUTBOX).parquet(folder)
+        runner.run_append(reliability.relay_records(stream), sink, checkpoint)
+        return sorted(r["key"] for r in spark.read.parquet(sink).collect())
+
+    assert queue(0, 3) == ["o0", "o1", "o2"]
+    assert queue(3, 5) == ["o0", "o1", "o2", "o3", "o4"]
+
+
 def test_lag_falls_to_zero(spark):
     recs = records(spark, [created(f"o{i}") for i in range(5)])
     schema = "group string, topic string, partition int, committed_offset bigint"

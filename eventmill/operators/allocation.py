@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -130,7 +130,7 @@ def _fold_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 before += b
                 taken += t
             start = end
-        requests = batch.filter(pa.compute.is_null(batch.column("_open")))
+        requests = batch.filter(pc.is_null(batch.column("_open")))
         kept = [i for i, n in enumerate(batch.schema.names) if n not in (BLOCK, "_open")]
         yield pa.RecordBatch.from_arrays(
             [requests.column(i) for i in kept]

@@ -168,7 +168,10 @@ def decode_strict(records: DataFrame, handled: Sequence[str] = (C.ORDER_CREATED,
         envelope,
         coercion.json_kind(payload).alias("_payload_kind"),
         times.parse_instant(F.col("_time_text")).alias("event_time"),
-        *[coercion.json_kind(coercion.field(payload, f"$.{n}")).alias(f"_kind_{n}") for n in fields],
+        *[
+            coercion.json_kind(coercion.field(payload, f"$.{n}")).alias(f"_kind_{n}")
+            for n in fields
+        ],
         *[F.try_variant_get(payload, f"$.{n}", "bigint").alias(f"_whole_{n}")
           for n, target in fields.items() if target == "int"],
     )

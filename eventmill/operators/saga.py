@@ -170,9 +170,8 @@ def latest_status(events: DataFrame) -> DataFrame:
     # aggregated in a hash table, text would need a sort.
     done = F.max_by((F.col("_status") == C.COMPLETED).cast("int"), "seq")
     last = setting.groupBy("order_id").agg(done.alias("_done"))
-    return last.select(
-        "order_id", F.when(F.col("_done") == 1, C.COMPLETED).otherwise(C.CANCELLED).alias("new_status")
-    )
+    status = F.when(F.col("_done") == 1, C.COMPLETED).otherwise(C.CANCELLED)
+    return last.select("order_id", status.alias("new_status"))
 
 
 def order_status(orders: DataFrame, events: DataFrame) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmill import constants as C
 from eventmill.operators import analytics
 from eventmill.plans import sql
 from eventmill.sources import driver_tables as tables

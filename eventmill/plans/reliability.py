@@ -131,7 +131,8 @@ _OUTBOX = f"""outbox AS (
   SELECT seq, {sql.topic("event_type")} AS topic, key, event_time AS created_at,
          CASE WHEN event_type <> 'PaymentFailed' THEN event_time END AS published_at
   FROM log)"""
-_NEXT = f"next AS (SELECT * FROM outbox WHERE published_at IS NULL ORDER BY seq LIMIT {C.OUTBOX_BATCH_SIZE})"
+_NEXT = f"""next AS (
+  SELECT * FROM outbox WHERE published_at IS NULL ORDER BY seq LIMIT {C.OUTBOX_BATCH_SIZE})"""
 
 DEDUP = f"""WITH {sql.LOG}
 SELECT md5(order_id) AS event_id, seq, 1 AS delivery, event_type, key

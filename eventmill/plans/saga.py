@@ -65,7 +65,8 @@ def release_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
         ~saga.payment_succeeds(F.col("order_id"), C.PAYMENT_FAILURE_RATE)
     )
     # Every failure is delivered twice; the second gives nothing back.
-    twice = failing.select("order_id", F.explode(F.array(F.col("seq"), F.col("seq") + 1)).alias("seq"))
+    both = F.array(F.col("seq"), F.col("seq") + 1)
+    twice = failing.select("order_id", F.explode(both).alias("seq"))
     return saga.release_stock(reservations, twice)
 
 

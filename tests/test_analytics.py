@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from topics import created, paid, records
 
 from eventmill.operators import analytics, decode, extras
-from eventmill.schemas import TOPIC_RECORD
 from eventmill.sources import topics as source
 from eventmill.streaming import jobs, runner
 

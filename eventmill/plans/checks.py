@@ -11,7 +11,7 @@ from eventmill.plans import saga as saga_plans
 from eventmill.plans import sql
 from eventmill.sources import driver_tables as tables
 
-GROUP = "order-analytics"
+GROUP = "counting-job"
 
 
 def consumer_lag(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,9 +13,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _modules():
-    from eventmill.llm import line_dedup
+    from eventmill.llm import license_scan, line_dedup, packing, pii, secret_scan, sharding, toxicity
 
-    return [line_dedup]
+    return [license_scan, line_dedup, packing, pii, secret_scan, sharding, toxicity]
 
 
 def _prepared(query: Query) -> Query:

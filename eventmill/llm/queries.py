@@ -13,9 +13,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _modules():
-    from eventmill.llm import license_scan, line_dedup, packing, pii, secret_scan, sharding, toxicity
+    from eventmill.llm import decontamination, license_scan, line_dedup, ngram_join, packing, pii, secret_scan, sharding, spot_signatures, toxicity
 
-    return [license_scan, line_dedup, packing, pii, secret_scan, sharding, toxicity]
+    return [decontamination, license_scan, line_dedup, ngram_join, packing, pii, secret_scan, sharding, spot_signatures, toxicity]
 
 
 def _prepared(query: Query) -> Query:

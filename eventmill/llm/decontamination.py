@@ -241,13 +241,13 @@ def find_items(text: str | None, index: Index, q: int = Q) -> list[tuple[int, in
     return sorted(out + list(best.values()), key=lambda h: (h[1], h[0], h[2]))
 
 
-def benchmark_blocks(items: DataFrame, block_chars: int = BLOCK_CHARS) -> list[list[tuple]]:
+def benchmark_blocks(items: DataFrame, block_chars: int | None = None) -> list[list[tuple]]:
     """The benchmark in blocks of about ``block_chars`` characters, each collected on its own."""
     rows = items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where(
         "text IS NOT NULL"
     )
     chars = rows.agg(F.sum(F.char_length("text"))).first()[0] or 0
-    blocks = max(1, math.ceil(chars / block_chars))
+    blocks = max(1, math.ceil(chars / (block_chars or BLOCK_CHARS)))
     return [
         [
             (r["item_id"], r["text"])

@@ -462,9 +462,15 @@ def _filtered(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets qualify. Set a meets its partners in blocks, streamed."""
+def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
+    """The pairs (a, b) whose sets qualify. Set a meets its partners in blocks, streamed.
+
+    Only the sets of classes that are in a pair are worked out again from their texts.
+    """
     total = pairs.count()
+    named = pairs.select(F.col("a").alias("c1")).union(pairs.select(F.col("b").alias("c1")))
+    wanted = classes.join(named.distinct(), "c1", "left_semi").select("doc_id")
+    sets = written(class_sets(docs, wanted, words), "class-sets")
     blocks = max(16, total // BLOCK)
     dealt = pairs.withColumn("block", F.pmod(F.xxhash64("b"), F.lit(blocks)))
     heads = (
@@ -574,9 +580,7 @@ def linked_documents(docs: DataFrame, words: int = WORDS) -> DataFrame:
         .distinct()
     )
     tried = written(_filtered(star, classes), "star-pairs")
-    wanted = classes.join(groups.select("c1").distinct(), "c1", "left_semi").select("doc_id")
-    shingled = written(class_sets(docs, wanted, words), "class-sets")
-    links = written(verified(tried, shingled), "star-links")
+    links = written(verified(tried, docs, classes, words), "star-links")
     roots = components(links)
 
     # Then, where a key's classes are in several components, the pairs between them.
@@ -597,8 +601,9 @@ def linked_documents(docs: DataFrame, words: int = WORDS) -> DataFrame:
         .join(star, ["a", "b"], "left_anti")
     )
     rest = written(_filtered(between, classes), "open-pairs")
-    more = verified(rest, shingled)
-    roots = components(links.union(more))
+    if rest.limit(1).count():
+        more = written(verified(rest, docs, classes, words), "open-links")
+        roots = components(links.union(more))
 
     rooted = written(_rooted(classes.select("c1", "c2", "doc_id"), roots, "part"), "class-parts")
     named = written(

@@ -10,8 +10,8 @@ sketches bound that difference from below without the sets:
   part, so two sets that qualify disagree in at most D parts. A set with more than D parts that are
   not empty therefore shares one of them, as a key (band, part, parity), with every set it qualifies
   with. Sets with fewer (a few, by chance) add further keys that only they have, so nothing is lost.
-* Hamming filter. Each set has a ``BITS``-bit sketch, every shingle flips one bit; the Hamming
-  distance of two sketches is at most the sets' difference, so pairs beyond D are dropped.
+* Hamming filter. Each set has a bit sketch of about its own size, every shingle flips one bit; the
+  Hamming distance of two sketches is at most the sets' difference, so pairs beyond D are dropped.
 * Verification on the sets themselves.
 
 Shingles that a bounded sample of documents shows to be popular are left out of the parts of all
@@ -48,13 +48,14 @@ from eventmill.session import written
 WORDS = 5
 #: The Jaccard threshold as a fraction.
 THRESHOLD = (75, 100)
+#: Least bits of a sketch.
 BITS = 1024
 #: Keys of one hash slot, and the least number of slots.
 SLOT_KEYS, LEAST_SLOTS = 1_000_000, 64
 #: Documents sampled for popular shingles, and how many of them must hold one.
 SAMPLE, POPULAR = 4000, 12
-#: Comparisons of one class in one group of rows.
-BLOCK = 10_000
+#: About how many partners of a class are compared in one group of rows.
+BLOCK = 2000
 BLOOM_BITS = 1 << 25
 
 U = np.uint64
@@ -124,8 +125,13 @@ def set_numbers(found: np.ndarray) -> tuple[int, int]:
     return int(pair[0]), int(pair[1])
 
 
-def sketch(found: np.ndarray, bits: int = BITS) -> np.ndarray:
-    """The parity sketch as signed 64-bit words: every shingle flips one bit."""
+def sketch(found: np.ndarray) -> np.ndarray:
+    """The parity sketch as signed 64-bit words: every shingle flips one bit.
+
+    It has at least as many bits as the set has shingles, a power of two, so that the XOR of its
+    halves is the sketch of half the size.
+    """
+    bits = max(BITS, 1 << (max(1, len(found)) - 1).bit_length())
     flips = np.bincount((mix(found, 4) % U(bits)).astype("int64"), minlength=bits) & 1
     return np.packbits(flips.astype("uint8")).view("int64")
 
@@ -433,17 +439,21 @@ def class_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     ).mapInArrow(run, "c1 long, shingles binary")
 
 
-def _allowed(a: Column, b: Column, sketch_a: Column, sketch_b: Column) -> Column:
-    """Size and Hamming filters."""
-    kept, of = THRESHOLD
-    distance = F.aggregate(
-        F.zip_with(sketch_a, sketch_b, lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-        F.lit(0),
-        lambda total, x: total + x,
-    )
-    return (F.least(a, b) * of >= F.greatest(a, b) * kept) & (
-        distance * (of + kept) <= (a + b) * (of - kept)
-    )
+def _xor(a: Column, b: Column) -> Column:
+    return F.zip_with(a, b, lambda x, y: x.bitwiseXOR(y))
+
+
+def _halved(words: Column, size: Column) -> Column:
+    """A sketch folded to ``size`` words, which is its own size or half of it."""
+    folded = _xor(F.slice(words, F.lit(1), size), F.slice(words, size + 1, size))
+    return F.when(F.size(words) > size, folded).otherwise(words)
+
+
+def _distance(a: Column, b: Column) -> Column:
+    """Hamming distance of two sketches. Sets that may qualify differ less than twofold in size."""
+    size = F.least(F.size(a), F.size(b))
+    differing = _xor(_halved(a, size), _halved(b, size))
+    return F.aggregate(differing, F.lit(0), lambda total, x: total + F.bit_count(x))
 
 
 def _filtered(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -454,10 +464,14 @@ def _filtered(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             F.col("c1").alias(name), F.col("n").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}")
         )
 
+    kept, of = THRESHOLD
+    a, b = F.col("n_a"), F.col("n_b")
+    distance = _distance(F.col("s_a"), F.col("s_b"))
     return (
         pairs.join(side("a"), "a")
         .join(side("b"), "b")
-        .where(_allowed(F.col("n_a"), F.col("n_b"), F.col("s_a"), F.col("s_b")))
+        .where(F.least(a, b) * of >= F.greatest(a, b) * kept)
+        .where(distance * (of + kept) <= (a + b) * (of - kept))
         .select("a", "b")
     )
 
@@ -467,12 +481,15 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int)
 
     Only the sets of classes that are in a pair are worked out again from their texts.
     """
-    total = pairs.count()
     named = pairs.select(F.col("a").alias("c1")).union(pairs.select(F.col("b").alias("c1")))
     wanted = classes.join(named.distinct(), "c1", "left_semi").select("doc_id")
     sets = written(class_sets(docs, wanted, words), "class-sets")
-    blocks = max(16, total // BLOCK)
-    dealt = pairs.withColumn("block", F.pmod(F.xxhash64("b"), F.lit(blocks)))
+    partners_of = written(
+        pairs.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks")), "pair-blocks"
+    )
+    dealt = pairs.join(partners_of, "a").select(
+        "a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("block")
+    )
     heads = (
         dealt.select("a", "block")
         .distinct()

@@ -4,23 +4,24 @@ A document's set holds the 64-bit hashes of its distinct shingles. Two sets of s
 Jaccard of t only if they differ in at most ``D = (a + b) (1 - t) / (1 + t)`` shingles. Parity
 sketches bound that difference from below without the sets:
 
-* Pigeonhole join. Sizes are cut into bands by powers of two. For a band (and for each pair of
-  neighbouring bands, whose sets may meet too) shingles are dealt into P parts by hash, and each part
-  is folded into its parity, the XOR of its shingles' hashes. Every differing shingle changes one
-  part, so two sets that qualify disagree in at most D parts. A set with more than D parts that are
-  not empty therefore shares one of them, as a key (band, part, parity), with every set it qualifies
-  with. Sets with fewer (a few, by chance) add further keys that only they have, so nothing is lost.
+* Pigeonhole join. Sizes are cut into bands. For a band (and for each pair of neighbouring bands,
+  whose sets may meet too) shingles are dealt into P parts by hash, and each part is folded into its
+  parity, the XOR of its shingles' hashes: a key (band, part, parity). Every differing shingle
+  changes one part, so two sets that qualify disagree in at most D parts, and of the keys of a set
+  that has more than D at most D are not those of the other. So if both sets are listed under their
+  first D + 1 keys in one common order, they share one of these (prefix filter). The order puts keys
+  last that a bounded sample of documents shows to be frequent, so a passage shared by many
+  documents makes few candidates. A set with at most D parts that are not empty (rare, by chance) is
+  listed under all its keys and its empty parts, which only such sets have.
 * Hamming filter. Each set has a bit sketch of about its own size, every shingle flips one bit; the
   Hamming distance of two sketches is at most the sets' difference, so pairs beyond D are dropped.
 * Verification on the sets themselves.
 
-Shingles that a bounded sample of documents shows to be popular are left out of the parts of all
-sets alike, which keeps the bound, so that a passage shared by many documents makes no keys.
-
 Groups of copies are never expanded: documents with equal sets form one class, and the classes that
 share a key are compared with the smallest of them first (a star). Only where a key's classes are
-still in several components are the pairs between components compared too, so no link is lost and a
-group of near copies costs as many comparisons as it has members.
+still in several components are the pairs between components passed through the Hamming filter too
+(in the task that has the key's classes), and what is left compared, so no link is lost and a group
+of near copies costs as many comparisons as it has members.
 
 Python (numpy) hashes texts and counts keys within tasks; Spark moves keys by hash slot (packed, 5
 bytes a key), so a frequent key's classes are spread over all slots of their other keys. Components
@@ -34,8 +35,10 @@ gives an empty result; other columns are not read by the query and passed throug
 
 from __future__ import annotations
 
+import bisect
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -52,10 +55,11 @@ THRESHOLD = (75, 100)
 BITS = 1024
 #: Keys of one hash slot, and the least number of slots.
 SLOT_KEYS, LEAST_SLOTS = 1_000_000, 64
-#: Documents sampled for popular shingles, and how many of them must hold one.
-SAMPLE, POPULAR = 4000, 12
+#: Documents sampled for frequent keys, and how many of them must have one. Only the order of keys,
+#: not the result, depends on it.
+SAMPLE, FREQUENT = 4000, 3
 #: About how many partners of a class are compared in one group of rows.
-BLOCK = 2000
+BLOCK = 64
 BLOOM_BITS = 1 << 25
 
 U = np.uint64
@@ -136,47 +140,74 @@ def sketch(found: np.ndarray) -> np.ndarray:
     return np.packbits(flips.astype("uint8")).view("int64")
 
 
-def band_plans(n: int) -> list[tuple[int, int, int]]:
-    """(number of the plan, D, P) of the bands a set of size n takes part in.
+def _edges(limit: int = 1 << 48) -> list[int]:
+    """First sizes of the bands, each about half as large again as the one before."""
+    out = [1]
+    while out[-1] < limit:
+        out.append(max(out[-1] + 1, out[-1] * 3 // 2))
+    return out
 
-    Plan 2i is band i itself, sizes 2**i to 2**(i+1) - 1. Plan 2i + 1 joins band i with the next one.
-    """
+
+EDGES = _edges()
+
+
+def _largest_partner(size: int) -> int:
+    kept, of = THRESHOLD
+    return size * of // kept
+
+
+def _least_partner(size: int) -> int:
+    kept, of = THRESHOLD
+    return -(-size * kept // of)
+
+
+@lru_cache(maxsize=None)
+def _plan(band: int, joint: bool) -> tuple[int, int, int, int]:
+    """(D, P, smallest, largest size) of a band, or of the sets of it and the next that may meet."""
     kept, of = THRESHOLD
+    low, high = EDGES[band], EDGES[band + 1] - 1
+    if joint:
+        least = max(low, _least_partner(high + 1))
+        most = min(_largest_partner(high), EDGES[band + 2] - 1)
+        both = high + most
+    else:
+        least, most, both = low, high, 2 * high
+    differ = both * (of - kept) // (of + kept)
+    # Few enough parts for keys to be selective, enough for more than D of them to be filled.
+    wanted = differ + 1 + 0.8 * math.sqrt(least)
+    parts = differ + 1
+    while parts < 8 * most and parts * (1 - math.exp(-least / parts)) < wanted:
+        parts += max(1, parts // 50)
+    return differ, parts, least, most
+
+
+def band_plans(n: int) -> list[tuple[int, int, int]]:
+    """(number of the plan, D, P) of the bands a set of size n takes part in: 2i for band i itself,
+    2i + 1 for band i together with the next one."""
+    band = bisect.bisect_right(EDGES, n) - 1
     out = []
-    own = n.bit_length() - 1
-    for i in (own - 1, own):
-        if i < 0:
-            continue
-        low, high = 1 << i, (2 << i) - 1
-        top = min(high * of // kept, (4 << i) - 1)  # largest partner of a set of band i
-        if i == own:
-            out.append((2 * i, low, 2 * high))
-            if n * of >= kept * (high + 1):
-                out.append((2 * i + 1, low, high + top))
-        elif n <= top:
-            out.append((2 * i + 1, low, high + top))
-    plans = []
-    for number, low, both in out:
-        differ = both * (of - kept) // (of + kept)
-        parts = 8 * 2 * low if low < 16 else int(low * (1 + 4 / math.sqrt(low)))
-        if differ or number % 2:
-            plans.append((number, differ, max(parts, differ + 1)))
-    return plans
-
-
-def part_keys(found: np.ndarray, popular: Popular) -> np.ndarray:
-    """The pigeonhole keys of a set: enough that every set it qualifies with shares one."""
+    for number, joint in ((band, False), (band, True), (band - 1, True)):
+        if number >= 0:
+            differ, parts, least, most = _plan(number, joint)
+            if least <= n <= most and (differ or joint) and most > (EDGES[number + 1] - 1) * joint:
+                out.append((2 * number + joint, differ, parts))
+    return out
+
+
+def part_keys(found: np.ndarray, frequent: Frequent | None = None) -> np.ndarray:
+    """The pigeonhole keys of a set: enough that every set it qualifies with shares one. Without
+    ``frequent``, the keys of all its parts."""
     keys = []
-    rare = found[~popular.holds(found)]
     for number, differ, parts in band_plans(len(found)):
-        own, count = _parities(rare, parts, number * 4)
-        keys.append(own)
-        if count <= differ:  # too few parts to be sure: keys that only such sets have
-            own, count = _parities(found, parts, number * 4 + 1)
+        own = _parities(found, parts, number * 2)
+        if frequent is None:
             keys.append(own)
-            if count <= differ:
-                empty = np.setdiff1d(np.arange(parts), _part(found, parts)).astype("uint64")
-                keys.append(mix(empty, number * 4 + 2))
+        elif len(own) > differ:
+            order = np.lexsort((own, frequent.holds(own)))
+            keys.append(own[order[: differ + 1]])
+        else:
+            empty = np.setdiff1d(np.arange(parts), _part(found, parts)).astype("uint64")
+            keys += [own, mix(empty, number * 2 + 1)]
     return np.concatenate(keys) if keys else np.zeros(0, "uint64")
 
 
@@ -184,34 +215,33 @@ def _part(found: np.ndarray, parts: int) -> np.ndarray:
     return (((found >> U(32)) * U(parts)) >> U(32)).astype("int64")
 
 
-def _parities(found: np.ndarray, parts: int, seed: int) -> tuple[np.ndarray, int]:
-    """Keys of the parts that are not empty, and their number. ``found`` is sorted, and so are
-    the parts, which are ranges of hashes."""
+def _parities(found: np.ndarray, parts: int, seed: int) -> np.ndarray:
+    """Keys of the parts that are not empty. ``found`` is sorted, and so are the parts, which are
+    ranges of hashes."""
     if not len(found):
-        return np.zeros(0, "uint64"), 0
+        return np.zeros(0, "uint64")
     part = _part(found, parts)
     first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
     parity = np.bitwise_xor.reduceat(mix(found, 5), first)
-    return mix(parity + mix(part[first].astype("uint64"), seed), seed), len(first)
+    return mix(parity + mix(part[first].astype("uint64"), seed), seed)
 
 
-class Popular:
-    """A fixed set of shingles, tested by its low bits first."""
+class Frequent:
+    """A fixed set of keys, tested by their low bits first."""
 
-    def __init__(self, hashes: np.ndarray):
-        self.hashes = np.sort(hashes)
-        size = 1 << max(10, (16 * max(1, len(hashes))).bit_length())
+    def __init__(self, keys: np.ndarray):
+        self.keys = np.sort(keys)
+        size = 1 << max(10, (16 * max(1, len(keys))).bit_length())
         self.mask = U(size - 1)
         self.member = np.zeros(size, bool)
-        self.member[(self.hashes & self.mask).astype("int64")] = True
+        self.member[(self.keys & self.mask).astype("int64")] = True
 
-    def holds(self, found: np.ndarray) -> np.ndarray:
-        maybe = self.member[(found & self.mask).astype("int64")]
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        maybe = self.member[(keys & self.mask).astype("int64")]
         at = np.flatnonzero(maybe)
         if len(at):
-            near = np.searchsorted(self.hashes, found[at])
-            near = np.minimum(near, len(self.hashes) - 1)
-            maybe[at] = self.hashes[near] == found[at]
+            near = np.minimum(np.searchsorted(self.keys, keys[at]), len(self.keys) - 1)
+            maybe[at] = self.keys[near] == keys[at]
         return maybe
 
 
@@ -256,8 +286,8 @@ def document_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
     )
 
 
-def popular_shingles(docs: DataFrame, rows: int, words: int = WORDS) -> np.ndarray:
-    """Shingles that at least ``POPULAR`` different sets of a sample of documents hold."""
+def frequent_keys(docs: DataFrame, rows: int, words: int = WORDS) -> np.ndarray:
+    """Keys that at least ``FREQUENT`` of a sample of documents have."""
     share = max(1, rows // SAMPLE)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,29 +295,26 @@ def popular_shingles(docs: DataFrame, rows: int, words: int = WORDS) -> np.ndarr
             for text in batch.column(1).to_pylist():
                 found = shingles(text, words)
                 if len(found):
-                    number = np.full(len(found), set_numbers(found)[0])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(number), pa.array(found.view("int64"))], names=["c1", "shingle"]
-                    )
+                    keys = part_keys(found).view("int64")
+                    yield pa.RecordBatch.from_arrays([pa.array(keys)], names=["key"])
 
     counted = (
         _texts(docs)
         .where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0)
-        .mapInArrow(run, "c1 long, shingle long")
-        .distinct()
-        .groupBy("shingle")
+        .mapInArrow(run, "key long")
+        .groupBy("key")
         .count()
-        .where(F.col("count") >= POPULAR)
+        .where(F.col("count") >= FREQUENT)
     )
-    hashes = [r["shingle"] for r in counted.select("shingle").collect()]
-    return np.array(hashes, "int64").view("uint64")
+    keys = [r["key"] for r in counted.select("key").collect()]
+    return np.array(keys, "int64").view("uint64")
 
 
-def packed_keys(docs: DataFrame, popular: np.ndarray, slots: int, words: int) -> DataFrame:
+def packed_keys(docs: DataFrame, frequent: np.ndarray, slots: int, words: int) -> DataFrame:
     """Rows (slot, keys, owners): the keys of a batch of documents that fall into one hash slot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen = Popular(popular), set()
+        known, seen = Frequent(frequent), set()
         for batch in batches:
             keys, counts, numbers = [], [], []
             for text in batch.column(1).to_pylist():
@@ -336,7 +363,8 @@ def packed_keys(docs: DataFrame, popular: np.ndarray, slots: int, words: int) ->
 
 
 def key_groups(packed: DataFrame, slots: int) -> DataFrame:
-    """(key_group, c1) of the classes that share a key; equal groups have one number."""
+    """(key_group, hub, c1) of the classes that share a key, the hub being the smallest of them;
+    equal groups have one number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, owners = [], []
@@ -373,15 +401,22 @@ def key_groups(packed: DataFrame, slots: int) -> DataFrame:
         chosen = np.zeros(len(size), bool)
         chosen[once] = True
         keep = np.repeat(chosen, size)
-        groups = np.repeat(number.view("int64"), size)[keep]
-        members = members[keep]
-        for at in range(0, len(groups), 50_000):
+        # Owners of a key are sorted, so the first member is the smallest.
+        columns = [
+            np.repeat(number.view("int64"), size)[keep],
+            np.repeat(members[begin], size)[keep],
+            members[keep],
+        ]
+        for at in range(0, len(columns[0]), 50_000):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(groups[at : at + 50_000]), pa.array(members[at : at + 50_000])],
-                names=["key_group", "c1"],
+                [pa.array(c[at : at + 50_000]) for c in columns], names=["key_group", "hub", "c1"]
             )
 
-    return packed.repartition(slots, "slot").mapInArrow(run, "key_group long, c1 long").distinct()
+    return (
+        packed.repartition(slots, "slot")
+        .mapInArrow(run, "key_group long, hub long, c1 long")
+        .distinct()
+    )
 
 
 def wanted_bits(wanted: DataFrame) -> np.ndarray:
@@ -476,6 +511,68 @@ def _filtered(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
+def open_pairs(open_: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes of one key in different components that pass the size and Hamming
+    filters. ``open_``: key_group, c1 and part, the component."""
+    kept, of = THRESHOLD
+    rows = open_.join(classes.select("c1", "n", "sketch"), "c1").select(
+        "key_group", "c1", "part", "n", "sketch"
+    )
+
+    def pairs(members: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+        words = min(len(m[3]) for m in members)
+        sketches = np.stack([_folded(m[3], words) for m in members])
+        c1, part, n = (np.array([m[i] for m in members], "int64") for i in range(3))
+        values, counts = np.unique(part, return_counts=True)
+        left, right = [], []
+        # The largest component is compared with the others only from their side.
+        for x in np.flatnonzero(part != values[np.argmax(counts)]):
+            both = n + n[x]
+            near = (part != part[x]) & (np.minimum(n, n[x]) * of >= np.maximum(n, n[x]) * kept)
+            at = np.flatnonzero(near)
+            distance = np.bitwise_count(sketches[at] ^ sketches[x]).sum(axis=1, dtype="int64")
+            at = at[distance * (of + kept) <= both[at] * (of - kept)]
+            left.append(np.minimum(c1[at], c1[x]))
+            right.append(np.maximum(c1[at], c1[x]))
+        return np.concatenate(left), np.concatenate(right)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, members = None, []
+
+        def finished() -> Iterator[pa.RecordBatch]:
+            if len(members) > 1:
+                a, b = pairs(members)
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        for batch in batches:
+            sketches = batch.column("sketch")
+            offsets = sketches.offsets.to_numpy()
+            words = sketches.values.to_numpy()
+            columns = [batch.column(c).to_pylist() for c in ("key_group", "c1", "part", "n")]
+            for i, (own, c1, part, n) in enumerate(zip(*columns, strict=True)):
+                if own != group:
+                    yield from finished()
+                    group, members = own, []
+                members.append((c1, part, n, words[offsets[i] : offsets[i + 1]].copy()))
+        yield from finished()
+
+    return (
+        rows.repartition("key_group")
+        .sortWithinPartitions("key_group")
+        .mapInArrow(run, "a long, b long")
+        .distinct()
+    )
+
+
+def _folded(words: np.ndarray, size: int) -> np.ndarray:
+    """A sketch folded to ``size`` words by the XOR of its halves."""
+    while len(words) > size:
+        half = len(words) // 2
+        words = words[:half] ^ words[half:]
+    return words
+
+
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
     """The pairs (a, b) whose sets qualify. Set a meets its partners in blocks, streamed.
 
@@ -539,30 +636,31 @@ def components(links: DataFrame) -> DataFrame:
         .distinct(),
         "links",
     )
-    before = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        # Written, so that adaptive execution can split a node of very many links below.
         least = written(
             both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")), "star-least"
         )
-        large = written(
-            both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .where("u <> v").distinct(),
-            "large-star",
-        )
-        least = written(large.groupBy("u").agg(F.min("v").alias("m")), "star-least")
-        joined = large.join(least, "u")
-        edges = written(
-            joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .union(joined.select("u", F.col("m").alias("v")))
+        large = (
+            both.where("v > u")
+            .join(least, "u")
+            .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .where("u <> v")
-            .distinct(),
-            "small-star",
+            .distinct()
         )
-        state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if before is not None and tuple(state) == before:
+        large = written(large, "large-star")
+        # Of these links every node has few.
+        joined = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
+        small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).union(
+            joined.select("u", F.col("m").alias("v"))
+        )
+        edges = written(small.where("u <> v").distinct(), "small-star")
+        # Done when every node has one link, to a node that has none itself.
+        several = edges.groupBy("u").count().where("count > 1").select("u")
+        inner = edges.select("u").join(edges.select(F.col("v").alias("u")), "u", "left_semi")
+        if not several.union(inner).limit(1).count():
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        before = tuple(state)
 
 
 def _rooted(nodes: DataFrame, roots: DataFrame, name: str) -> DataFrame:
@@ -584,45 +682,33 @@ def linked_documents(docs: DataFrame, words: int = WORDS) -> DataFrame:
         "set-classes",
     )
     slots = max(LEAST_SLOTS, shingle_count // SLOT_KEYS)
-    popular = popular_shingles(docs, rows, words)
-    groups = written(key_groups(packed_keys(docs, popular, slots, words), slots), "key-groups")
+    frequent = frequent_keys(docs, rows, words)
+    groups = written(key_groups(packed_keys(docs, frequent, slots, words), slots), "key-groups")
 
     # First every class of a key with the smallest one of the key.
-    hubs = written(groups.groupBy("key_group").agg(F.min("c1").alias("a")), "key-hubs")
     star = (
-        groups.withColumnRenamed("c1", "b")
-        .join(hubs, "key_group")
-        .where("a <> b")
-        .select("a", "b")
-        .distinct()
+        groups.where("hub <> c1").select(F.col("hub").alias("a"), F.col("c1").alias("b")).distinct()
     )
     tried = written(_filtered(star, classes), "star-pairs")
     links = written(verified(tried, docs, classes, words), "star-links")
     roots = components(links)
 
     # Then, where a key's classes are in several components, the pairs between them.
-    labelled = written(_rooted(groups, roots, "part"), "key-parts")
+    labelled = written(_rooted(groups.select("key_group", "c1"), roots, "part"), "key-parts")
     mixed = (
         labelled.groupBy("key_group")
         .agg(F.min("part").alias("least"), F.max("part").alias("most"))
         .where("least <> most")
         .select("key_group")
     )
-    open_ = written(labelled.join(mixed, "key_group", "left_semi"), "key-open")
-    x, y = open_.alias("x"), open_.alias("y")
-    between = (
-        x.join(y, "key_group")
-        .where("x.c1 < y.c1 AND x.part <> y.part")
-        .select(F.col("x.c1").alias("a"), F.col("y.c1").alias("b"))
-        .distinct()
-        .join(star, ["a", "b"], "left_anti")
-    )
-    rest = written(_filtered(between, classes), "open-pairs")
+    open_ = labelled.join(mixed, "key_group", "left_semi")
+    between = open_pairs(open_, classes).join(star, ["a", "b"], "left_anti")
+    rest = written(between, "open-pairs")
     if rest.limit(1).count():
         more = written(verified(rest, docs, classes, words), "open-links")
         roots = components(links.union(more))
 
-    rooted = written(_rooted(classes.select("c1", "c2", "doc_id"), roots, "part"), "class-parts")
+    rooted = _rooted(classes.select("c1", "c2", "doc_id"), roots, "part")
     named = written(
         rooted.groupBy("part").agg(F.min("doc_id").alias("component_id")), "component-names"
     )

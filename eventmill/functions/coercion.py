@@ -6,7 +6,7 @@ coercions then work on those, so that a document is parsed and searched once per
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,22 +77,22 @@ def _clamped_int(number: Column) -> Column:
 
 
 def _low_32_bits(number: Column) -> Column:
-    low = number.bitwiseAND(F.lit(4294967295).cast("bigint"))
+    low = F.pmod(number, F.lit(4294967296).cast("decimal(38,0)")).cast("bigint")
     return F.when(low > INT_MAX, low - F.lit(4294967296).cast("bigint")).otherwise(low).cast("int")
 
 
 def lenient_int(name: str) -> Column:
     """Field as INT: missing, null or not numeric gives 0; fractions are cut off.
 
-    JSON integers too large for INT keep their low 32 bits, digit strings too large give 0,
-    and larger fractions saturate.
+    JSON integers too large for INT keep their low 32 bits (those of more than 38 digits saturate),
+    digit strings too large give 0, and larger fractions saturate.
     """
     text, kind = _parts(name)
     whole = text.rlike(r"^\s*[+-]?[0-9]+\s*$")
     return F.coalesce(
         text.try_cast("int"),
         F.when(kind == "BOOLEAN", (text == "true").cast("int")),
-        F.when(kind == "BIGINT", _low_32_bits(text.try_cast("bigint"))),
+        F.when((kind != "STRING") & whole, _low_32_bits(text.try_cast("decimal(38,0)"))),
         F.when(~((kind == "STRING") & whole), _clamped_int(text.try_cast("double"))),
         F.lit(0),
     )
@@ -108,46 +108,92 @@ def lenient_double(name: str) -> Column:
     )
 
 
-def has_name(value: Column, name: str) -> Column:
-    """True where JSON text has a field of this name in this spelling (without spaces)."""
-    return value.contains(f'"{name}":')
+# --- strict reading ---------------------------------------------------------------------------
 
+#: Options under which Spark's reader takes standard JSON only.
+STANDARD_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+#: Fields of a JSON object in the order of the text, repeated names included.
+FIELDS = "array<struct<name:string,kind:string,text:string>>"
 
-def spelled(value: Column, names: Sequence[str], sound: Column) -> Column:
-    """JSON text with the given field names in exactly this spelling.
 
-    A strict reader matches names in any letter case and lets the last one win, so other
-    spellings are rewritten before parsing. Only a name can stand between quotes before a
-    colon, so no value is touched. Rows for which ``sound`` holds have every name they need
-    and are left alone, which saves most rows the regular expressions.
-    """
-    any_case = "|".join(name.lower() for name in names)
-    exact = "|".join(names)
-    fixed = value
-    for name in names:
-        fixed = F.regexp_replace(fixed, rf'(?i)"{name}"(\s*:)', f'"{name}"$1')
-    odd = value.rlike(rf'"(?!(?:{exact})")(?i:{any_case})"\s*:')
-    return F.when(sound, value).when(odd, fixed).otherwise(value)
+def folded(name: Column) -> Column:
+    """A field name without its letter case."""
+    return F.upper(F.lower(name))
+
+
+def _in_array(text: Column) -> Column:
+    """The text as the only element of a JSON array, so that what follows a value is an error."""
+    return F.concat(F.lit("["), text, F.lit("]"))
+
+
+def one_value(text: Column) -> Column:
+    """True where the text is one JSON object or null with nothing after it."""
+    docs = F.from_json(_in_array(text), "array<map<string,variant>>", STANDARD_JSON)
+    start = F.ltrim(text, F.lit(" \t\r\n"))
+    # The array ends early only at a bracket of the text; as a member such a text is no JSON.
+    member = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    return F.coalesce(
+        (F.size(docs) == 1)
+        & (start.startswith("{") | start.startswith("null"))
+        & (~text.contains("]") | member.isNotNull()),
+        F.lit(False),
+    )
+
+
+def object_fields(text: Column) -> Column:
+    """Folded name, kind and text of every field of a JSON object, in order."""
+    docs = F.from_json(_in_array(text), "array<map<string,variant>>", STANDARD_JSON)
+    return F.transform(
+        F.map_entries(F.get(docs, F.lit(0))),
+        lambda e: F.struct(
+            folded(e["key"]).alias("name"),
+            json_kind(e["value"]).alias("kind"),
+            F.try_variant_get(e["value"], "$", "string").alias("text"),
+        ),
+    )
 
 
-def strict_ok(kind: Column, target: str) -> Column:
-    """True where a field of this JSON kind can be read strictly as ``target``.
+def raw_field(text: Column, name: str) -> Column:
+    """JSON text of the last field of this name, its own fields in their order."""
+    docs = F.from_json(_in_array(text), "array<map<string,string>>", STANDARD_JSON)
+    found = F.filter(
+        F.map_entries(F.get(docs, F.lit(0))), lambda e: folded(e["key"]) == name.upper()
+    )
+    return F.try_element_at(found, F.lit(-1))["value"]
+
+
+def _of_name(fields: Column, name: str) -> Column:
+    return F.filter(fields, lambda f: f["name"] == name.upper())
+
+
+def strict_ok(fields: Column, name: str, target: str) -> Column:
+    """True where every field of this name can be read strictly as ``target``.
 
     Absent fields and JSON null leave the zero value and are accepted.
     """
-    accepted = {
-        "string": kind == "STRING",
-        "int": kind == "BIGINT",
-        "double": kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL"),
-    }[target]
-    return kind.isNull() | (kind == "VOID") | accepted
+
+    def accepted(kind: Column) -> Column:
+        return {
+            "string": kind == "STRING",
+            "int": kind == "BIGINT",
+            "double": kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL"),
+        }[target]
+
+    fine = F.forall(_of_name(fields, name), lambda f: (f["kind"] == "VOID") | accepted(f["kind"]))
+    return F.coalesce(fine, F.lit(True))
+
+
+def strict_text(fields: Column, name: str) -> Column:
+    """Text of the last field of this name that is not null; NULL if there is none."""
+    set_ = F.filter(_of_name(fields, name), lambda f: f["kind"] != "VOID")
+    return F.try_element_at(set_, F.lit(-1))["text"]
 
 
-def strict_value(doc: Column, path: str, target: str) -> Column:
+def strict_value(fields: Column, name: str, target: str) -> Column:
     """Typed value of a field that passed :func:`strict_ok`; absent gives the zero value."""
     spark_type, zero = {
         "string": ("string", F.lit("")),
         "int": ("bigint", F.lit(0).cast("bigint")),
         "double": ("double", F.lit(0.0)),
     }[target]
-    return F.coalesce(F.try_variant_get(doc, path, spark_type), zero)
+    return F.coalesce(strict_text(fields, name).try_cast(spark_type), zero)

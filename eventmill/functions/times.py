@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: a full ISO instant, that is date, 'T', time with seconds, and a zone.
+# A full ISO instant, that is date, 'T', time with seconds, and a zone; as the lenient
+# reader takes it (any case, up to nine fraction digits) and as the strict one does.
 INSTANT = r"^\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}:\d{2}(\.\d{1,9})?([Zz]|[+-]\d{2}:\d{2})$"
+STRICT_INSTANT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
 ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
@@ -17,6 +19,12 @@ def parse_instant(text: Column) -> Column:
     return F.when(text.rlike(INSTANT), F.date_trunc("MILLISECOND", parsed))
 
 
+def parse_strict_instant(text: Column) -> Column:
+    """As :func:`parse_instant`, but upper case only and any number of fraction digits."""
+    parsed = F.try_to_timestamp(F.regexp_replace(text, r"(\.\d{6})\d+", "$1"))
+    return F.when(text.rlike(STRICT_INSTANT), F.date_trunc("MILLISECOND", parsed))
+
+
 def event_time(envelope_time: Column, record_time: Column) -> Column:
     """Time in the envelope if it is a full instant, else the record's own time."""
     return F.coalesce(parse_instant(envelope_time), F.date_trunc("MILLISECOND", record_time))

@@ -8,9 +8,14 @@ be known per block is the stock at its start. That is found from block summaries
 While stock ``A`` stays in ``[2^k, 2^(k+1))``, every request up to ``2^k`` fits, and a larger
 one that is accepted ends that range. So per block and ``k`` four numbers say whether the
 block passes without ending the range, and what it takes in that case. Only blocks in which a
-range ends are folded row by row to get their closing stock; with positive quantities these
-are at most one per power of two of the opening stock. After that all blocks are folded in
+range ends, or that hold a resubmitted order, are folded row by row to get their closing stock;
+with quantities of 0 or more the former are at most one per power of two of the opening stock.
+Quantities below 0 may end ranges again and again, so after ``FOLD_ROUNDS`` such blocks of an item
+its remaining rows are streamed through once instead. After that all blocks are folded in
 parallel, each from its own opening stock. The result is the same as one fold per item.
+
+A second request of an order for the same item is an error while the first one's reservation is
+live, and is decided like any other after a refusal or a release.
 """
 
 from __future__ import annotations
@@ -30,20 +35,26 @@ from eventmill.operators import hot_keys
 from eventmill.operators.hot_keys import BLOCK
 from eventmill.session import ensure_checkpoint_dir, written
 
-POWERS = 32  # stock is a 32-bit number
+POWERS = 62
+FOLD_ROUNDS = 100
+CHUNK = 4096
+ALREADY_RESERVED = "order already reserved"
 _BIG = np.iinfo(np.int64).max // 4
+_EMPTY = "array<string>"
 
 
-def first_requests(requests: DataFrame) -> DataFrame:
-    """The earliest request of every order id; later ones go to :func:`resubmitted`."""
-    first = requests.groupBy("order_id").agg(F.min("seq").alias("seq"))
-    return requests.join(first, ["order_id", "seq"], "left_semi")
-
-
-def resubmitted(requests: DataFrame) -> DataFrame:
-    """Requests for an order id that an earlier request already named."""
-    first = requests.groupBy("order_id").agg(F.min("seq").alias("seq"))
-    return requests.join(first, ["order_id", "seq"], "left_anti")
+def _with_resubmitted(requests: DataFrame) -> DataFrame:
+    """``_order``: the order id of rows whose order has several requests for the item."""
+    if "order_id" not in requests.columns:
+        return requests.withColumn("_order", F.lit(None).cast("string"))
+    several = (
+        requests.filter("order_id IS NOT NULL")
+        .groupBy("item", "order_id")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter("_n > 1")
+        .select("item", "order_id", F.col("order_id").cast("string").alias("_order"))
+    )
+    return requests.join(several, ["item", "order_id"], "left")
 
 
 def allocate(
@@ -52,27 +63,30 @@ def allocate(
     """Decide every request in ``seq`` order within its item.
 
     ``requests``: ``item, seq, quantity`` and a boolean ``holds`` (false: an accepted request
-    gives its stock back before the next one), plus any other columns.
+    gives its stock back before the next one), plus any other columns; ``order_id`` says which
+    requests are resubmitted.
     ``stock``: ``item, available_quantity``, one row per item.
-    Adds ``available_before`` (NULL for an unknown item) and ``reserved``.
+    Adds ``available_before`` (NULL for an unknown item), ``reserved`` and ``error``.
     """
     spark = requests.sparkSession
     ensure_checkpoint_dir(spark)
     hot = hot_keys.hot_keys(requests, ["item"], "seq", block_rows).checkpoint()
-    rows = hot_keys.add_blocks(requests, hot, ["item"], "seq")
+    rows = hot_keys.add_blocks(_with_resubmitted(requests), hot, ["item"], "seq")
     opening = stock.select(
         "item",
         F.lit(0).cast("bigint").alias(BLOCK),
         F.col("available_quantity").cast("bigint").alias("_open"),
+        F.array().cast(_EMPTY).alias("_held"),
     )
     if not hot.isEmpty():
         entries = _block_openings(rows, hot, opening)
-        opening = opening.join(F.broadcast(hot.select("item")), "item", "left_anti")
+        opening = opening.join(hot.select("item"), "item", "left_anti")
         opening = opening.unionByName(entries.filter("_open IS NOT NULL"))
     rows = rows.withColumn(BLOCK, F.coalesce(BLOCK, F.lit(0).cast("bigint")))
     decided = [
         T.StructField("available_before", T.LongType()),
         T.StructField("reserved", T.BooleanType()),
+        T.StructField("error", T.StringType()),
     ]
     schema = T.StructType([*requests.schema.fields, *decided])
     # The opening stock travels as a row in front of its requests: one shuffle of everything
@@ -82,60 +96,123 @@ def allocate(
     ordered = placed.repartition("item", BLOCK).sortWithinPartitions(
         "item", BLOCK, F.col("seq").asc_nulls_first()
     )
-    kept = ordered.select(*requests.columns, BLOCK, "_open")
+    kept = ordered.select(*requests.columns, BLOCK, "_order", "_open", "_held")
     return kept.mapInArrow(_fold_partition, schema)
 
 
-def _fold_step(stock: int, quantity: list, holds: list) -> tuple[list, list, int]:
-    """Stock before each request, the decisions, and the closing stock."""
-    before, taken = [], []
-    for q, h in zip(quantity, holds):
-        q = q or 0  # a request without a quantity asks for nothing
-        fits = stock >= q
-        before.append(stock)
-        taken.append(fits)
-        if fits and h:
-            stock -= q
-    return before, taken, stock
+class Fold:
+    """Stock of one item, and the live reservations of its resubmitted orders."""
+
+    def __init__(self, stock: int | None, held=()):
+        self.stock = stock
+        self.held = set(held or ())
+
+    def decide(
+        self, quantity: np.ndarray, holds: np.ndarray, orders: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Stock before each request, whether it is taken, and whether it is an error."""
+        n = len(quantity)
+        before, taken = np.empty(n, "int64"), np.zeros(n, bool)
+        wrong = np.zeros(n, bool)
+        for start in range(0, n, CHUNK):
+            part = slice(start, min(n, start + CHUNK))
+            q, h, o = quantity[part], holds[part], orders[part]
+            takes = np.where(h, q, 0)
+            stock = self.stock - (np.cumsum(takes) - takes)
+            if (o != None).any():  # noqa: E711
+                fits = self._one_by_one(q, h, o, stock, wrong[part])
+            elif (stock >= q).all():  # everything fits
+                fits = np.ones(len(q), bool)
+                self.stock = int(stock[-1] - takes[-1])
+            elif (q > self.stock).all():  # nothing fits
+                fits, stock = np.zeros(len(q), bool), np.full(len(q), self.stock)
+            else:
+                fits = self._one_by_one(q, h, o, stock, wrong[part])
+            before[part], taken[part] = stock, fits
+        return before, taken, wrong
+
+    def _one_by_one(self, q, h, o, before, wrong) -> np.ndarray:
+        """Decide row after row; fills ``before`` and ``wrong``."""
+        stock, fits = self.stock, []
+        for i, (quantity, holding, order) in enumerate(
+            zip(q.tolist(), h.tolist(), o.tolist(), strict=True)
+        ):
+            before[i] = stock
+            fit = stock >= quantity
+            if fit and order is not None:
+                if order in self.held:
+                    wrong[i], fit = True, False
+                elif holding:
+                    self.held.add(order)
+            if fit and holding:
+                stock -= quantity
+            fits.append(fit)
+        self.stock = stock
+        return np.array(fits, bool)
+
+
+def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Quantity (0 where there is none), holds and resubmitted order of a batch."""
+    quantity = pc.fill_null(batch.column("quantity").cast(pa.int64()), 0).to_numpy()
+    holds = pc.fill_null(batch.column("holds"), False).to_numpy(zero_copy_only=False)
+    orders = batch.column("_order")
+    if orders.null_count == len(orders):
+        return quantity, holds, np.full(len(orders), None, object)
+    return quantity, holds, np.array(orders.to_pylist(), object)
+
+
+def _runs(batch: pa.RecordBatch, *names: str) -> list[tuple[tuple, int, int]]:
+    """Values, start and end of each run of rows that agree in the named columns."""
+    n = batch.num_rows
+    change = np.zeros(n, bool)
+    for name in names:
+        codes = batch.column(name).dictionary_encode().indices
+        codes = pc.fill_null(codes, -1).to_numpy(zero_copy_only=False)
+        change[1:] |= codes[1:] != codes[:-1]
+    starts = [0, *np.flatnonzero(change).tolist()] if n else []
+    return [
+        (tuple(batch.column(name)[start].as_py() for name in names), start, end)
+        for start, end in zip(starts, [*starts[1:], n], strict=True)
+    ]
 
 
 def _fold_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Fold rows sorted by item, block and seq, each group led by its opening row if it has
-    one; the stock is carried from batch to batch."""
-    current, stock = None, None
+    one; the fold is carried from batch to batch."""
+    current, fold = None, None
     for batch in batches:
-        items = batch.column("item").to_pylist()
-        blocks = batch.column(BLOCK).to_pylist()
-        opens = batch.column("_open").to_pylist()
-        quantity = batch.column("quantity").to_pylist()
-        holds = batch.column("holds").to_pylist()
-        before: list = []
-        taken: list = []
-        start = 0
-        while start < len(items):
-            group = (items[start], blocks[start])
-            end = start + 1
-            while end < len(items) and items[end] == group[0] and blocks[end] == group[1]:
-                end += 1
+        quantity, holds, orders = _columns(batch)
+        opens = pc.is_valid(batch.column("_open")).to_numpy(zero_copy_only=False)
+        before, taken, wrong, known = [], [], [], []
+        for group, start, end in _runs(batch, "item", BLOCK):
             if group != current:
-                current, stock = group, None
-            if opens[start] is not None:
-                stock = opens[start]
+                current, fold = group, None
+            if opens[start]:
+                fold = Fold(batch.column("_open")[start].as_py(), batch.column("_held")[start].as_py())
                 start += 1
-            if stock is None:
-                before += [None] * (end - start)
-                taken += [False] * (end - start)
+            n = end - start
+            if fold is None:
+                part = np.zeros(n, "int64"), np.zeros(n, bool), np.zeros(n, bool)
             else:
-                b, t, stock = _fold_step(stock, quantity[start:end], holds[start:end])
-                before += b
-                taken += t
-            start = end
+                part = fold.decide(quantity[start:end], holds[start:end], orders[start:end])
+            known.append(np.full(n, fold is not None))
+            for out, values in zip((before, taken, wrong), part, strict=True):
+                out.append(values)
         requests = batch.filter(pc.is_null(batch.column("_open")))
-        kept = [i for i, n in enumerate(batch.schema.names) if n not in (BLOCK, "_open")]
+        inner = (BLOCK, "_order", "_open", "_held")
+        kept = [i for i, name in enumerate(batch.schema.names) if name not in inner]
+        decided = [np.concatenate(c) if c else np.zeros(0, bool) for c in (before, taken, wrong, known)]
         yield pa.RecordBatch.from_arrays(
             [requests.column(i) for i in kept]
-            + [pa.array(before, pa.int64()), pa.array(taken, pa.bool_())],
-            names=[batch.schema.names[i] for i in kept] + ["available_before", "reserved"],
+            + [
+                pa.array(decided[0].astype("int64"), pa.int64(), mask=~decided[3].astype(bool)),
+                pa.array(decided[1].astype(bool)),
+                pc.if_else(pa.array(decided[2].astype(bool)), ALREADY_RESERVED, None).cast(
+                    pa.string()
+                ),
+            ],
+            names=[batch.schema.names[i] for i in kept]
+            + ["available_before", "reserved", "error"],
         )
 
 
@@ -151,30 +228,31 @@ def _block_openings(rows: DataFrame, hot: DataFrame, opening: DataFrame) -> Data
             "seq",
             F.coalesce(F.col("quantity").cast("bigint"), F.lit(0)).alias("quantity"),
             F.coalesce("holds", F.lit(False)).alias("holds"),
+            "_order",
         )
         .repartition("item", BLOCK)
         .sortWithinPartitions("item", BLOCK, "seq"),
         "hot-requests",
     )
-    # At most MAX_HOT_KEYS items, so this side is small whatever the input.
-    hot_stock = F.broadcast(
+    hot_stock = (
         hot.select("item").join(opening.select("item", "_open"), "item", "left").checkpoint()
     )
     item_type = narrow.schema["item"].dataType.simpleString()
-    # One row of 32 x 4 numbers per block.
+    # One row of 62 x 4 numbers per block.
     summaries = (
         narrow.groupBy("item", BLOCK)
         .applyInPandas(
             _summarise,
             f"item {item_type}, {BLOCK} bigint, total array<bigint>, high array<bigint>, "
-            "low array<bigint>, big array<bigint>, least bigint",
+            "low array<bigint>, big array<bigint>, least bigint, again boolean",
         )
         .join(hot_stock, "item")
         .checkpoint()
     )
-    closing_schema = f"item {item_type}, {BLOCK} bigint, _close bigint"
+    closing_schema = f"item {item_type}, {BLOCK} bigint, _close bigint, _held {_EMPTY}"
     closings = spark.createDataFrame([], closing_schema)
-    walk_schema = f"item {item_type}, {BLOCK} bigint, _open bigint, pending boolean"
+    walk_schema = f"item {item_type}, {BLOCK} bigint, _open bigint, _held {_EMPTY}, pending boolean"
+    rounds = 0
     while True:
         # Cogrouped per item: its block summaries and the closings known so far.
         walked = (
@@ -183,18 +261,56 @@ def _block_openings(rows: DataFrame, hot: DataFrame, opening: DataFrame) -> Data
             .applyInPandas(_walk_blocks, walk_schema)
             .checkpoint()
         )
-        pending = walked.filter("pending").select("item", BLOCK, "_open")
+        pending = walked.filter("pending").select("item", BLOCK, "_open", "_held")
         if pending.isEmpty():
-            return walked.select("item", BLOCK, "_open")
-        # At most one pending block per hot item.
+            return walked.select("item", BLOCK, "_open", "_held")
+        rounds += 1
+        if rounds <= FOLD_ROUNDS:  # the one pending block of each item
+            rows_left = narrow.join(pending, ["item", BLOCK])
+        else:  # all blocks from there on, in one pass over the item
+            first = pending.withColumnRenamed(BLOCK, "_first")
+            rows_left = narrow.join(first, "item").filter(F.col(BLOCK) >= F.col("_first"))
         folded = (
-            narrow.join(F.broadcast(pending), ["item", BLOCK])
-            .groupBy("item", BLOCK)
-            .applyInPandas(_fold_block, closing_schema)
+            rows_left.select(*narrow.columns, "_open", "_held")
+            .repartition("item")
+            .sortWithinPartitions("item", BLOCK, "seq")
+            .mapInArrow(_close_blocks, closing_schema)
         )
         closings = closings.unionByName(folded).checkpoint()
 
 
+def _close_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Closing stock of every block of each item's sorted rows, from the opening of the first."""
+    current, fold = None, None
+    out: list[tuple] = []
+
+    def rows(kind: pa.DataType) -> pa.RecordBatch:
+        columns = list(zip(*out, strict=True)) or [[], [], [], []]
+        types = (kind, pa.int64(), pa.int64(), pa.list_(pa.string()))
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
+            names=["item", BLOCK, "_close", "_held"],
+        )
+        out.clear()
+        return batch
+
+    kind = None
+    for batch in batches:
+        kind = batch.column("item").type
+        quantity, holds, orders = _columns(batch)
+        for group, start, end in _runs(batch, "item", BLOCK):
+            if current is not None and group != current:
+                out.append((*current, fold.stock, sorted(fold.held)))
+            if current is None or group[0] != current[0]:
+                fold = Fold(batch.column("_open")[start].as_py(), batch.column("_held")[start].as_py())
+            current = group
+            fold.decide(quantity[start:end], holds[start:end], orders[start:end])
+        yield rows(kind)
+    if current is not None:
+        out.append((*current, fold.stock, sorted(fold.held)))
+        yield rows(kind)
+
+
 def _summarise(block: pd.DataFrame) -> pd.DataFrame:
     """Per power of two: what small requests take in total, at most and at least so far, and
     the smallest stock at block start with which a larger one would be accepted."""
@@ -220,39 +336,46 @@ def _summarise(block: pd.DataFrame) -> pd.DataFrame:
             "low": [low],
             "big": [big],
             "least": [int(quantity[holding].min()) if holding.any() else _BIG],
+            "again": [bool(block["_order"].notna().any())],
         }
     )
 
 
 def _walk_blocks(key: tuple, blocks: pd.DataFrame, closings: pd.DataFrame) -> pd.DataFrame:
     """Opening stock block after block, up to the first block that must be folded."""
-    known = dict(zip(closings[BLOCK].tolist(), closings["_close"].tolist()))
+    known = {
+        number: (int(close), list(held))
+        for number, close, held in zip(
+            closings[BLOCK].tolist(), closings["_close"].tolist(), closings["_held"].tolist(),
+            strict=True,
+        )
+    }
     blocks = blocks.sort_values(BLOCK)
-    numbers, opens, pending = [], [], []
+    out: list[tuple] = []
     if blocks.empty or pd.isna(blocks["_open"].iloc[0]):
         # An unknown item: no block has stock, and none needs a fold.
-        numbers = blocks[BLOCK].tolist()
-        opens, pending = [None] * len(numbers), [False] * len(numbers)
+        out = [(number, None, [], False) for number in blocks[BLOCK].tolist()]
         blocks = blocks.iloc[:0]
     else:
-        stock = int(blocks["_open"].iloc[0])
+        stock, held = int(blocks["_open"].iloc[0]), []
     for row in blocks.to_dict("records"):
-        numbers.append(row[BLOCK])
-        opens.append(stock)
-        if row[BLOCK] in known:
-            pending.append(False)
-            stock = int(known[row[BLOCK]])
+        number = row[BLOCK]
+        if number in known:
+            out.append((number, stock, held, False))
+            stock, held = known[number]
             continue
-        after = _pass_through(row, stock)
-        pending.append(after is None)
+        after = None if row["again"] else _pass_through(row, stock)
+        out.append((number, stock, held, after is None))
         if after is None:
             break
         stock = after
+    numbers, opens, helds, pending = zip(*out, strict=True) if out else ([], [], [], [])
     return pd.DataFrame(
         {
             "item": pd.Series([key[0]] * len(numbers), dtype="object"),
             BLOCK: pd.Series(numbers, dtype="int64"),
             "_open": pd.Series(opens, dtype="Int64"),
+            "_held": pd.Series(list(helds), dtype="object"),
             "pending": pd.Series(pending, dtype="bool"),
         }
     )
@@ -261,8 +384,8 @@ def _walk_blocks(key: tuple, blocks: pd.DataFrame, closings: pd.DataFrame) -> pd
 def _pass_through(block: dict, stock: int) -> int | None:
     """Closing stock of a block its summary decides; None where rows must be folded."""
     if stock <= 0:
-        # Only a request for nothing, or for less, could change an empty stock.
-        return stock if block["least"] > 0 else None
+        # Only a request for less than nothing could change an empty stock.
+        return stock if block["least"] >= 0 else None
     k = stock.bit_length() - 1
     if (
         k < POWERS
@@ -274,26 +397,16 @@ def _pass_through(block: dict, stock: int) -> int | None:
     return None
 
 
-def _fold_block(block: pd.DataFrame) -> pd.DataFrame:
-    """Closing stock of one block."""
-    block = block.sort_values("seq")
-    _, _, close = _fold_step(
-        int(block["_open"].iloc[0]), block["quantity"].tolist(), block["holds"].tolist()
-    )
-    return pd.DataFrame(
-        {"item": [block["item"].iloc[0]], BLOCK: [block[BLOCK].iloc[0]], "_close": [close]}
-    )
-
-
 def reservation_outcome(allocated: DataFrame) -> DataFrame:
-    """Event type and reason of each decision."""
+    """Event type and reason of each decision; a row with an error has neither."""
     unknown = F.col("available_before").isNull()
+    refused = F.col("error").isNull() & ~F.col("reserved")
     return allocated.select(
         "*",
         F.when(F.col("reserved"), C.INVENTORY_RESERVED)
-        .otherwise(C.INVENTORY_RESERVATION_FAILED)
+        .when(refused, C.INVENTORY_RESERVATION_FAILED)
         .alias("event_type"),
-        F.when(unknown, C.UNKNOWN_ITEM)
-        .when(~F.col("reserved"), C.INSUFFICIENT_STOCK)
+        F.when(refused & unknown, C.UNKNOWN_ITEM)
+        .when(refused, C.INSUFFICIENT_STOCK)
         .alias("reason"),
     )

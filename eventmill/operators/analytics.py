@@ -21,10 +21,14 @@ def with_lateness(df: DataFrame, grace: str) -> DataFrame:
 
 
 def large_orders(orders: DataFrame, min_quantity: int = C.LARGE_ORDER_QUANTITY) -> DataFrame:
-    """Orders of at least ``min_quantity``; the key is kept, the envelope dropped."""
-    return orders.filter(F.col("quantity") >= min_quantity).select(
-        "key", "order_id", "item", "quantity"
-    )
+    """Orders of at least ``min_quantity``; the key is kept, the envelope dropped.
+
+    Orders decoded from a topic keep their payload as JSON text, with all the fields it came
+    with; rows without a payload column have the typed fields alone.
+    """
+    kept = ["key", "order_id", "item", "quantity"]
+    kept += ["payload"] if "payload" in orders.columns else []
+    return orders.filter(F.col("quantity") >= min_quantity).select(*kept)
 
 
 def item_counts(orders: DataFrame) -> DataFrame:
@@ -105,8 +109,10 @@ def _within(window: str) -> Column:
     )
 
 
-def paid_orders(orders: DataFrame, payments: DataFrame, window: str = C.JOIN_WINDOW) -> DataFrame:
-    """Orders joined with payments of the same key at most ``window`` apart, either way.
+def slot_sides(
+    orders: DataFrame, payments: DataFrame, window: str
+) -> tuple[DataFrame, DataFrame, Column]:
+    """Both sides of the join within ``window`` as ``o`` and ``p``, and its condition.
 
     Both sides get a time slot two windows wide; a payment is copied into the (at most
     two) slots its range touches. The join is then on key *and* slot, so a key with very
@@ -122,7 +128,13 @@ def paid_orders(orders: DataFrame, payments: DataFrame, window: str = C.JOIN_WIN
     first, last = slot(f"- INTERVAL {window}"), slot(f"+ INTERVAL {window}")
     right = payments.withColumn("_slot", F.explode(F.sequence(first, last))).alias("p")
     on = (F.col("o.key") == F.col("p.key")) & (F.col("o._slot") == F.col("p._slot"))
-    return left.join(right, on & _within(window), "inner").select(*_paid_columns())
+    return left, right, on & _within(window)
+
+
+def paid_orders(orders: DataFrame, payments: DataFrame, window: str = C.JOIN_WINDOW) -> DataFrame:
+    """Orders joined with payments of the same key at most ``window`` apart, either way."""
+    left, right, on = slot_sides(orders, payments, window)
+    return left.join(right, on, "inner").select(*_paid_columns())
 
 
 def paid_orders_stream(

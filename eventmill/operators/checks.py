@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventmill import constants as C
@@ -12,21 +12,30 @@ def consumer_lag(records: DataFrame, committed: DataFrame) -> DataFrame:
     """Log end, committed position and lag per group, topic and partition.
 
     ``records``: ``topic, partition, offset``. ``committed``: ``group, topic, partition,
-    committed_offset`` (the next offset to read); a group that never committed has 0.
+    committed_offset`` (the next offset to read). A partition that a group of its topic never
+    committed has position 0; a committed partition without records ends where it was committed.
     """
     ends = records.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("end_offset"))
-    groups = committed.select("group", "topic").distinct()
-    joined = groups.join(ends, "topic").join(
+    # Every partition known of a topic, with the groups that read the topic.
+    groups = committed.groupBy("topic").agg(F.collect_set("group").alias("_groups"))
+    known = ends.select("topic", "partition").union(committed.select("topic", "partition"))
+    places = (
+        known.distinct()
+        .join(groups, "topic")
+        .select("topic", "partition", F.explode("_groups").alias("group"))
+    )
+    joined = places.join(ends, ["topic", "partition"], "left").join(
         committed, ["group", "topic", "partition"], "left"
     )
     position = F.coalesce("committed_offset", F.lit(0).cast("bigint"))
+    end = F.coalesce("end_offset", position)
     return joined.select(
         "group",
         "topic",
         "partition",
-        "end_offset",
+        end.alias("end_offset"),
         position.alias("committed_offset"),
-        (F.col("end_offset") - position).alias("lag"),
+        (end - position).alias("lag"),
     )
 
 
@@ -75,46 +84,52 @@ def saga_audit(
     ``events``: ``order_id, event_type``. ``reservations``: live ones. ``balance``: see
     :func:`eventmill.operators.saga.stock_balance`.
     """
-    outcome = {
-        C.PAYMENT_STATUS_COMPLETED: C.PAYMENT_COMPLETED,
-        C.PAYMENT_STATUS_FAILED: C.PAYMENT_FAILED,
-    }
-    expected_type = F.when(
-        F.col("status") == C.PAYMENT_STATUS_COMPLETED, outcome[C.PAYMENT_STATUS_COMPLETED]
-    ).otherwise(outcome[C.PAYMENT_STATUS_FAILED])
-    paid = payments.select("order_id", expected_type.alias("event_type"))
-    announced = events.filter(F.col("event_type").isin(*outcome.values())).select(
-        "order_id", "event_type"
-    )
-    per_order = reservations.groupBy("order_id").count()
-    done = orders.filter(F.col("status") == C.COMPLETED).select("order_id")
+    codes = {C.PAYMENT_COMPLETED: 1, C.PAYMENT_FAILED: 2}
 
-    def count(name: str, broken: DataFrame) -> DataFrame:
-        return broken.agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit(name).alias("check_name"), "violations"
+    def rows(df: DataFrame, **numbers) -> DataFrame:
+        """Rows of one source as numbers per order; what a source does not say is 0."""
+        names = ("live", "paid_ok", "paid_bad", "told_ok", "told_bad", "done")
+        return df.select(
+            "order_id", *[F.lit(numbers.get(n, 0)).cast("bigint").alias(n) for n in names]
         )
 
-    checks = [
-        count("stock is never negative", balance.filter("closing_quantity < 0")),
-        count("at most one live reservation per order", per_order.filter("`count` > 1")),
-        count(
-            "a payment has its event",
-            paid.join(announced, ["order_id", "event_type"], "left_anti"),
-        ),
-        count(
-            "a payment event has its payment",
-            announced.join(paid, ["order_id", "event_type"], "left_anti"),
-        ),
-        count(
-            "a completed order holds its reservation",
-            done.join(reservations.select("order_id"), "order_id", "left_anti"),
-        ),
-        count(
-            "a live reservation belongs to a completed order",
-            reservations.select("order_id").join(done, "order_id", "left_anti"),
-        ),
-    ]
-    result = checks[0]
-    for check in checks[1:]:
-        result = result.unionByName(check)
-    return result
+    status, kind = F.col("status"), F.col("event_type")
+    completed = (status == C.PAYMENT_STATUS_COMPLETED).cast("bigint")
+    everything = (
+        rows(reservations, live=1)
+        .union(rows(payments, paid_ok=completed, paid_bad=1 - completed))
+        .union(
+            rows(
+                events.filter(kind.isin(*codes)),
+                told_ok=(kind == C.PAYMENT_COMPLETED).cast("bigint"),
+                told_bad=(kind == C.PAYMENT_FAILED).cast("bigint"),
+            )
+        )
+        .union(rows(orders.filter(status == C.COMPLETED), done=1))
+    )
+    sums = [F.sum(n).alias(n) for n in everything.columns if n != "order_id"]
+    per_order = everything.groupBy("order_id").agg(*sums)
+
+    def unmatched(mine: str, other: str) -> Column:
+        """Rows of one kind whose order has none of the other."""
+        return F.when(F.col(other) == 0, F.col(mine)).otherwise(0)
+
+    broken = {
+        "at most one live reservation per order": F.when(F.col("live") > 1, 1).otherwise(0),
+        "a payment has its event": unmatched("paid_ok", "told_ok")
+        + unmatched("paid_bad", "told_bad"),
+        "a payment event has its payment": unmatched("told_ok", "paid_ok")
+        + unmatched("told_bad", "paid_bad"),
+        "a completed order holds its reservation": unmatched("done", "live"),
+        "a live reservation belongs to a completed order": unmatched("live", "done"),
+    }
+    counted = per_order.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(n) for n, c in broken.items()]
+    )
+    result = balance.filter("closing_quantity < 0").agg(
+        F.count(F.lit(1)).alias("violations")
+    ).select(F.lit("stock is never negative").alias("check_name"), "violations")
+    named = F.array(
+        *[F.struct(F.lit(n).alias("check_name"), F.col(f"`{n}`").alias("violations")) for n in broken]
+    )
+    return result.unionByName(counted.select(F.inline(named)))

@@ -27,10 +27,12 @@ ENVELOPE = (
 def decode_lenient(records: DataFrame) -> DataFrame:
     """Envelope fields of every record whose value is a JSON object; others are skipped.
 
-    Output: ``key, event_id, event_type, aggregate_id, event_time, payload`` plus
-    ``partition, offset``. Records with an event time before 1970 are dropped.
+    Output: ``key, event_id, event_type, aggregate_id, event_time, payload, value`` plus
+    ``partition, offset``. Records with an event time before 1970 are dropped. Text after the
+    object is ignored.
     """
-    read = F.from_json("value", ENVELOPE, {"columnNameOfCorruptRecord": "_bad"})
+    options = {"columnNameOfCorruptRecord": "_bad", **coercion.STANDARD_JSON}
+    read = F.from_json("value", ENVELOPE, options)
     names = {
         "event_id": "eventId",
         "event_type": "eventType",
@@ -40,6 +42,7 @@ def decode_lenient(records: DataFrame) -> DataFrame:
     parsed = records.select(
         F.col("key").cast("string").alias("key"),
         F.col("timestamp").alias("_record_time"),
+        "value",
         "partition",
         "offset",
         F.inline(F.array(read)),
@@ -48,6 +51,7 @@ def decode_lenient(records: DataFrame) -> DataFrame:
         "key",
         "_record_time",
         "payload",
+        "value",
         "partition",
         "offset",
         *[F.try_variant_get(n, "$", "string").alias(f"{c}_text") for c, n in names.items()],
@@ -60,6 +64,7 @@ def decode_lenient(records: DataFrame) -> DataFrame:
         coercion.lenient_text("aggregate_id").alias("aggregate_id"),
         times.event_time(F.col("time_text"), F.col("_record_time")).alias("event_time"),
         "payload",
+        "value",
         "partition",
         "offset",
     ).filter(F.col("event_time") >= F.timestamp_seconds(F.lit(0)))
@@ -71,8 +76,10 @@ def is_type(event_type: str) -> Column:
 
 
 def order_created(decoded: DataFrame) -> DataFrame:
-    """Typed OrderCreated rows: ``key, event_time, order_id, item, quantity`` and position."""
+    """Typed OrderCreated rows: ``key, event_time, order_id, item, quantity``, the payload as JSON
+    text with all its fields, and the position."""
     paths = {"order_id": "$.orderId", "item": "$.item", "quantity": "$.quantity"}
+    payload = F.from_json("value", "payload STRING", coercion.STANDARD_JSON)["payload"]
     created = decoded.filter(is_type(C.ORDER_CREATED))
     return coercion.add_scalars(created, "payload", paths).select(
         "key",
@@ -80,6 +87,7 @@ def order_created(decoded: DataFrame) -> DataFrame:
         coercion.lenient_text("order_id").alias("order_id"),
         coercion.lenient_text("item").alias("item"),
         coercion.lenient_int("quantity").alias("quantity"),
+        payload.alias("payload"),
         "partition",
         "offset",
     )
@@ -99,36 +107,17 @@ def payment_completed(decoded: DataFrame) -> DataFrame:
     )
 
 
-def payload_fields(handled: Sequence[str]) -> dict[str, str]:
-    """All payload fields of the handled types with their JSON type."""
-    return {name: kind for t in handled for name, kind in PAYLOAD_FIELDS[t]}
-
-
-def _well_spelled(outer: Sequence[str], handled: Sequence[str]) -> Column:
-    """True where the text has all outer names, and all fields of a handled type it mentions."""
-    value = F.col("value")
-    good = F.lit(True)
-    for name in outer:
-        good = good & coercion.has_name(value, name)
-    for event_type in handled:
-        fields = F.lit(True)
-        for name, _ in PAYLOAD_FIELDS[event_type]:
-            fields = fields & coercion.has_name(value, name)
-        good = good & (~value.contains(f'"{event_type}"') | fields)
-    return good
-
-
 def _payload_error(event_type: str) -> Column:
-    """Error of a payload of this type; its fields were read into ``_kind_*``, ``_whole_*``."""
+    """Error of a payload of this type; its fields were read into ``_fields``."""
     # An absent payload is an error, JSON null is not (it decodes to the zero struct).
-    kind = F.col("_payload_kind")
+    kind, fields = F.col("_payload_kind"), F.col("_fields")
     bad = ~F.coalesce((kind == "VOID") | kind.startswith("OBJECT<"), F.lit(False))
     # A whole number the reader accepts but the INT column does not.
     too_large = F.lit(False)
     for name, target in PAYLOAD_FIELDS[event_type]:
-        bad = bad | ~coercion.strict_ok(F.col(f"_kind_{name}"), target)
+        bad = bad | ~coercion.strict_ok(fields, name, target)
         if target == "int":
-            whole = F.col(f"_whole_{name}")
+            whole = coercion.strict_value(fields, name, "int")
             too_large = too_large | (whole > INT_MAX) | (whole < INT_MIN)
     return F.when(
         F.col("event_type") == event_type,
@@ -139,62 +128,46 @@ def _payload_error(event_type: str) -> Column:
 
 
 def decode_strict(records: DataFrame, handled: Sequence[str] = (C.ORDER_CREATED,)) -> DataFrame:
-    """All record columns plus envelope columns, ``error`` and the payload as VARIANT.
+    """All record columns plus envelope columns, ``error`` and the payload's fields.
 
-    Checks run in the order JSON, id, payload; ``error`` is NULL for a good record. The
-    payload is checked for ``handled`` types only, so a broken payload of an ignored type is
-    no error. Each stage below is one projection: parse, envelope, payload, verdict.
+    Names match in any letter case; of several fields with one name all must be readable, and the
+    last one that is not null counts. Checks run in the order JSON, id, payload; ``error`` is NULL
+    for a good record. The payload is checked for ``handled`` types only, so a broken payload of
+    an ignored type is no error.
     """
     names = {"event_id": "eventId", "event_type": "eventType", "aggregate_id": "aggregateId"}
-    fields = payload_fields(handled)
     raw = list(records.columns)
-    outer = [*names.values(), "timestamp", "payload"]
-    text = coercion.spelled(F.col("value"), [*outer, *fields], _well_spelled(outer, handled))
-    parsed = records.select(*raw, coercion.parse_lenient(text).alias("_doc"))
-    doc, payload = F.col("_doc"), F.col("_payload")
-    start = F.ltrim(F.col("value"), F.lit(" \t\r\n"))
-    envelope = parsed.select(
-        *raw,
-        # The document is known to be JSON, so its first character tells what it is.
-        (doc.isNotNull() & (start.startswith("{") | start.startswith("null"))).alias("_root_ok"),
-        *[coercion.json_kind(coercion.field(doc, f"$.{n}")).alias(f"_kind_{c}")
-          for c, n in names.items()],
-        *[coercion.strict_value(doc, f"$.{n}", "string").alias(c) for c, n in names.items()],
-        coercion.json_kind(coercion.field(doc, "$.timestamp")).alias("_time_kind"),
-        F.try_variant_get(doc, "$.timestamp", "string").alias("_time_text"),
-        coercion.field(doc, "$.payload").alias("_payload"),
-    )
-    typed = coercion.once(
-        envelope,
-        coercion.json_kind(payload).alias("_payload_kind"),
-        times.parse_instant(F.col("_time_text")).alias("event_time"),
-        *[
-            coercion.json_kind(coercion.field(payload, f"$.{n}")).alias(f"_kind_{n}")
-            for n in fields
-        ],
-        *[F.try_variant_get(payload, f"$.{n}", "bigint").alias(f"_whole_{n}")
-          for n, target in fields.items() if target == "int"],
+    value = F.col("value")
+    parsed = coercion.once(
+        records,
+        coercion.one_value(value).alias("_one"),
+        coercion.object_fields(value).alias("_outer"),
+        coercion.raw_field(value, "payload").alias("_payload_text"),
     )
-    time_kind = F.col("_time_kind")
-    envelope_ok = F.col("_root_ok") & (
-        time_kind.isNull()
-        | (time_kind == "VOID")
-        | ((time_kind == "STRING") & F.col("event_time").isNotNull())
+    outer = F.col("_outer")
+    last_payload = F.filter(outer, lambda f: f["name"] == "PAYLOAD")
+    kind = F.try_element_at(last_payload, F.lit(-1))["kind"]
+    envelope = coercion.once(
+        parsed,
+        kind.alias("_payload_kind"),
+        F.when(
+            kind.startswith("OBJECT<"), coercion.object_fields(F.col("_payload_text"))
+        ).alias("_fields"),
+        *[coercion.strict_value(outer, n, "string").alias(c) for c, n in names.items()],
+        coercion.strict_text(outer, "timestamp").alias("_time_text"),
+        times.parse_strict_instant(coercion.strict_text(outer, "timestamp")).alias("event_time"),
     )
-    for c in names:
-        envelope_ok = envelope_ok & coercion.strict_ok(F.col(f"_kind_{c}"), "string")
+    envelope_ok = F.col("_one") & (F.col("_time_text").isNull() | F.col("event_time").isNotNull())
+    for n in (*names.values(), "timestamp"):
+        envelope_ok = envelope_ok & coercion.strict_ok(outer, n, "string")
     error = F.coalesce(
         F.when(~F.coalesce(envelope_ok, F.lit(False)), "decode event:"),
         F.when(~ids.is_uuid(F.col("event_id")), "invalid eventId"),
         F.when(ids.is_urn(F.col("event_id")), "unstorable eventId"),
         *[_payload_error(t) for t in handled],
     )
-    return typed.select(
-        *raw,
-        *names,
-        "event_time",
-        error.alias("error"),
-        payload.alias("payload"),
+    return envelope.select(
+        *raw, *names, "event_time", error.alias("error"), F.col("_fields").alias("payload")
     )
 
 
@@ -202,7 +175,7 @@ def typed_payload(decoded: DataFrame, event_type: str) -> DataFrame:
     """Good rows of one type, payload fields as typed columns (after :func:`decode_strict`)."""
     columns = []
     for name, kind in PAYLOAD_FIELDS[event_type]:
-        value = coercion.strict_value(F.col("payload"), f"$.{name}", kind)
+        value = coercion.strict_value(F.col("payload"), name, kind)
         snake = "".join(f"_{c.lower()}" if c.isupper() else c for c in name)
         columns.append((value.try_cast("int") if kind == "int" else value).alias(snake))
     dropped = {"error", "value", "headers", "payload"}
@@ -211,8 +184,9 @@ def typed_payload(decoded: DataFrame, event_type: str) -> DataFrame:
     return good.select(*keep, *columns)
 
 
-def route_by_type(
-    decoded: DataFrame, event_types: Sequence[str]
-) -> dict[str, DataFrame]:
-    """One branch per handled type; rows of other types are in none of them."""
-    return {t: decoded.filter(is_type(t)) for t in event_types}
+def route_by_type(decoded: DataFrame, event_types: Sequence[str]) -> DataFrame:
+    """Rows of the handled types in one pass, with their type as ``branch``; rows of other types
+    are left out. Write with ``partitionBy("branch")`` to have the branches apart."""
+    return decoded.filter(F.col("event_type").isin(*event_types)).withColumn(
+        "branch", F.col("event_type")
+    )

@@ -23,11 +23,13 @@ def item_quantity_totals(orders: DataFrame) -> DataFrame:
     )
 
 
-def payment_branches(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Completed and failed payments: disjoint, and together all payment events."""
-    return (
-        events.filter(F.col("event_type") == C.PAYMENT_COMPLETED),
-        events.filter(F.col("event_type") == C.PAYMENT_FAILED),
+def payment_branches(events: DataFrame) -> DataFrame:
+    """All payment events in one pass, with the branch each belongs to: ``payments-ok`` or
+    ``payments-failed``. Write with ``partitionBy("branch")`` to have them apart."""
+    kind = F.col("event_type")
+    return events.filter(kind.isin(C.PAYMENT_COMPLETED, C.PAYMENT_FAILED)).withColumn(
+        "branch",
+        F.when(kind == C.PAYMENT_COMPLETED, "payments-ok").otherwise("payments-failed"),
     )
 
 
@@ -36,9 +38,16 @@ def latest_event_per_order(*topics: DataFrame) -> DataFrame:
     merged = topics[0]
     for topic in topics[1:]:
         merged = merged.unionByName(topic)
-    # The place is compared first, so this is one aggregate buffer of two plain columns.
-    last = merged.groupBy("key").agg(F.max(F.struct("seq", "event_type")).alias("_last"))
-    return last.select("key", "_last.event_type", F.col("_last.seq").alias("seq"))
+    # Known types go through the aggregate as a number, in a hash table; text would need a sort.
+    kinds = list(SAGA_STATES)
+    code = F.array_position(F.lit(kinds), F.col("event_type"))
+    numbered = merged.select("key", "seq", code.cast("int").alias("_code"))
+    last = numbered.groupBy("key").agg(
+        F.max_by("_code", "seq").alias("_code"), F.max("seq").alias("seq")
+    )
+    return last.select(
+        "key", F.try_element_at(F.lit(kinds), F.col("_code")).alias("event_type"), "seq"
+    )
 
 
 def failed_payment_orders(orders: DataFrame, failures: DataFrame) -> DataFrame:
@@ -49,9 +58,13 @@ def failed_payment_orders(orders: DataFrame, failures: DataFrame) -> DataFrame:
 def unpaid_orders(
     orders: DataFrame, payments: DataFrame, window: str = C.JOIN_WINDOW
 ) -> DataFrame:
-    """Orders without a completed payment of their key within ``window``, either way."""
-    paid = analytics.paid_orders(orders, payments, window).select("order_id").distinct()
-    return orders.join(paid, "order_id", "left_anti")
+    """Orders without a completed payment of their key within ``window``, either way.
+
+    Each row is judged on its own, so orders without an id, or with an id twice, stay apart; an
+    order without a key is unpaid.
+    """
+    left, right, on = analytics.slot_sides(orders, payments, window)
+    return left.join(right, on, "left_anti").drop("_slot")
 
 
 def unpaid_orders_stream(
@@ -81,7 +94,8 @@ def latest_per_key(changes: DataFrame, key: str, seq: str) -> DataFrame:
 
 def enrich_latest_price(orders: DataFrame, price_changes: DataFrame) -> DataFrame:
     """Orders with the latest price of their item, NULL if it was never priced."""
-    prices = latest_per_key(price_changes, "item", "seq").select("item", "price")
+    # Two plain numbers per item, so the aggregate needs no sort.
+    prices = price_changes.groupBy("item").agg(F.max_by("price", "seq").alias("price"))
     return orders.join(prices, "item", "left")
 
 
@@ -148,37 +162,88 @@ def merge_versions(old: DataFrame, new: DataFrame, defaults: Mapping[str, object
     return merged
 
 
-def saga_metrics(events: DataFrame, time: str = "event_time") -> DataFrame:
+def saga_metrics(
+    events: DataFrame,
+    time: str = "event_time",
+    retries: DataFrame | None = None,
+    dead_letters: DataFrame | None = None,
+) -> DataFrame:
     """Counts per event type, and for paid orders the time from creation to payment.
 
-    ``events``: ``order_id, event_type`` and a time. Output: ``metric, value``.
+    ``events``: ``order_id, event_type`` and a time. Output: ``metric, value``; also the number
+    of rows of ``retries`` and ``dead_letters`` where they are given.
     """
     counts = events.groupBy(F.col("event_type").alias("metric")).agg(
         F.count(F.lit(1)).cast("double").alias("value")
     )
     waits = completion_times(events, time)
-    # Exact percentiles over whole seconds: first counted per second, so little is merged.
-    spread = (
-        waits.groupBy(F.floor(F.col("wait_seconds")).cast("bigint").alias("_seconds"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .agg(
-            F.percentile("_seconds", F.array(F.lit(0.5), F.lit(0.95)), F.col("_n")).alias("_p"),
-            F.sum("_n").cast("double").alias("_orders"),
+    paid = waits.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
+        F.lit("paid_orders").alias("metric"), "value"
+    )
+    shares = {"completion_seconds_p50": 0.5, "completion_seconds_p95": 0.95}
+    spread = exact_percentiles(waits, "wait_micros", shares).select(
+        "metric", (F.col("value") / F.lit(1_000_000.0)).alias("value")
+    )
+    result = counts.unionByName(paid).unionByName(spread)
+    for name, rows in (("retries", retries), ("dead_letters", dead_letters)):
+        if rows is not None:
+            counted = rows.agg(F.count(F.lit(1)).cast("double").alias("value"))
+            result = result.unionByName(counted.select(F.lit(name).alias("metric"), "value"))
+    return result
+
+
+def exact_percentiles(
+    df: DataFrame, column: str, shares: Mapping[str, float], width: int = 1_000_000
+) -> DataFrame:
+    """``metric, value``: interpolated percentiles of a whole-number column, one row per share.
+
+    In two steps, so that no task holds all values: counts per range of ``width`` values give
+    the range of each wanted rank, and only there are single values counted. Without rows the
+    value is NULL.
+    """
+    ranges = df.groupBy(F.expr(f"`{column}` DIV {width}").alias("_range")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    upto = W.orderBy("_range").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ends = ranges.withColumn("_end", F.sum("_n").over(upto))
+    wanted = F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(name).alias("metric"), F.lit(share).alias("_share"))
+                for name, share in shares.items()
+            ]
         )
     )
-    named = spread.select(
-        F.explode(
-            F.create_map(
-                F.lit("paid_orders"),
-                F.coalesce("_orders", F.lit(0.0)),
-                F.lit("completion_seconds_p50"),
-                F.col("_p")[0],
-                F.lit("completion_seconds_p95"),
-                F.col("_p")[1],
-            )
-        ).alias("metric", "value")
+    total = df.agg(F.count(F.lit(1)).alias("_total")).select("_total", wanted.alias("_w"))
+    place = F.col("_w._share") * (F.col("_total") - 1)
+    ranks = total.select(
+        "_w.metric",
+        (place - F.floor(place)).alias("_part"),
+        F.explode(F.array(F.floor(place), F.ceil(place))).alias("_rank"),
+    ).distinct()
+    # One or two ranks per share meet the counts of the ranges.
+    found = ranks.join(
+        ends, (F.col("_rank") < F.col("_end")) & (F.col("_rank") >= F.col("_end") - F.col("_n"))
+    ).select("metric", "_part", "_rank", "_range", (F.col("_end") - F.col("_n")).alias("_before"))
+    inside = (
+        df.select(F.col(column).alias("_value"), F.expr(f"`{column}` DIV {width}").alias("_range"))
+        .join(F.broadcast(found), "_range")
+        .groupBy("metric", "_part", "_rank", "_before", "_value")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    by_value = W.partitionBy("metric", "_rank").orderBy("_value")
+    at = inside.withColumn(
+        "_end", F.col("_before") + F.sum("_n").over(by_value.rowsBetween(W.unboundedPreceding, 0))
+    ).filter((F.col("_rank") < F.col("_end")) & (F.col("_rank") >= F.col("_end") - F.col("_n")))
+    values = at.groupBy("metric").agg(
+        (
+            F.min("_value") + (F.max("_value") - F.min("_value")) * F.max("_part")
+        ).alias("value")
+    )
+    names = df.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(name) for name in shares])).alias("metric")
     )
-    return counts.unionByName(named)
+    return names.join(values, "metric", "left")
 
 
 def completion_times(events: DataFrame, time: str = "event_time") -> DataFrame:
@@ -192,7 +257,9 @@ def completion_times(events: DataFrame, time: str = "event_time") -> DataFrame:
         F.col("_created").cast("timestamp")
     )
     return both.filter("_paid >= _created").select(
-        "order_id", (wait / F.lit(1_000_000.0)).alias("wait_seconds")
+        "order_id",
+        wait.alias("wait_micros"),
+        (wait / F.lit(1_000_000.0)).alias("wait_seconds"),
     )
 
 

@@ -17,40 +17,33 @@ from pyspark.sql import Window as W
 
 BLOCK = "_block"
 BLOCK_ROWS = 1_000_000
-# Order values are unique whole numbers and roughly dense (an ingest number, an offset), so a
-# block this many values wide holds at most as many rows, bursts included.
+# Memory parameters. Order values are unique whole numbers and roughly dense (an ingest number, an
+# offset), so a block this many values wide holds at most as many rows, bursts included.
 MAX_WIDTH_FACTOR = 16
-# The hottest keys are found by a top-k, so the table of them is small whatever the input.
-# A key outside the top 10,000 holds at most one row in 10,000 and fits one task.
-MAX_HOT_KEYS = 10_000
 
 
 def hot_keys(
     df: DataFrame, keys: Sequence[str], seq: str, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """Keys with more than ``block_rows`` rows: first order value and width of their blocks."""
+    """Keys with more than ``block_rows`` rows: first order value and width of their blocks.
+
+    There are at most rows / ``block_rows`` of them, and each is returned.
+    """
     counts = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min(seq).alias("_first"), F.max(seq).alias("_last")
     )
     span = F.col("_last") - F.col("_first") + 1
     blocks = F.ceil(F.col("_n") / F.lit(block_rows))
     width = F.least(F.ceil(span / blocks), F.lit(MAX_WIDTH_FACTOR * block_rows))
-    return (
-        counts.filter(F.col("_n") > block_rows)
-        .orderBy(F.col("_n").desc(), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(
-            *keys,
-            "_first",
-            F.greatest(width, F.lit(1)).cast("bigint").alias("_width"),
-        )
+    return counts.filter(F.col("_n") > block_rows).select(
+        *keys, "_first", F.greatest(width, F.lit(1)).cast("bigint").alias("_width")
     )
 
 
 def add_blocks(df: DataFrame, hot: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     """Add the block number; NULL for keys that are not hot."""
-    # At most MAX_HOT_KEYS rows, so broadcasting them is safe at any input size.
-    marked = df.join(F.broadcast(hot), list(keys), "left")
+    # No hint: Spark broadcasts the hot keys while they are small, and otherwise joins by key.
+    marked = df.join(hot, list(keys), "left")
     block = F.expr(f"CAST((`{seq}` - _first) DIV _width AS BIGINT)")
     return marked.withColumn(BLOCK, block).drop("_first", "_width")
 

@@ -51,6 +51,55 @@ def dedup_events(
     return first if processed is None else unprocessed(first, processed, event_id)
 
 
+#: Errors of records that carry no usable id, as the strict decode names them.
+WITHOUT_ID = ("decode event:", "invalid eventId", "unstorable eventId")
+
+
+def consume(
+    decoded: DataFrame,
+    processed: DataFrame,
+    handled: Sequence[str],
+    seq: Sequence[str] = ("partition", "offset"),
+) -> DataFrame:
+    """What an idempotent consumer does with each record, in the column ``outcome``.
+
+    ``decoded``: records after :func:`eventmill.operators.decode.decode_strict`. In this order: a
+    record that cannot be read or has no valid id is a ``dead letter``; one whose id the service
+    processed before, or an earlier good record has, is a ``duplicate``, even if its payload is
+    broken; a broken payload is a ``dead letter``; then a handled type takes ``effect`` and any
+    other is ``ignored``. A parked record does not count as processed, so a later good copy of it
+    still takes effect.
+    """
+    place = F.struct(*seq)
+    readable = F.col("error").isNull() | ~F.col("error").isin(*WITHOUT_ID)
+    # A record without an id gets one of its own, so that such rows do not meet in one task.
+    own = F.concat_ws(":", F.lit("none"), *[F.col(c).cast("string") for c in seq])
+    rows = decoded.withColumn(
+        "_id", F.when(readable, ids.canonical_uuid(F.col("event_id"))).otherwise(own)
+    )
+    first = (
+        rows.filter(F.col("error").isNull()).groupBy("_id").agg(F.min(place).alias("_first"))
+    )
+    done = (
+        processed.select(ids.canonical_uuid(F.col("event_id")).alias("_id"))
+        .distinct()
+        .withColumn("_done", F.lit(True))
+    )
+    outcome = (
+        F.when(~readable, "dead letter")
+        .when(F.col("_done") | (place > F.col("_first")), "duplicate")
+        .when(F.col("error").isNotNull(), "dead letter")
+        .when(F.col("event_type").isin(*handled), "effect")
+        .otherwise("ignored")
+    )
+    return (
+        rows.join(first, "_id", "left")
+        .join(done, "_id", "left")
+        .withColumn("outcome", outcome)
+        .select(*decoded.columns, "outcome")
+    )
+
+
 def newly_processed(events: DataFrame, now: Column, event_id: str = "event_id") -> DataFrame:
     """Rows to add to the processed table, ignored event types included."""
     return events.select(F.col(event_id).alias("event_id"), now.alias("processed_at"))
@@ -143,9 +192,10 @@ def dlq_replay(letters: DataFrame, processed: DataFrame, key: str | None = None)
     if key is not None:
         rows = rows.filter(F.col("key") == key)
     id_text = F.try_variant_get(coercion.parse_lenient(F.col("value")), "$.eventId", "string")
-    # A row without an id gets one of its own, so that such rows do not meet in one task.
+    # A row without a valid id gets one of its own, so that such rows do not meet in one task.
     own = F.concat_ws(":", F.lit("none"), "original_partition", "original_offset")
-    rows = rows.withColumn("_id", F.coalesce(ids.canonical_uuid(id_text), own))
+    known = F.when(ids.is_uuid(id_text), ids.canonical_uuid(id_text))
+    rows = rows.withColumn("_id", F.coalesce(known, own))
     done = processed.select(ids.canonical_uuid(F.col("event_id")).alias("_id"))
     return rows.join(done, "_id", "left_anti").select(
         F.col("original_topic").alias("topic"), "key", "value"
@@ -168,6 +218,19 @@ def retry_due(
     )
 
 
+def requeued(failures: DataFrame, now: Column, max_attempts: int = C.MAX_HANDLE_ATTEMPTS) -> DataFrame:
+    """The failed records due for a retry, to be appended again with the next attempt number."""
+    due = retry_due(failures, now, max_attempts).filter(F.col("action") == "retry")
+    return due.withColumn("attempt", F.col("attempt") + 1).select(*failures.columns)
+
+
+def exhausted(failures: DataFrame, now: Column, max_attempts: int = C.MAX_HANDLE_ATTEMPTS) -> DataFrame:
+    """The failed records without a further attempt; :func:`failure_records` gives them in full."""
+    return retry_due(failures, now, max_attempts).filter(F.col("action") == "dlq").select(
+        *failures.columns
+    )
+
+
 def failure_records(failures: DataFrame, service: str) -> DataFrame:
     """Failed records in the long form: event, reason, attempts, time and service."""
     return failures.select(

@@ -50,8 +50,8 @@ def reserve_stock(
 ) -> DataFrame:
     """Reserve stock for each order in arrival order; nothing is given back.
 
-    ``requests``: ``order_id, item, seq, quantity``, one request per order id
-    (:func:`allocation.first_requests`).
+    ``requests``: ``order_id, item, seq, quantity``. Rows with an ``error`` belong on the dead
+    letter topic: they name an order whose reservation of the item is live.
     """
     holding = requests.withColumn("holds", F.lit(True))
     decided = allocation.allocate(holding, stock, block_rows)
@@ -207,6 +207,8 @@ def run_saga(
     valid = requests.filter(request_is_valid())
     paying = payment_succeeds(F.col("order_id"), failure_rate)
     decided = allocation.allocate(valid.withColumn("holds", paying), stock, block_rows)
+    # A request for an order whose reservation is live is a dead letter, not an outcome.
+    decided = decided.filter("error IS NULL")
     priced = price_lookup(allocation.reservation_outcome(decided), prices)
     reserved, paid = F.col("reserved"), F.col("holds")
     return priced.select(

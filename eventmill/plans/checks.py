@@ -54,7 +54,7 @@ def order_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def saga_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The audit on a finished saga: nothing is broken."""
-    done = saga_plans.outcome(spark, sf_dir)
+    done = saga_plans.finished(spark, sf_dir)
     live = saga_plans.live_in(done)
     payments = done.filter("payment_status IS NOT NULL").select(
         "order_id", F.col("payment_status").alias("status")

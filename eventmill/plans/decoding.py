@@ -70,13 +70,8 @@ def decode_strict_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def route_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = strict(spark, sf_dir).filter(F.col("error").isNull())
-    branches = decode.route_by_type(good, HANDLED)
-    return saga.merge_events(
-        *[
-            branch.select(F.lit(f"{name} handler").alias("branch"), "offset", "key")
-            for name, branch in branches.items()
-        ]
-    )
+    routed = decode.route_by_type(good, HANDLED)
+    return routed.select(F.concat("branch", F.lit(" handler")).alias("branch"), "offset", "key")
 
 
 def validate_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,36 +99,33 @@ _LENIENT_ITEM = """CASE WHEN k BETWEEN 20 AND 24 OR k BETWEEN 35 AND 44 THEN ''
        WHEN k BETWEEN 70 AND 74 THEN ''
        WHEN k BETWEEN 75 AND 79 THEN '7'
        ELSE item END"""
-_LENIENT_ORDERS = """FROM records
-WHERE event_type = 'OrderCreated' AND k >= 10 AND k NOT BETWEEN 55 AND 59"""
+_LENIENT_ORDERS = f"""FROM records
+WHERE event_type = 'OrderCreated' AND {sql.LENIENT} AND k NOT BETWEEN 55 AND 59"""
 _STRICT_ORDERS = """CASE WHEN k BETWEEN 20 AND 29 OR k BETWEEN 40 AND 44 THEN '' ELSE item END
          AS item,
-       CASE WHEN k BETWEEN 20 AND 29 OR k BETWEEN 40 AND 44 THEN 0 ELSE k END AS quantity"""
+       CASE WHEN k BETWEEN 20 AND 29 OR k BETWEEN 40 AND 44 THEN 0 WHEN k = 93 THEN 7 ELSE k END
+         AS quantity"""
 
 ORACLE = {
     "decode_lenient": f"""{_WITH}
-SELECT "offset", key, id_text AS event_id,
+SELECT "offset", key, CASE WHEN k = 94 THEN '' ELSE id_text END AS event_id,
        CASE WHEN k BETWEEN 55 AND 59 THEN '' ELSE event_type END AS event_type,
        key AS aggregate_id
-FROM records WHERE k >= 10""",
+FROM records WHERE {sql.LENIENT}""",
     "event_time": f"""{_WITH}
-SELECT "offset", date_trunc('millisecond', CASE WHEN k BETWEEN 45 AND 54
+SELECT "offset", date_trunc('millisecond', CASE WHEN k BETWEEN 45 AND 54 OR k = 96
          THEN event_time + INTERVAL 5 SECOND ELSE event_time END) AS event_time
-FROM records WHERE k >= 10""",
+FROM records WHERE {sql.LENIENT}""",
     "lenient_coercion": f"""{_WITH}
 SELECT "offset", CASE WHEN k BETWEEN 35 AND 44 THEN '' ELSE order_id END AS order_id,
   {_LENIENT_ITEM} AS item,
-  CAST(CASE WHEN k BETWEEN 10 AND 19 THEN 7
-       WHEN k BETWEEN 20 AND 29 OR k BETWEEN 35 AND 44 THEN 0
-       WHEN k BETWEEN 60 AND 64 THEN 1
-       WHEN k BETWEEN 65 AND 69 THEN 3000000000 - 4294967296
-       ELSE k END AS INTEGER) AS quantity
+  {sql.LENIENT_QUANTITY} AS quantity
 {_LENIENT_ORDERS}""",
     "lenient_payments": f"""{_WITH}
 SELECT "offset", CASE WHEN k BETWEEN 35 AND 44 THEN '' ELSE order_id END AS payment_id,
        CASE WHEN k BETWEEN 35 AND 44 THEN 0.0 ELSE amount END AS amount
 FROM records
-WHERE event_type = 'PaymentCompleted' AND k >= 10 AND k NOT BETWEEN 55 AND 59""",
+WHERE event_type = 'PaymentCompleted' AND {sql.LENIENT} AND k NOT BETWEEN 55 AND 59""",
     "topic_item_counts": f"""{_WITH}
 SELECT {_LENIENT_ITEM} AS item, count(*) AS order_count {_LENIENT_ORDERS} GROUP BY 1""",
     "decode_strict": f"""{_WITH}, {sql.STRICT}

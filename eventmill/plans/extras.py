@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from eventmill import constants as C
 from eventmill.functions import times
 from eventmill.operators import analytics, extras
+from eventmill.plans import reliability as batch_reliability
 from eventmill.plans import sql
 from eventmill.plans.analytics import JOIN_WINDOW
 from eventmill.sources import driver_tables as tables
@@ -31,11 +32,7 @@ def item_quantity_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payment_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ok, failed = extras.payment_branches(_log(spark, sf_dir))
-    columns = ["seq", "key", "amount"]
-    return ok.select(F.lit("payments-ok").alias("branch"), *columns).unionByName(
-        failed.select(F.lit("payments-failed").alias("branch"), *columns)
-    )
+    return extras.payment_branches(_log(spark, sf_dir)).select("branch", "seq", "key", "amount")
 
 
 def latest_event_per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +102,11 @@ def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def saga_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = _log(spark, sf_dir).withColumn("order_id", F.col("key"))
-    metrics = extras.saga_metrics(log)
+    metrics = extras.saga_metrics(
+        log,
+        retries=batch_reliability.retry_requeue(spark, sf_dir),
+        dead_letters=batch_reliability.dlq_route(spark, sf_dir),
+    )
     return metrics.select("metric", F.round("value", 6).alias("value"))
 
 
@@ -190,14 +191,17 @@ FROM orders WHERE o_totalprice > {HIGH_TOTAL}""",
     "schema_evolution": """SELECT o_orderkey AS order_id, o_totalprice AS amount,
        CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' THEN 'USD' ELSE 'EUR' END AS currency
 FROM orders""",
-    "saga_metrics": f"""WITH {sql.LOG},
+    "saga_metrics": f"""{batch_reliability.RETRIED}, {sql.RECORDS}, {sql.STRICT},
 t AS (SELECT key, min(event_time) FILTER (event_type = 'OrderCreated') AS c,
              min(event_time) FILTER (event_type = 'PaymentCompleted') AS p FROM log GROUP BY key),
-w AS (SELECT floor((epoch_us(p) - epoch_us(c)) / 1000000.0) AS s FROM t WHERE p >= c)
+w AS (SELECT (epoch_us(p) - epoch_us(c)) / 1000000.0 AS s FROM t WHERE p >= c)
 SELECT event_type AS metric, round(CAST(count(*) AS DOUBLE), 6) AS value FROM log GROUP BY 1
 UNION ALL SELECT 'paid_orders', CAST(count(*) AS DOUBLE) FROM w
 UNION ALL SELECT 'completion_seconds_p50', round(quantile_cont(s, 0.5), 6) FROM w
-UNION ALL SELECT 'completion_seconds_p95', round(quantile_cont(s, 0.95), 6) FROM w""",
+UNION ALL SELECT 'completion_seconds_p95', round(quantile_cont(s, 0.95), 6) FROM w
+UNION ALL SELECT 'retries', CAST(count(*) AS DOUBLE) FROM retried
+UNION ALL SELECT 'dead_letters', CAST(count(*) AS DOUBLE) FROM strict
+WHERE error IS NOT NULL""",
     "client_rate_limit": f"""WITH {sql.LOG}
 SELECT key, date_trunc('day', event_time) AS window_start, count(*) AS request_count
 FROM log GROUP BY 1, 2 HAVING count(*) > {CLIENT_LIMIT}""",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from eventmill import constants as C
 from eventmill.functions import ids
-from eventmill.operators import reliability
+from eventmill.operators import decode, reliability
 from eventmill.plans import decoding, sql
 from eventmill.sources import driver_tables as tables
 
@@ -15,6 +15,8 @@ HANDLED = decoding.HANDLED
 GROUP = "inventory-service"
 # "Now" of the retry and parking queries: a fixed moment inside the events' month.
 NOW = "2024-01-15 00:00:00"
+# Offsets of second deliveries start here.
+SECOND_DELIVERY = 1_000_000_000_000
 
 
 def dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +66,48 @@ def retry_due(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reliability.retry_due(failures, F.lit(NOW).cast("timestamp_ntz"))
 
 
+def _failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    failed = tables.of_type(tables.event_log(spark, sf_dir), C.PAYMENT_FAILED)
+    return failed.select(
+        "seq",
+        "key",
+        F.expr("CAST(1 + quantity DIV 40 AS INT)").alias("attempt"),
+        F.col("event_time").alias("failed_at"),
+        F.concat(F.lit("order "), "key").alias("value"),
+        F.lit(C.PAYMENT_DECLINED).alias("error"),
+    )
+
+
+def retry_requeue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    now = F.lit(NOW).cast("timestamp_ntz")
+    return reliability.requeued(_failures(spark, sf_dir), now).select("seq", "key", "attempt")
+
+
+def failure_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spent = reliability.exhausted(_failures(spark, sf_dir), F.lit(NOW).cast("timestamp_ntz"))
+    return reliability.failure_records(spent, GROUP)
+
+
+def redelivered_records(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    """The topic, then every record a second time with other contents: another note, and a
+    quantity that was text as a number."""
+    records = tables.topic_records(spark, sf_dir, streaming)
+    note = F.replace("value", F.lit('"as it came"'), F.lit('"again"'))
+    repaired = F.replace(note, F.lit('"quantity":"7"'), F.lit('"quantity":7'))
+    twice = F.array(
+        F.struct("offset", "value"),
+        F.struct((F.col("offset") + SECOND_DELIVERY).alias("offset"), repaired.alias("value")),
+    )
+    rest = [c for c in records.columns if c not in ("offset", "value")]
+    return records.select(*rest, F.inline(twice)).select(*records.columns)
+
+
+def consume_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = decode.decode_strict(redelivered_records(spark, sf_dir), HANDLED)
+    consumed = reliability.consume(decoded, tables.processed_ids(spark, sf_dir), HANDLED)
+    return consumed.select("offset", "outcome", "error")
+
+
 def outbox_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = tables.orders_in(tables.event_log(spark, sf_dir)).select(
         "seq",
@@ -119,6 +163,9 @@ QUERIES = {
     "dlq_summary": dlq_summary,
     "dlq_replay": dlq_replay,
     "retry_due": retry_due,
+    "retry_requeue": retry_requeue,
+    "failure_records": failure_records,
+    "consume_orders": consume_orders,
     "outbox_envelope": outbox_envelope,
     "outbox_next_batch": outbox_next_batch,
     "outbox_mark_published": outbox_mark_published,
@@ -138,7 +185,42 @@ DEDUP = f"""WITH {sql.LOG}
 SELECT md5(order_id) AS event_id, seq, 1 AS delivery, event_type, key
 FROM log WHERE event_type <> 'view'"""
 
+CONSUMED = f"""{_STRICT},
+copies AS (
+  SELECT *, "offset" AS place, error AS first_error, 1 AS delivery FROM strict
+  UNION ALL
+  SELECT * REPLACE (CASE WHEN event_type = 'OrderCreated' AND k BETWEEN 10 AND 14 THEN NULL
+                         ELSE error END AS error),
+         "offset" + {SECOND_DELIVERY} AS place, error AS first_error, 2 AS delivery
+  FROM strict),
+consumed AS (
+  SELECT place AS "offset", error, event_type, id,
+    CASE WHEN error IN ('decode event:', 'invalid eventId') THEN 'dead letter'
+         WHEN event_type = 'view' OR (delivery = 2 AND first_error IS NULL) THEN 'duplicate'
+         WHEN error IS NOT NULL THEN 'dead letter'
+         WHEN event_type IN ('OrderCreated', 'PaymentCompleted', 'PaymentFailed') THEN 'effect'
+         ELSE 'ignored' END AS outcome
+  FROM copies)"""
+
+_FAILURES = """failures AS (
+  SELECT seq, key, CAST(1 + quantity // 40 AS INTEGER) AS attempt, event_time AS failed_at,
+         'order ' || key AS value
+  FROM log WHERE event_type = 'PaymentFailed')"""
+
+RETRIED = f"""WITH {sql.LOG}, {_FAILURES},
+retried AS (
+  SELECT seq, key, attempt + 1 AS attempt FROM failures
+  WHERE attempt < {C.MAX_HANDLE_ATTEMPTS} AND failed_at + to_seconds(attempt) <= {_NOW})"""
+
 ORACLE = {
+    "retry_requeue": f"""{RETRIED}
+SELECT * FROM retried""",
+    "failure_records": f"""WITH {sql.LOG}, {_FAILURES}
+SELECT value AS original_event, '{C.PAYMENT_DECLINED}' AS failure_reason,
+       attempt AS attempt_count, failed_at, '{GROUP}' AS service
+FROM failures WHERE attempt >= {C.MAX_HANDLE_ATTEMPTS}""",
+    "consume_orders": f"""{CONSUMED}
+SELECT "offset", outcome, error FROM consumed""",
     "dedup_events": DEDUP,
     "seed_if_absent": """SELECT CAST(p_partkey AS VARCHAR) AS item,
   CASE WHEN p_size > 5 THEN p_size * 10 ELSE 100 END AS available_quantity FROM part""",
@@ -154,7 +236,7 @@ SELECT topic AS original_topic, error, count(*) AS parked_count
 FROM strict WHERE error IS NOT NULL GROUP BY topic, error""",
     "dlq_replay": f"""{_STRICT}
 SELECT topic, key, value FROM strict
-WHERE error IS NOT NULL AND NOT (event_type = 'view' AND k >= 10 AND k NOT BETWEEN 30 AND 34)""",
+WHERE error IS NOT NULL AND NOT (event_type = 'view' AND k >= 10 AND k NOT BETWEEN 30 AND 34 AND k <> 91)""",
     "retry_due": f"""WITH {sql.LOG}, f AS (
   SELECT seq, CAST(1 + quantity // 40 AS INTEGER) AS attempt, event_time AS failed_at
   FROM log WHERE event_type = 'PaymentFailed')

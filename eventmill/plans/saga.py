@@ -9,6 +9,7 @@ from eventmill import constants as C
 from eventmill.functions import ids
 from eventmill.operators import saga
 from eventmill.plans import sql
+from eventmill.session import written
 from eventmill.sources import driver_tables as tables
 
 
@@ -25,6 +26,11 @@ def outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def finished(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outcome as a written table, for reports that read it more than once."""
+    return written(outcome(spark, sf_dir), "saga-outcome")
+
+
 def live_in(done: DataFrame) -> DataFrame:
     """Live reservations after a finished saga."""
     return done.filter("reserved AND NOT released").select("order_id", "item", "quantity")
@@ -55,7 +61,16 @@ def _reserve(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def reserve_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _reserve(spark, sf_dir)
+    return _reserve(spark, sf_dir).drop("error")
+
+
+def reserve_resubmitted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reservation where an item's requests share a few order ids, so many are resubmitted."""
+    again = requests(spark, sf_dir).withColumn(
+        "order_id", F.concat_ws("-", "item", (F.col("quantity") % 3).cast("string"))
+    )
+    small = again.withColumn("quantity", F.col("quantity") * 5)
+    return saga.reserve_stock(small, tables.stock(spark, sf_dir))
 
 
 def release_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,6 +121,7 @@ QUERIES = {
     "price_lookup": price_lookup,
     "payment_outcome": payment_outcome,
     "reserve_stock": reserve_stock,
+    "reserve_resubmitted": reserve_resubmitted,
     "release_stock": release_stock,
     "stock_balance": stock_balance,
     "order_status": order_status,
@@ -116,15 +132,15 @@ QUERIES = {
 
 _REQUESTS = """requests AS (
   SELECT order_id, item, seq, quantity, true AS holds FROM created)"""
-_RESERVED = f"WITH RECURSIVE {sql.LOG}, {sql.CREATED}, {sql.STOCK}, {_REQUESTS}, " + sql.fold(
+RESERVED = f"WITH RECURSIVE {sql.LOG}, {sql.CREATED}, {sql.STOCK}, {_REQUESTS}, " + sql.fold(
     "requests"
 )
 _PRICE = f"coalesce(p.price, {C.DEFAULT_UNIT_PRICE}::DOUBLE)"
-_PAYS = f"{sql.draw('order_id')} >= {C.PAYMENT_FAILURE_RATE}"
+PAYS = f"{sql.draw('order_id')} >= {C.PAYMENT_FAILURE_RATE}"
 _REASON = f"""CASE WHEN available_before IS NULL THEN '{C.UNKNOWN_ITEM}'
        WHEN NOT reserved THEN '{C.INSUFFICIENT_STOCK}' END"""
 
-RESERVE_STOCK = f"""{_RESERVED}
+RESERVE_STOCK = f"""{RESERVED}
 SELECT order_id, item, seq, quantity, available_before, reserved,
        CASE WHEN reserved THEN 'InventoryReserved' ELSE 'InventoryReservationFailed' END
          AS event_type,
@@ -132,7 +148,7 @@ SELECT order_id, item, seq, quantity, available_before, reserved,
 FROM decided"""
 
 SAGA = f"""WITH RECURSIVE {sql.LOG}, {sql.CREATED}, {sql.STOCK}, {sql.PRICES},
-requests AS (SELECT order_id, item, seq, quantity, {_PAYS} AS holds FROM created
+requests AS (SELECT order_id, item, seq, quantity, {PAYS} AS holds FROM created
              WHERE quantity > 0),
 {sql.fold("requests")},
 outcome AS (
@@ -163,14 +179,41 @@ SELECT {sql.derived_id(sql.derived_id("order_id", "'InventoryReserved'"), "'paym
          AS payment_id,
        {sql.derived_id("order_id", "'InventoryReserved'")} AS event_id,
        order_id, c.item, quantity, {_PRICE} AS price, {_PRICE} * quantity AS amount,
-       CASE WHEN {_PAYS} THEN 'COMPLETED' ELSE 'FAILED' END AS payment_status,
-       CASE WHEN {_PAYS} THEN 'PaymentCompleted' ELSE 'PaymentFailed' END AS event_type,
-       CASE WHEN NOT ({_PAYS}) THEN '{C.PAYMENT_DECLINED}' END AS reason
+       CASE WHEN {PAYS} THEN 'COMPLETED' ELSE 'FAILED' END AS payment_status,
+       CASE WHEN {PAYS} THEN 'PaymentCompleted' ELSE 'PaymentFailed' END AS event_type,
+       CASE WHEN NOT ({PAYS}) THEN '{C.PAYMENT_DECLINED}' END AS reason
 FROM created c LEFT JOIN prices p ON p.item = c.item""",
     "reserve_stock": RESERVE_STOCK,
-    "release_stock": f"""{_RESERVED}
+    "reserve_resubmitted": f"""WITH RECURSIVE {sql.LOG}, {sql.CREATED}, {sql.STOCK},
+numbered AS (
+  SELECT item || '-' || (quantity % 3) AS order_id, item, seq, quantity * 5 AS quantity,
+         row_number() OVER (PARTITION BY item ORDER BY seq) AS rn FROM created),
+fold AS (
+  SELECT item, CAST(0 AS BIGINT) AS rn, CAST(available_quantity AS BIGINT) AS after_it,
+         CAST(NULL AS BIGINT) AS available_before, false AS reserved, false AS wrong,
+         CAST([] AS VARCHAR[]) AS held, CAST(NULL AS BIGINT) AS seq
+  FROM stock
+  UNION ALL
+  SELECT f.item, n.rn,
+         CASE WHEN f.after_it >= n.quantity AND NOT list_contains(f.held, n.order_id)
+              THEN f.after_it - n.quantity ELSE f.after_it END,
+         f.after_it, f.after_it >= n.quantity AND NOT list_contains(f.held, n.order_id),
+         f.after_it >= n.quantity AND list_contains(f.held, n.order_id),
+         CASE WHEN f.after_it >= n.quantity THEN list_append(f.held, n.order_id) ELSE f.held END,
+         n.seq
+  FROM fold f JOIN numbered n ON n.item = f.item AND n.rn = f.rn + 1)
+SELECT n.order_id, n.item, n.seq, CAST(n.quantity AS INTEGER) AS quantity, f.available_before,
+       coalesce(f.reserved, false) AS reserved,
+       CASE WHEN f.wrong THEN 'order already reserved' END AS error,
+       CASE WHEN f.reserved THEN 'InventoryReserved'
+            WHEN coalesce(f.wrong, false) THEN NULL ELSE 'InventoryReservationFailed' END
+         AS event_type,
+       CASE WHEN f.available_before IS NULL THEN '{C.UNKNOWN_ITEM}'
+            WHEN NOT f.reserved AND NOT f.wrong THEN '{C.INSUFFICIENT_STOCK}' END AS reason
+FROM numbered n LEFT JOIN fold f ON f.seq = n.seq""",
+    "release_stock": f"""{RESERVED}
 SELECT order_id, item, quantity, seq AS released_seq FROM decided
-WHERE reserved AND NOT ({_PAYS})""",
+WHERE reserved AND NOT ({PAYS})""",
     "stock_balance": f"""{SAGA},
 held AS (SELECT item, sum(quantity) AS q, count(*) AS n FROM outcome
          WHERE reserved AND NOT released GROUP BY item)

@@ -63,14 +63,22 @@ parts AS (
          ELSE id END AS id_text,
     CASE WHEN k BETWEEN 45 AND 49 THEN ',"timestamp":"' || strftime(event_time, '%Y-%m-%d') || '"'
          WHEN k BETWEEN 50 AND 54 THEN ''
+         WHEN k = 95 THEN ',"timestamp":"' || strftime(event_time, '%Y-%m-%dt%H:%M:%S.%fz') || '"'
+         WHEN k = 96
+           THEN ',"timestamp":"' || strftime(event_time, '%Y-%m-%dT%H:%M:%S.%f0000Z') || '"'
          ELSE ',"timestamp":"' || strftime(event_time, '%Y-%m-%dT%H:%M:%S.%fZ') || '"'
          END AS time_part,
+    CASE WHEN k = 97 AND event_type IN ('OrderCreated', 'PaymentCompleted', 'PaymentFailed')
+         THEN '\\u00' || lower(to_hex(ascii(event_type))) || substr(event_type, 2)
+         ELSE event_type END AS type_text,
     CASE WHEN k BETWEEN 10 AND 14 THEN ',"quantity":"7"'
          WHEN k BETWEEN 15 AND 19 THEN ',"quantity":7.9'
          WHEN k BETWEEN 20 AND 24 THEN ''
          WHEN k BETWEEN 25 AND 29 THEN ',"quantity":null'
          WHEN k BETWEEN 60 AND 64 THEN ',"quantity":true'
          WHEN k BETWEEN 65 AND 69 THEN ',"quantity":3000000000'
+         WHEN k = 92 THEN ',"quantity":NaN'
+         WHEN k = 93 THEN ',"quantity":' || k || ',"Quantity":7'
          ELSE ',"quantity":' || k END AS quantity_part,
     CASE WHEN k BETWEEN 20 AND 24 THEN ''
          WHEN k BETWEEN 25 AND 29 THEN ',"item":null'
@@ -82,7 +90,8 @@ bodies AS (
   SELECT *,
     CASE event_type
       WHEN 'OrderCreated'
-        THEN '{{"orderId":"' || order_id || '"' || item_part || quantity_part || '}}'
+        THEN '{{"orderId":"' || order_id || '"' || item_part || quantity_part
+             || ',"note":"as it came"}}'
       WHEN 'PaymentCompleted'
         THEN '{{"orderId":"' || key || '","paymentId":"' || order_id || '","amount":'
              || CAST(amount AS VARCHAR) || '}}'
@@ -92,9 +101,9 @@ bodies AS (
   FROM parts),
 texts AS (
   SELECT *,
-    '{{"eventId":"' || id_text
+    CASE WHEN k = 94 THEN '{{"EventId":"' ELSE '{{"eventId":"' END || id_text
     || CASE WHEN k BETWEEN 55 AND 59 THEN '","EventType":"' ELSE '","eventType":"' END
-    || event_type || '","aggregateId":"' || key || '"' || time_part
+    || type_text || '","aggregateId":"' || key || '"' || time_part
     || CASE WHEN k BETWEEN 35 AND 39 THEN ''
             WHEN k BETWEEN 40 AND 44 THEN ',"payload":null'
             ELSE ',"payload":' || body END
@@ -104,13 +113,24 @@ records AS (
   SELECT *, {topic('event_type')} AS topic, seq AS "offset",
     CASE WHEN k < 5 THEN left(json, length(json) - 2)
          WHEN k < 10 THEN 'this is not json'
+         WHEN k = 90 THEN json || ' x'
+         WHEN k = 91 THEN replace(json, '"', '\'\'')
          ELSE json END AS value
   FROM texts)"""
 
+# Records the lenient reader does not skip, and the quantity it reads.
+LENIENT = "k >= 10 AND k <> 91 AND NOT (k = 92 AND event_type = 'OrderCreated')"
+LENIENT_QUANTITY = """CAST(CASE WHEN k BETWEEN 10 AND 19 THEN 7
+       WHEN k BETWEEN 20 AND 29 OR k BETWEEN 35 AND 44 THEN 0
+       WHEN k BETWEEN 60 AND 64 THEN 1
+       WHEN k BETWEEN 65 AND 69 THEN 3000000000 - 4294967296
+       ELSE k END AS INTEGER)"""
+
 # What a strict reader handling all three types says about each record.
 STRICT = """strict AS (
   SELECT *,
-    CASE WHEN k < 10 OR k BETWEEN 45 AND 49 THEN 'decode event:'
+    CASE WHEN k < 10 OR k BETWEEN 45 AND 49 OR k IN (90, 91, 95)
+              OR (k = 92 AND event_type = 'OrderCreated') THEN 'decode event:'
          WHEN k BETWEEN 30 AND 34 THEN 'invalid eventId'
          WHEN event_type IN ('OrderCreated', 'PaymentCompleted', 'PaymentFailed')
               AND k BETWEEN 35 AND 39 THEN 'bad ' || event_type || ' payload:'

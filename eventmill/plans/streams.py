@@ -53,8 +53,10 @@ def stream_source_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_large_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    large = analytics.large_orders(_orders(spark, sf_dir), batch.MIN_QUANTITY)
-    return _appended(spark, "large-orders", large)
+    records = tables.topic_records(spark, sf_dir, streaming=True)
+    orders = decode.order_created(decode.decode_lenient(records))
+    large = analytics.large_orders(orders, batch.MIN_QUANTITY)
+    return _appended(spark, "large-orders", large.select("key", F.col("payload").alias("value")))
 
 
 def stream_item_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,6 +165,72 @@ def stream_reserve_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _saga_topics(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Inventory and payment events of all orders, made by chained streaming stages."""
+    requests = _orders(spark, sf_dir).select("order_id", "item", "seq", "quantity")
+    root = runner.job_paths(spark, "saga")[0]
+    inventory, payments = jobs.run_saga_stages(requests, tables.stock(spark, sf_dir), root)
+    return (
+        spark.read.schema(jobs.INVENTORY_EVENTS).parquet(inventory),
+        spark.read.schema(jobs.PAYMENT_EVENTS).parquet(payments),
+    )
+
+
+def stream_saga_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Final status of every order after reservation, charge and release by streaming stages."""
+    inventory, payments = _saga_topics(spark, sf_dir)
+    # A payment event follows the inventory event of its order.
+    events = inventory.select("order_id", "event_type", (F.col("seq") * 2).alias("seq")).union(
+        payments.select("order_id", "event_type", F.col("seq") * 2 + 1)
+    )
+    orders = batch_saga.requests(spark, sf_dir).select(
+        "order_id", F.lit(C.PENDING).alias("status")
+    )
+    return saga.order_status(orders, events)
+
+
+def stream_release_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reservations given back by the streaming stages."""
+    inventory, _ = _saga_topics(spark, sf_dir)
+    return inventory.filter(F.col("event_type") == C.INVENTORY_RELEASED).select(
+        "order_id", "item", F.col("quantity").cast("int").alias("quantity")
+    )
+
+
+def stream_consume_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Effects and dead letters of the idempotent consumer, read by committed batch."""
+    root = runner.job_paths(spark, "consumer")[0]
+    sinks = {name: f"{root}/{name}" for name in ("effects", "dead_letters", "processed")}
+    marker = f"{root}/marker"
+    records = batch_reliability.redelivered_records(spark, sf_dir, streaming=True)
+    write = jobs.consumer(
+        spark,
+        sinks,
+        marker,
+        tables.processed_ids(spark, sf_dir),
+        batch_reliability.HANDLED,
+        batch_reliability.GROUP,
+        F.lit(batch_reliability.NOW).cast("timestamp"),
+    )
+    runner.run_batches(records, write, f"{root}/checkpoint")
+    effects = runner.read_committed(spark, sinks["effects"], marker)
+    letters = reliability.parked(runner.read_committed(spark, sinks["dead_letters"], marker))
+    return effects.select("offset", F.lit("effect").alias("outcome"), "error").union(
+        letters.select("original_offset", F.lit("dead letter"), "error")
+    )
+
+
+def stream_dedup_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As :func:`stream_dedup`, with ids forgotten a day after their event time."""
+    log = tables.event_stream(spark, sf_dir).withColumn("event_id", F.md5("order_id"))
+    again = tables.of_type(tables.event_stream(spark, sf_dir), C.PAYMENT_COMPLETED)
+    both = log.unionByName(again.withColumn("event_id", F.md5("order_id")))
+    once = reliability.dedup_stream(
+        both.select("event_id", "seq", "event_type", "key", "event_time"), "1 day"
+    )
+    return _appended(spark, "dedup-within", once.drop("event_time"))
+
+
 def stream_dlq_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dead letters parked by a streaming job; good and bad records never block each other."""
     records = tables.topic_records(spark, sf_dir, streaming=True)
@@ -187,15 +255,18 @@ QUERIES = {
     "stream_dedup": stream_dedup,
     "stream_order_status": stream_order_status,
     "stream_reserve_stock": stream_reserve_stock,
+    "stream_saga_outcome": stream_saga_outcome,
+    "stream_release_stock": stream_release_stock,
+    "stream_consume_orders": stream_consume_orders,
+    "stream_dedup_within": stream_dedup_within,
     "stream_dlq_route": stream_dlq_route,
 }
 
 ORACLE = {
     "stream_source_replay": f"""WITH {sql.LOG}, {sql.RECORDS}
 SELECT "offset", key, CASE WHEN k BETWEEN 55 AND 59 THEN '' ELSE event_type END AS event_type
-FROM records WHERE k >= 10""",
-    "stream_large_orders": f"""WITH {sql.LOG}, {sql.CREATED}
-SELECT key, order_id, item, quantity FROM created WHERE quantity >= {batch.MIN_QUANTITY}""",
+FROM records WHERE {sql.LENIENT}""",
+    "stream_large_orders": batch.LARGE_ORDERS,
     "stream_item_counts": batch.ITEM_COUNTS,
     "counts_all": batch.ITEM_COUNTS,
     "stream_count_changelog": batch.CHANGELOG,
@@ -221,5 +292,15 @@ HAVING max(event_time) + INTERVAL 6 HOUR
 SELECT md5(order_id) AS event_id, seq, event_type, key FROM log""",
     "stream_order_status": batch_saga.ORDER_STATUS,
     "stream_reserve_stock": batch_saga.RESERVE_STOCK,
+    "stream_saga_outcome": f"""{batch_saga.RESERVED}
+SELECT order_id, CASE WHEN reserved AND {batch_saga.PAYS} THEN 'COMPLETED' ELSE 'CANCELLED' END
+         AS status
+FROM decided""",
+    "stream_release_stock": f"""{batch_saga.RESERVED}
+SELECT order_id, item, quantity FROM decided WHERE reserved AND NOT ({batch_saga.PAYS})""",
+    "stream_consume_orders": f"""{batch_reliability.CONSUMED}
+SELECT "offset", outcome, error FROM consumed WHERE outcome IN ('effect', 'dead letter')""",
+    "stream_dedup_within": f"""WITH {sql.LOG}
+SELECT md5(order_id) AS event_id, seq, event_type, key FROM log""",
     "stream_dlq_route": batch_reliability.ORACLE["dlq_route"],
 }

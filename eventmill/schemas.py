@@ -7,23 +7,10 @@ TOPIC_RECORD = (
     "timestamp TIMESTAMP, headers ARRAY<STRUCT<key: STRING, value: BINARY>>"
 )
 
-ORDERS = (
-    "id STRING, item STRING, quantity INT, status STRING, "
-    "created_at TIMESTAMP, updated_at TIMESTAMP"
-)
-INVENTORY = "item STRING, available_quantity INT"
-RESERVATIONS = (
-    "order_id STRING, item STRING, quantity INT, created_at TIMESTAMP"
-)
-PAYMENTS = (
-    "id STRING, order_id STRING, amount DOUBLE, status STRING, created_at TIMESTAMP"
-)
 OUTBOX = (
     "seq BIGINT, event_id STRING, topic STRING, key STRING, value BINARY, "
     "created_at TIMESTAMP, published_at TIMESTAMP"
 )
-PROCESSED_EVENTS = "event_id STRING, processed_at TIMESTAMP"
-PRICES = "item STRING, price DOUBLE"
 
 # Payload fields per event type, with the JSON type a strict reader requires.
 PAYLOAD_FIELDS: dict[str, list[tuple[str, str]]] = {

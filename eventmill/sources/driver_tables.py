@@ -108,11 +108,6 @@ def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.withColumn("event_time", earlier)
 
 
-def _topic_of(event_type: Column) -> Column:
-    payment = event_type.startswith("Payment")
-    return F.when(payment, C.PAYMENT_EVENTS).otherwise(C.ORDER_EVENTS)
-
-
 # Damage done to a record, by ``k``: the first matching range changes the named parts.
 # A part of None leaves the field out.
 DAMAGE = [
@@ -132,8 +127,15 @@ DAMAGE = [
     (75, 79, {"item": "7"}),
     (80, 84, {"eventId": "{@DASHED@}"}),
     (85, 89, {"eventId": "@dashed@"}),
+    (90, 90, {"after": " x"}),
+    (91, 91, {"quotes": "'"}),
+    (92, 92, {"quantity": "NaN"}),
+    (93, 93, {"quantity": '@k@,"Quantity":7'}),
+    (94, 94, {"eventId name": "EventId"}),
+    (95, 95, {"timestamp": "@lower time@"}),
+    (96, 96, {"timestamp": "@long time@"}),
+    (97, 97, {"escaped type": True}),
 ]
-STEP = 5  # every range above starts at a multiple of this
 
 
 def _body(event_type: str, parts: dict) -> str:
@@ -142,6 +144,7 @@ def _body(event_type: str, parts: dict) -> str:
             "orderId": '"@order@"',
             "item": parts.get("item", '"@item@"'),
             "quantity": parts.get("quantity", "@k@"),
+            "note": '"as it came"',
         }
     elif event_type == C.PAYMENT_COMPLETED:
         fields = {"orderId": '"@key@"', "paymentId": '"@order@"', "amount": "@amount@"}
@@ -157,22 +160,25 @@ def _template(event_type: str, k: int) -> str:
     if 5 <= k < 10:
         return "this is not json"
     parts = next((changed for low, high, changed in DAMAGE if low <= k <= high), {})
+    escaped = "escaped type" in parts and event_type
+    type_text = f"\\u{ord(event_type[0]):04x}{event_type[1:]}" if escaped else "@type@"
     fields = {
-        "eventId": f'"{parts.get("eventId", "@id@")}"',
-        parts.get("eventType name", "eventType"): '"@type@"',
+        parts.get("eventId name", "eventId"): f'"{parts.get("eventId", "@id@")}"',
+        parts.get("eventType name", "eventType"): f'"{type_text}"',
         "aggregateId": '"@key@"',
         "timestamp": f'"{parts.get("timestamp", "@time@")}"',
         "payload": parts.get("payload", _body(event_type, parts)),
     }
     missing = [n for n in ("timestamp", "payload") if n in parts and parts[n] is None]
     text = ",".join(f'"{n}":{v}' for n, v in fields.items() if n not in missing)
-    text = "{" + text + "}"
+    text = "{" + text + "}" + parts.get("after", "")
+    text = text.replace('"', parts.get("quotes", '"'))
     return text[:-2] if k < 5 else text
 
 
 def _template_of(event_type: str) -> Column:
-    texts = F.array(*[F.lit(_template(event_type, k)) for k in range(0, 100, STEP)])
-    return F.element_at(texts, F.expr(f"CAST(quantity DIV {STEP} + 1 AS INT)"))
+    texts = F.array(*[F.lit(_template(event_type, k)) for k in range(100)])
+    return F.element_at(texts, F.col("quantity") + 1)
 
 
 def topic_records(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
@@ -199,6 +205,8 @@ def topic_records(spark: SparkSession, sf_dir: str, streaming: bool = False) ->
         "@k@": F.col("quantity").cast("string"),
         "@amount@": F.col("amount").cast("string"),
         "@time@": F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"),
+        "@lower time@": F.date_format("event_time", "yyyy-MM-dd't'HH:mm:ss.SSSSSS'z'"),
+        "@long time@": F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'0000Z'"),
         "@date@": F.date_format("event_time", "yyyy-MM-dd"),
     }
     for place, column in places.items():

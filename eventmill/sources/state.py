@@ -10,8 +10,3 @@ def read_counts(spark: SparkSession, checkpoint: str) -> DataFrame:
     """All entries of a keyed-count state: key columns and the count, from every partition."""
     state = spark.read.format("statestore").load(checkpoint)
     return state.select("key.*", F.col("value.count").alias("order_count"))
-
-
-def read_variable(spark: SparkSession, checkpoint: str, name: str) -> DataFrame:
-    """Entries of one named state variable of a stateful processor."""
-    return spark.read.format("statestore").option("stateVarName", name).load(checkpoint)

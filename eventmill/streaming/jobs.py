@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmill import constants as C
-from eventmill.functions import times
-from eventmill.streaming import processors
-from eventmill.streaming.processors import CountChanges, LateFilter, StockKeeper
+from eventmill.functions import ids, times
+from eventmill.operators import decode, reliability, saga
+from eventmill.session import written
+from eventmill.streaming import processors, runner
+from eventmill.streaming.processors import CountChanges, LateFilter, StockKeeper, UserFold
 
 # The worker that prepares a stateful operator does not see files added to the session.
 cloudpickle.register_pickle_by_value(processors)
@@ -54,10 +58,113 @@ def keep_stock(movements: DataFrame) -> DataFrame:
     )
 
 
-def releases(failures: DataFrame, reservations: DataFrame) -> DataFrame:
-    """Failed payments as release movements: the item comes from the order's reservation."""
-    held = reservations.select("order_id", "item")
-    return failures.join(held, "order_id", "inner").select("item", "order_id", "seq")
+def releases(failures: DataFrame, stock: DataFrame) -> DataFrame:
+    """Failed payments as release movements.
+
+    ``failures``: payment events with the item they were charged for, so no reservation has to
+    be looked up (a table of them could be older than the failure).
+    """
+    failed = failures.filter(F.col("event_type") == C.PAYMENT_FAILED)
+    named = failed.select("item", "order_id", "seq", F.lit(0).cast("bigint").alias("quantity"))
+    return stock_movements(named, stock, "release")
+
+
+# --- the saga as stages over topics ---------------------------------------------------------
+
+INVENTORY_EVENTS = StockKeeper.SCHEMA
+PAYMENT_EVENTS = "seq BIGINT, order_id STRING, item STRING, event_type STRING, reason STRING"
+
+
+def inventory_stage(requests: DataFrame, payments: DataFrame, stock: DataFrame) -> DataFrame:
+    """Inventory events of new order requests and of failed payments."""
+    return keep_stock(stock_movements(requests, stock).unionByName(releases(payments, stock)))
+
+
+def payment_stage(
+    inventory: DataFrame, failure_rate: float = C.PAYMENT_FAILURE_RATE
+) -> DataFrame:
+    """Payment events of new reservations; ``seq`` stays that of the order."""
+    ok = saga.payment_succeeds(F.col("order_id"), failure_rate)
+    reserved = inventory.filter(F.col("event_type") == C.INVENTORY_RESERVED)
+    return reserved.select(
+        "seq",
+        "order_id",
+        "item",
+        F.when(ok, C.PAYMENT_COMPLETED).otherwise(C.PAYMENT_FAILED).alias("event_type"),
+        F.when(~ok, C.PAYMENT_DECLINED).alias("reason"),
+    )
+
+
+def run_saga_stages(
+    requests: DataFrame, stock: DataFrame, root: str, rate: float = C.PAYMENT_FAILURE_RATE
+) -> tuple[str, str]:
+    """Run the stages in turn until no stage has anything new: the topics of inventory and
+    payment events. Each stage has its own checkpoint under ``root``, so a run that stops
+    anywhere is continued by calling this again."""
+    spark = requests.sparkSession
+    inventory, payments = f"{root}/inventory", f"{root}/payments"
+    for topic, schema in ((inventory, INVENTORY_EVENTS), (payments, PAYMENT_EVENTS)):
+        spark.createDataFrame([], schema).write.mode("append").parquet(topic)
+    for _ in range(2):  # orders are reserved and charged; then failed ones are released
+        paid = spark.readStream.schema(PAYMENT_EVENTS).parquet(payments)
+        runner.run_append(
+            inventory_stage(requests, paid, stock), inventory, f"{root}/inventory-checkpoint"
+        )
+        reserved = spark.readStream.schema(INVENTORY_EVENTS).parquet(inventory)
+        runner.run_append(payment_stage(reserved, rate), payments, f"{root}/payment-checkpoint")
+    return inventory, payments
+
+
+# --- the idempotent consumer ----------------------------------------------------------------
+
+PROCESSED = "event_id STRING"
+
+
+def consumer(
+    spark: SparkSession,
+    sinks: dict[str, str],
+    marker: str,
+    processed: DataFrame,
+    handled: Sequence[str],
+    group: str,
+    failed_at: Column | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """Writer of an idempotent consumer: effects, dead letters and processed ids of a micro-batch
+    become visible together. ``sinks``: folders named effects, dead_letters and processed;
+    ``processed``: ids the service had before."""
+
+    def split(batch: DataFrame, batch_id: int) -> dict[str, DataFrame]:
+        earlier = runner.read_committed_before(
+            spark, sinks["processed"], marker, batch_id, PROCESSED
+        )
+        decoded = decode.decode_strict(batch, handled)
+        known = processed.select("event_id").union(earlier)
+        consumed = written(reliability.consume(decoded, known, handled), "consumed")
+        outcome = F.col("outcome")
+        return {
+            "effects": consumed.filter(outcome == "effect").drop("headers", "payload", "outcome"),
+            "dead_letters": reliability.dead_letters(
+                consumed.filter(outcome == "dead letter"), group, failed_at
+            ),
+            "processed": consumed.filter(outcome.isin("effect", "ignored")).select(
+                ids.canonical_uuid(F.col("event_id")).alias("event_id")
+            ),
+        }
+
+    return runner.atomic_sinks(sinks, marker, split)
+
+
+def fold_stream(
+    events: DataFrame, keys: Sequence[str], seq: str, start: Callable, step: Callable, schema: str
+) -> DataFrame:
+    """:func:`eventmill.operators.ordered_fold.fold_in_order` on a stream: rows are in order
+    within a micro-batch, and the state (JSON) is carried from one to the next."""
+    return events.groupBy(*keys).transformWithStateInPandas(
+        statefulProcessor=UserFold(start, step, seq),
+        outputStructType=schema,
+        outputMode="Append",
+        timeMode="None",
+    )
 
 
 def accepted_by_window(

@@ -9,6 +9,7 @@ The classes are sent to the workers by value, so they use nothing else of this p
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -110,6 +111,30 @@ class StockKeeper(StatefulProcessor):
         pass
 
 
+class UserFold(StatefulProcessor):
+    """A fold with the user's functions; the state is kept as JSON text per key.
+
+    ``start(key)`` and ``step(key, state, rows)`` are those of
+    :func:`eventmill.operators.ordered_fold.fold_in_order`; the state must be JSON.
+    """
+
+    def __init__(self, start, step, seq: str) -> None:
+        self._start, self._step, self._seq = start, step, seq
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._state = handle.getValueState("state", "json STRING")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        ordered = pd.concat(list(rows), ignore_index=True).sort_values(self._seq, kind="stable")
+        state = json.loads(self._state.get()[0]) if self._state.exists() else self._start(key)
+        state, out = self._step(key, state, ordered)
+        self._state.update((json.dumps(state),))
+        yield out
+
+    def close(self) -> None:
+        pass
+
+
 class LateFilter(StatefulProcessor):
     """Keep the rows that are not late when judged record by record within a partition.
 

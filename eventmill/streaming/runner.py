@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventmill.session import ROCKSDB, is_local, scratch_path
+from eventmill.session import ROCKSDB, scratch_path
 
 BATCH_ID = "batch_id"
 SERVICE_TRIGGER = {"processingTime": "1 second"}
@@ -23,14 +23,16 @@ JOB_TRIGGER = {"availableNow": True}
 
 @contextmanager
 def _state_settings(spark: SparkSession) -> Iterator[None]:
-    """Keyed state on RocksDB; in local mode also few state partitions."""
+    """Keyed state on RocksDB. The number of state partitions is the session's own
+    ``spark.sql.shuffle.partitions``, or ``eventmill.state.partitions`` where that is set."""
     wanted = {
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         # Changes instead of whole snapshots per batch: less to upload for large state.
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
-    if is_local(spark):
-        wanted["spark.sql.shuffle.partitions"] = "4"
+    partitions = spark.conf.get("eventmill.state.partitions", None)
+    if partitions:
+        wanted["spark.sql.shuffle.partitions"] = partitions
     before = {k: spark.conf.get(k, None) for k in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)
@@ -66,6 +68,18 @@ def run_append(
         _finish(query)
 
 
+def start_service(stream: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
+    """Start a job that keeps running, one micro-batch a second; the caller stops it."""
+    with _state_settings(stream.sparkSession):
+        return (
+            stream.writeStream.format("parquet")
+            .outputMode("append")
+            .option("checkpointLocation", checkpoint)
+            .trigger(**SERVICE_TRIGGER)
+            .start(sink)
+        )
+
+
 def run_batches(
     stream: DataFrame,
     write: Callable[[DataFrame, int], None],
@@ -116,18 +130,18 @@ def read_latest(spark: SparkSession, sink: str, keys: list[str]) -> DataFrame:
 # --- several outputs of one batch, visible together ------------------------------------------
 
 
-def atomic_sinks(sinks: dict[str, str], marker: str, split: Callable[[DataFrame], dict]):
+def atomic_sinks(sinks: dict[str, str], marker: str, split: Callable[[DataFrame, int], dict]):
     """Writer that stores the outputs of one micro-batch and then marks it complete.
 
-    ``split`` turns a batch into one DataFrame per name in ``sinks``, such as the changed
-    state and the events that announce it. A reader that keeps to marked batches
+    ``split`` turns a batch and its number into one DataFrame per name in ``sinks``, such as the
+    changed state and the events that announce it. A reader that keeps to marked batches
     (:func:`read_committed`) sees all outputs of a batch or none.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            for name, rows in split(batch).items():
+            for name, rows in split(batch, batch_id).items():
                 rows.write.mode("overwrite").parquet(_batch_folder(sinks[name], batch_id))
             mark = batch.sparkSession.range(1).select(F.lit(batch_id).alias("committed_batch"))
             mark.write.mode("overwrite").parquet(_batch_folder(marker, batch_id))
@@ -143,6 +157,18 @@ def read_committed(spark: SparkSession, sink: str, marker: str) -> DataFrame:
     return spark.read.parquet(sink).join(marked, BATCH_ID, "left_semi")
 
 
+def read_committed_before(
+    spark: SparkSession, sink: str, marker: str, batch_id: int, schema: str
+) -> DataFrame:
+    """Rows of marked batches before ``batch_id``, as that batch sees them when it is repeated."""
+    if batch_id == 0:
+        return spark.createDataFrame([], schema)
+    marked = spark.read.schema(f"{BATCH_ID} BIGINT, committed_batch BIGINT").parquet(marker)
+    earlier = marked.filter(F.col(BATCH_ID) < batch_id).select(BATCH_ID)
+    rows = spark.read.schema(f"{schema}, {BATCH_ID} BIGINT").parquet(sink)
+    return rows.join(earlier, BATCH_ID, "left_semi").drop(BATCH_ID)
+
+
 def job_paths(spark: SparkSession, name: str) -> tuple[str, str]:
     """Fresh sink and checkpoint folders of a job run from scratch."""
     root = scratch_path(spark, name)

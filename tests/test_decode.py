@@ -41,6 +41,8 @@ def test_lenient_coercion_of_every_kind(spark):
         ('{"item":"a","quantity":{"n":1}}', ("a", 0)),
         ('{"item":"a","quantity":3000000000}', ("a", 3000000000 - 2**32)),
         ('{"item":"a","quantity":"3000000000"}', ("a", 0)),
+        ('{"item":"a","quantity":50000000000000000000}', ("a", 50000000000000000000 % 2**32 - 2**32)),
+        ('{"item":"a","quantity":-50000000000000000000}', ("a", -50000000000000000000 % 2**32)),
         ('{"item":"a","quantity":1e12}', ("a", 2147483647)),
         ('{"item":null,"quantity":1}', ("null", 1)),
         ('{"quantity":1}', ("", 1)),
@@ -130,6 +132,65 @@ def test_strict_errors(spark):
     assert strict_errors(spark, [c[0] for c in cases]) == [c[1] for c in cases]
 
 
+def test_strict_reading_of_odd_texts(spark):
+    good = {"orderId": "o", "item": "widget", "quantity": 2}
+    text = order(good)
+    bad, bad_payload = "decode event:", "bad OrderCreated payload:"
+    cases = [
+        (text + " x", bad),
+        (text + "]", bad),
+        (text + "} ", bad),
+        (text + "," + text, bad),
+        (text + ',"v":1', bad),
+        (text + "] [", bad),
+        (" \n" + text + "\t ", None),
+        (text.replace('"', "'"), bad),
+        (text.replace("2}", "NaN}"), bad),
+        (text.replace('"eventId"', '"EventId"'), None),
+        (text.replace("10:00:00Z", "10:00:00.1234567891Z"), None),
+        (text.replace("10:00:00Z", "10:00:00z"), bad),
+        (text.replace("T10:00:00Z", "t10:00:00Z"), bad),
+        (text.replace('"quantity": 2', '"quantity": "x", "Quantity": 2'), bad_payload),
+        (text.replace('"quantity": 2', '"quantity": 2, "quantity": null'), None),
+        (text.replace('"payload"', '"payload": 5, "Payload"'), None),
+    ]
+    got = strict_errors(spark, [c[0] for c in cases])
+    assert got == [c[1] for c in cases]
+
+
+def test_last_field_of_a_name_counts(spark):
+    rows = [
+        ('"quantity": 1, "Quantity": 7', 7),
+        ('"Quantity": 7, "quantity": 1', 1),
+        ('"quantity": 1, "QUANTITY": null', 1),
+        ('"Quantity": 3', 3),
+    ]
+    values = [
+        order({"orderId": "o"}).replace('"orderId": "o"', f'"orderId": "o", {fields}').replace(
+            "OrderCreated", "Order\\u0043reated")
+        for fields, _ in rows
+    ]
+    decoded = decode.decode_strict(records(spark, [("k", v) for v in values]))
+    out = decode.typed_payload(decoded, C.ORDER_CREATED).orderBy("offset").collect()
+    assert [r["quantity"] for r in out] == [q for _, q in rows]
+
+
+def test_lenient_skips_what_is_no_standard_json(spark):
+    text = '{"eventType":"OrderCreated","payload":{"item":"a","quantity":%s}}'
+    values = [text % "1", (text % "1").replace('"', "'"), text % "NaN", (text % "2") + " x"]
+    out = decode.order_created(decode.decode_lenient(records(spark, [("k", v) for v in values])))
+    assert [r["quantity"] for r in out.orderBy("offset").collect()] == [1, 2]
+
+
+def test_payload_is_kept_as_it_came(spark):
+    from eventmill.operators import analytics
+
+    payload = '{"quantity":"9","note":"n","item":"a","orderId":"o","more":[1.50,{"x":null}]}'
+    value = '{"eventType":"OrderCreated","payload":%s}' % payload
+    orders = decode.order_created(decode.decode_lenient(records(spark, [("k", value)])))
+    assert analytics.large_orders(orders).first()["payload"] == payload
+
+
 def test_names_match_in_any_case_and_missing_fields_are_zero(spark):
     value = json.dumps(
         {"EVENTID": UUID, "eventtype": "OrderCreated", "Payload": {"ORDERID": "o1", "Item": "w"}}

@@ -87,35 +87,86 @@ def test_hot_item_may_be_unknown(spark):
     assert allocate(spark, requests, STOCK, 8) == brute_force(requests, dict(STOCK))
 
 
-def test_most_blocks_pass_by_their_summary():
-    """With positive quantities few blocks need their rows: one per power of two at most."""
+def walk(requests, size, stock):
+    """Openings of all blocks by summaries, and how many blocks had to be folded."""
+    import numpy as np
     import pandas as pd
 
-    rng = random.Random(9)
-    requests = [("hot", i, rng.choice([1, 5, 30]), True) for i in range(5000)]
-    blocks = []
-    for b in range(100):
-        rows = requests[b * 50 : (b + 1) * 50]
+    blocks, frames = [], []
+    for b in range(-(-len(requests) // size)):
+        rows = requests[b * size : (b + 1) * size]
         frame = pd.DataFrame(rows, columns=["item", "seq", "quantity", "holds"])
-        frame["_block"] = b
+        frame["_block"], frame["_order"] = b, None
+        frames.append(frame)
         blocks.append(allocation._summarise(frame))
     summary = pd.concat(blocks, ignore_index=True)
-    summary["_open"] = 20_000
-    closings = pd.DataFrame({"_block": [], "_close": []})
+    summary["_open"] = stock
+    closings: list[tuple] = []
     folds = 0
     while True:
-        walked = allocation._walk_blocks(("hot",), summary, closings)
+        known = pd.DataFrame(closings, columns=["_block", "_close", "_held"])
+        walked = allocation._walk_blocks(("hot",), summary, known)
         pending = walked[walked["pending"]]
         if pending.empty:
-            break
+            return walked["_open"].astype(int).tolist(), folds
         folds += 1
-        b, stock = int(pending["_block"].iloc[0]), int(pending["_open"].iloc[0])
-        rows = requests[b * 50 : (b + 1) * 50]
-        _, _, close = allocation._fold_step(stock, [r[2] for r in rows], [r[3] for r in rows])
-        closings.loc[len(closings)] = [b, close]
-    assert folds <= 16
-    expected = brute_force(requests, {"hot": 20_000})
-    assert [expected[b * 50][0] for b in range(100)] == walked["_open"].astype(int).tolist()
+        b = int(pending["_block"].iloc[0])
+        fold = allocation.Fold(int(pending["_open"].iloc[0]))
+        frame = frames[b]
+        fold.decide(
+            frame["quantity"].to_numpy("int64"), frame["holds"].to_numpy(bool),
+            np.full(len(frame), None, object),
+        )
+        closings.append((b, fold.stock, []))
+
+
+@pytest.mark.parametrize("choices", [[1, 5, 30], [0, 0, 1, 5, 30]])
+def test_most_blocks_pass_by_their_summary(choices):
+    """With quantities of 0 or more few blocks need their rows, however many there are."""
+    rng = random.Random(9)
+    for n in (2000, 10_000):
+        requests = [("hot", i, rng.choice(choices), True) for i in range(n)]
+        opens, folds = walk(requests, 50, 20_000)
+        assert folds <= 16
+        expected = brute_force(requests, {"hot": 20_000})
+        assert [expected[b * 50][0] for b in range(n // 50)] == opens
+
+
+def test_rounds_are_bounded_with_any_quantities(spark, monkeypatch):
+    """After a few folded blocks the rest of an item is streamed once."""
+    monkeypatch.setattr(allocation, "FOLD_ROUNDS", 2)
+    requests = random_requests(11, n=300, low=-30)
+    assert allocate(spark, requests, STOCK, 4) == brute_force(requests, dict(STOCK))
+
+
+def test_many_hot_keys_are_all_split(spark):
+    rows = [(f"k{i % 40}", i, 1) for i in range(800)]
+    df = spark.createDataFrame(rows, "key string, seq bigint, v int")
+    assert hot_keys.hot_keys(df, ["key"], "seq", 5).count() == 40
+
+
+@pytest.mark.parametrize("block_rows", [6, 1000])
+def test_resubmitted_orders_across_blocks(spark, block_rows):
+    rng = random.Random(3)
+    rows = [
+        (f"o{rng.randrange(40)}", rng.choice(["hot", "hot", "a"]), i, rng.randint(0, 20))
+        for i in range(150)
+    ]
+    left, held, want = dict(STOCK), set(), {}
+    for order_id, item, seq, quantity in rows:
+        before = left[item]
+        if before >= quantity and (item, order_id) in held:
+            want[seq] = (before, False, "order already reserved")
+            continue
+        fits = before >= quantity
+        want[seq] = (before, fits, None)
+        if fits:
+            held.add((item, order_id))
+            left[item] -= quantity
+    req = spark.createDataFrame(rows, "order_id string, item string, seq bigint, quantity int")
+    table = spark.createDataFrame(STOCK, "item string, available_quantity int")
+    out = allocation.allocate(req.withColumn("holds", F.lit(True)), table, block_rows).collect()
+    assert {r["seq"]: (r["available_before"], r["reserved"], r["error"]) for r in out} == want
 
 
 def test_smaller_order_fits_after_a_larger_was_refused(spark):

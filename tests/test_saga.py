@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventmill import constants as C
-from eventmill.operators import allocation, checks, saga
+from eventmill.operators import checks, saga
 from eventmill.streaming import jobs, runner
 
 REQUEST = "order_id string, item string, seq bigint, quantity int"
@@ -114,11 +114,30 @@ def test_last_status_wins_and_unknown_orders_have_no_effect(spark):
     assert out == {"o1": C.CANCELLED, "o2": C.PENDING}
 
 
-def test_resubmitted_request_is_split_off(spark):
-    rows = [("o1", "widget", 1, 5), ("o1", "widget", 2, 5), ("o2", "widget", 3, 5)]
-    requests = spark.createDataFrame(rows, REQUEST)
-    assert [r["seq"] for r in allocation.first_requests(requests).orderBy("seq").collect()] == [1, 3]
-    assert [r["seq"] for r in allocation.resubmitted(requests).collect()] == [2]
+def test_resubmitted_request_is_an_error_only_while_the_first_is_live(spark):
+    rows = [
+        ("o1", "widget", 1, 500),  # refused
+        ("o1", "widget", 2, 60),  # so this one is decided
+        ("o1", "widget", 3, 10),  # and this one meets a live reservation
+        ("o2", "widget", 4, 40),
+        ("o1", "widget", 5, 10),  # no stock left: refused as any other
+        ("o2", "gadget", 6, 1),  # another item
+    ]
+    out = saga.reserve_stock(spark.createDataFrame(rows, REQUEST), stock_of(spark)).orderBy("seq")
+    assert [(r["event_type"] or r["error"], r["reason"]) for r in out.collect()] == [
+        (C.INVENTORY_RESERVATION_FAILED, C.INSUFFICIENT_STOCK),
+        (C.INVENTORY_RESERVED, None),
+        ("order already reserved", None),
+        (C.INVENTORY_RESERVED, None),
+        (C.INVENTORY_RESERVATION_FAILED, C.INSUFFICIENT_STOCK),
+        (C.INVENTORY_RESERVED, None),
+    ]
+
+
+def test_released_order_is_decided_again(spark):
+    rows = [("o1", "widget", 1, 60), ("o1", "widget", 2, 60), ("o2", "widget", 3, 100)]
+    out = run(spark, rows, 1.0).orderBy("seq").collect()
+    assert [(r["reserved"], r["released"]) for r in out] == [(True, True)] * 3
 
 
 def random_orders(n=200, seed=3):
@@ -203,7 +222,7 @@ def test_atomic_outputs_are_read_by_committed_batch(spark):
     sinks = {"state": f"{root}/state", "events": f"{root}/events"}
     marker = f"{root}/marker"
 
-    def split(batch):
+    def split(batch, batch_id):
         return {
             "state": batch.select("id"),
             "events": batch.select(F.concat(F.lit("e"), "id").alias("event_id")),

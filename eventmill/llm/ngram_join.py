@@ -60,6 +60,8 @@ SLOT_KEYS, LEAST_SLOTS = 1_000_000, 64
 SAMPLE, FREQUENT = 4000, 3
 #: About how many partners of a class are compared in one group of rows.
 BLOCK = 64
+#: Rows of the keys of one hub that one group of rows holds.
+HUB_ROWS = 4000
 BLOOM_BITS = 1 << 25
 
 U = np.uint64
@@ -513,10 +515,18 @@ def _filtered(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def open_pairs(open_: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs (a, b) of classes of one key in different components that pass the size and Hamming
-    filters. ``open_``: key_group, c1 and part, the component."""
+    filters. ``open_``: key_group, hub, c1 and part, the component.
+
+    Keys of one hub mostly have the same classes, so they go to the same task, in blocks of about
+    ``HUB_ROWS`` rows, which puts a pair out once for all its keys of a block.
+    """
     kept, of = THRESHOLD
-    rows = open_.join(classes.select("c1", "n", "sketch"), "c1").select(
-        "key_group", "c1", "part", "n", "sketch"
+    sizes = open_.groupBy("hub").agg(F.ceil(F.count("*") / HUB_ROWS).cast("long").alias("blocks"))
+    rows = (
+        open_.join(sizes, "hub")
+        .join(classes.select("c1", "n", "sketch"), "c1")
+        .withColumn("block", F.pmod(F.xxhash64("key_group"), F.col("blocks")))
+        .select("hub", "block", "key_group", "c1", "part", "n", "sketch")
     )
 
     def pairs(members: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
@@ -537,29 +547,37 @@ def open_pairs(open_: DataFrame, classes: DataFrame) -> DataFrame:
         return np.concatenate(left), np.concatenate(right)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, members = None, []
+        block, group, members, found = None, None, [], []
 
-        def finished() -> Iterator[pa.RecordBatch]:
+        def grouped() -> None:
             if len(members) > 1:
-                a, b = pairs(members)
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                found.append(np.stack(pairs(members)))
+
+        def finished() -> Iterator[pa.RecordBatch]:
+            if found:
+                a, b = np.unique(np.concatenate(found, axis=1), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
             sketches = batch.column("sketch")
             offsets = sketches.offsets.to_numpy()
             words = sketches.values.to_numpy()
-            columns = [batch.column(c).to_pylist() for c in ("key_group", "c1", "part", "n")]
-            for i, (own, c1, part, n) in enumerate(zip(*columns, strict=True)):
-                if own != group:
-                    yield from finished()
+            names = ("hub", "block", "key_group", "c1", "part", "n")
+            columns = [batch.column(c).to_pylist() for c in names]
+            for i, (hub, number, own, c1, part, n) in enumerate(zip(*columns, strict=True)):
+                if own != group or (hub, number) != block:
+                    grouped()
                     group, members = own, []
+                if (hub, number) != block:
+                    yield from finished()
+                    block, found = (hub, number), []
                 members.append((c1, part, n, words[offsets[i] : offsets[i + 1]].copy()))
+        grouped()
         yield from finished()
 
     return (
-        rows.repartition("key_group")
-        .sortWithinPartitions("key_group")
+        rows.repartition("hub", "block")
+        .sortWithinPartitions("hub", "block", "key_group")
         .mapInArrow(run, "a long, b long")
         .distinct()
     )
@@ -694,7 +712,7 @@ def linked_documents(docs: DataFrame, words: int = WORDS) -> DataFrame:
     roots = components(links)
 
     # Then, where a key's classes are in several components, the pairs between them.
-    labelled = written(_rooted(groups.select("key_group", "c1"), roots, "part"), "key-parts")
+    labelled = written(_rooted(groups, roots, "part"), "key-parts")
     mixed = (
         labelled.groupBy("key_group")
         .agg(F.min("part").alias("least"), F.max("part").alias("most"))

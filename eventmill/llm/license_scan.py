@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from eventmill.llm.common import ascii_lower, documents, whole
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-THRESHOLD = 0.8
+THRESHOLD = 0.9
 
 #: Phrases whose words must stand consecutively, and their labels.
 PHRASES = (

@@ -56,7 +56,7 @@ def test_phrases_and_labels(spark):
     assert (by_id[0]["n_base"], by_id[0]["first_word"], by_id[0]["last_word"]) == (3, 1, 7)
     assert by_id[0]["base_labels"] == "apache,mit"
     assert by_id[1]["base_labels"] == "gpl,mit"
-    assert (by_id[2]["labels"], by_id[2]["n_base"], by_id[2]["first_word"]) == ("cc-by-nc", 0, None)
+    assert (by_id[2]["labels"], by_id[2]["n_base"], by_id[2]["first_word"]) == ("cc-by,cc-by-nc", 0, None)
     assert 0.8 <= by_id[2]["score"] <= 1
     assert (by_id[3]["labels"], by_id[3]["score"]) == ("", 0.0)
 

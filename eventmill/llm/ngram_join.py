@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmill.llm.common import documents
+from eventmill.llm.common import documents, hash128
 from eventmill.session import written
 
 WORDS = 5
@@ -260,7 +260,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def document_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, n, c1, c2 (the set's numbers) and sketch of every row."""
+    """doc_id, n, c1, c2 (the set's numbers), sketch and h1, h2 (the text's hash) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -279,12 +279,18 @@ def document_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
                     pa.array(firsts, pa.int64()),
                     pa.array(seconds, pa.int64()),
                     pa.array(sketches, pa.list_(pa.int64())),
+                    batch.column(2),
+                    batch.column(3),
                 ],
-                names=["doc_id", "n", "c1", "c2", "sketch"],
+                names=["doc_id", "n", "c1", "c2", "sketch", "h1", "h2"],
             )
 
-    return _texts(docs).mapInArrow(
-        run, "doc_id long, n long, c1 long, c2 long, sketch array<long>"
+    return (
+        _texts(docs)
+        .select("doc_id", "text", *hash128("text"))
+        .mapInArrow(
+            run, "doc_id long, n long, c1 long, c2 long, sketch array<long>, h1 long, h2 long"
+        )
     )
 
 
@@ -688,8 +694,9 @@ def _rooted(nodes: DataFrame, roots: DataFrame, name: str) -> DataFrame:
     ).drop("root")
 
 
-def linked_documents(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row."""
+def linked_rows(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """doc_id, h1, h2, n, part (the component's root) and component_id (its least doc_id) of every
+    row; without shingles the last two are null."""
     sets = written(document_sets(docs, words), "document-sets")
     totals = sets.agg(F.count("*"), F.sum("n")).first()
     rows, shingle_count = totals[0], totals[1] or 0
@@ -731,28 +738,68 @@ def linked_documents(docs: DataFrame, words: int = WORDS) -> DataFrame:
         rooted.groupBy("part").agg(F.min("doc_id").alias("component_id")), "component-names"
     )
     numbered = written(
-        rooted.join(named, "part").select("c1", "c2", "component_id"), "class-components"
+        rooted.join(named, "part").select("c1", "c2", "part", "component_id"), "class-components"
     )
-    of = sets.select("doc_id", F.col("n").alias("n_shingles"), "c1", "c2")
-    return of.join(numbered, ["c1", "c2"], "left").select(
+    return (
+        sets.select("doc_id", "h1", "h2", "n", "c1", "c2")
+        .join(numbered, ["c1", "c2"], "left")
+        .select("doc_id", "h1", "h2", "n", "part", "component_id")
+    )
+
+
+def linked_documents(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row."""
+    return linked_rows(docs, words).select(
         "doc_id",
-        "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("component_id"))
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id"))
         .otherwise(F.col("doc_id"))
         .alias("component_id"),
     )
 
 
 def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component: the one with the smallest doc_id."""
-    linked = linked_documents(docs)
-    gone = written(
-        linked.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id"),
-        "linked-away",
+    """One document of each component: the one with the smallest doc_id, of several texts under that
+    doc_id the one with the smallest hash. Documents without a doc_id or without words stay."""
+    rows = written(
+        linked_rows(docs).where("doc_id IS NOT NULL AND n > 0").drop("n"), "linked-rows"
+    )
+    # A row is known by its doc_id and its text: rows that agree in both are copies.
+    first = rows.where("doc_id = component_id")
+    heads = first.groupBy("part").agg(F.min(F.struct("h1", "h2")).alias("head"))
+    other = first.join(heads, "part").where(F.struct("h1", "h2") != F.col("head"))
+    key = ["doc_id", "h1", "h2"]
+    gone = rows.where("doc_id <> component_id").select(key).union(other.select(key)).distinct()
+    kept = _of_rows(docs, written(gone, "linked-away"), "left_anti")
+    repeated = written(
+        first.groupBy(key).count().where("count > 1").select(key), "repeated-rows"
+    )
+    if not repeated.limit(1).count():
+        return kept
+    name = "_" * (1 + max(len(c) for c in docs.columns))
+    once = (
+        _of_rows(kept, repeated, "left_semi")
+        .withColumn(name, F.struct(F.col("doc_id").cast("long"), *_text_hash()))
+        .dropDuplicates([name])
+        .drop(name)
+    )
+    return _of_rows(kept, repeated, "left_anti").union(once)
+
+
+def _text_hash() -> list[Column]:
+    return hash128(F.col("text").cast("string"))
+
+
+def _of_rows(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
+    """The rows of ``docs`` that are (or are not) among ``rows``: doc_id, h1, h2."""
+    h1, h2 = _text_hash()
+    named = [F.col(c).alias(f"{c} of row") for c in ("doc_id", "h1", "h2")]
+    same = (
+        (F.col("doc_id").cast("long") == F.col("doc_id of row"))
+        & (h1 == F.col("h1 of row"))
+        & (h2 == F.col("h2 of row"))
     )
-    kept = docs.join(gone.distinct(), "doc_id", "left_anti")
-    repeated = linked.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL")
-    return kept.dropDuplicates(["doc_id"]) if repeated.limit(1).count() else kept
+    return docs.join(rows.select(named), same, how)
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

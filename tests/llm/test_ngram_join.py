@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from cases import ODD_ROWS, empty, odd, texts
+from cases import ODD_ROWS, empty, frame, odd, texts
 from plain import linked, shingle_set
 
 from eventmill.llm import ngram_join as nj
@@ -135,3 +135,30 @@ def test_stage_keeps_one_of_each_group(spark):
     assert out.columns == df.columns
     ids = sorted(r["doc_id"] or -1 for r in out.select("doc_id").collect())
     assert ids == [-1, 1, 2, 4, 5, 6, 8, 9]
+
+
+def test_stage_keeps_rows_that_only_share_a_number(spark):
+    def text(name):
+        return " ".join(f"{name}{i}" for i in range(30))
+
+    rows = [
+        (None, text("a")), (None, text("b")), (None, text("a")),
+        (10, text("c")), (10, text("d")),  # two texts under one number
+        (11, text("d")),
+        (3, text("e")), (12, text("e")), (12, text("f")),  # one of number 12 is linked away
+        (13, text("g")), (13, text("g")),
+        (14, text("h")), (14, text("h").upper()),
+        (15, ""), (15, None), (15, ""),
+        (None, text("e")),
+    ]
+    df = frame(spark, [(i, t, "en", "src0", 0) for i, t in rows])
+    out = nj.ngram_join_stage(spark, df, "")
+    got = [(r["doc_id"], r["text"]) for r in out.collect()]
+    gone = [(11, text("d")), (12, text("e")), (13, text("g"))]
+    either = [x for x in got if x[0] == 14]
+    assert len(either) == 1
+    want = [x for x in rows if x[0] != 14]
+    for x in gone:
+        want.remove(x)
+    key = lambda x: (x[0] is None, x[0] or 0, x[1] or "")
+    assert sorted((x for x in got if x[0] != 14), key=key) == sorted(want, key=key)

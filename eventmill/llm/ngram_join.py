@@ -60,8 +60,11 @@ SLOT_KEYS, LEAST_SLOTS = 1_000_000, 64
 SAMPLE, FREQUENT = 4000, 3
 #: About how many partners of a class are compared in one group of rows.
 BLOCK = 64
-#: Rows of the keys of one hub that one group of rows holds.
-HUB_ROWS = 4000
+#: Rows of the keys of one hub that one group of rows holds, and bytes of the sketches of a key's
+#: classes that one task holds.
+HUB_ROWS, HELD_BYTES = 4000, 32 << 20
+#: Pairs that a task collects before it puts them out.
+HELD_PAIRS = 1_000_000
 BLOOM_BITS = 1 << 25
 
 U = np.uint64
@@ -519,71 +522,152 @@ def _filtered(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
+def open_rows(open_: DataFrame, classes: DataFrame) -> DataFrame:
+    """The classes of ``open_`` with their sketches, dealt into blocks of bounded size.
+
+    The members of a key group (key_group) are dealt into chunks of at most about ``HUB_ROWS`` rows
+    and ``HELD_BYTES`` bytes. In its own chunk a member has turn 0; those outside the group's largest
+    component (main) also go to every other chunk, with turn 1. Rows of one (hub, cell) belong to one
+    task: a chunk of a large group, or the small groups of one hub in blocks of about ``HUB_ROWS``
+    rows, since keys of one hub mostly have the same classes.
+    """
+    groups = (
+        open_.groupBy("key_group", "hub", "part")
+        .agg(F.count("*").alias("rows"))
+        .groupBy("key_group", "hub")
+        .agg(F.sum("rows").alias("rows"), F.max(F.struct("rows", "part"))["part"].alias("main"))
+    )
+    # Classes that share a key are of one band or the next: a sketch has at most 4.5 bits for each
+    # shingle of any of them.
+    held = F.lit(HELD_BYTES) / (F.greatest(F.lit(BITS), F.col("n") * 4.5) / 8)
+    most = F.greatest(F.lit(1.0), F.least(F.lit(float(HUB_ROWS)), held))
+    groups = written(
+        groups.join(classes.select(F.col("c1").alias("hub"), "n"), "hub").select(
+            "hub", "key_group", "main", "rows", F.ceil(F.col("rows") / most).cast("long").alias("chunks")
+        ),
+        "open-groups",
+    )
+    blocks = (
+        groups.where("chunks = 1")
+        .groupBy("hub")
+        .agg(F.ceil(F.sum("rows") / HUB_ROWS).cast("long").alias("blocks"))
+    )
+    dealt = groups.join(blocks, "hub", "left").select(
+        "hub",
+        "key_group",
+        "main",
+        "chunks",
+        F.when(F.col("chunks") == 1, F.pmod(F.xxhash64("key_group"), F.col("blocks"))).alias("block"),
+    )
+    own = F.pmod(F.xxhash64("c1"), F.col("chunks"))
+    everywhere = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1),
+        lambda x: F.struct(x.alias("chunk"), (x != own).cast("int").alias("turn")),
+    )
+    alone = F.array(F.struct(own.alias("chunk"), F.lit(0).alias("turn")))
+    return (
+        open_.drop("hub")
+        .join(written(dealt, "open-dealt"), "key_group")
+        .join(classes.select("c1", "n", "sketch"), "c1")
+        .withColumn("main", F.col("part") == F.col("main"))
+        .withColumn("at", F.explode(F.when(F.col("main"), alone).otherwise(everywhere)))
+        .withColumn("cell", F.coalesce("block", F.xxhash64("key_group", "at.chunk")))
+        .select(
+            "hub", "cell", "key_group", "at.chunk", "at.turn", "main", "c1", "part", "n", "sketch"
+        )
+    )
+
+
 def open_pairs(open_: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs (a, b) of classes of one key in different components that pass the size and Hamming
     filters. ``open_``: key_group, hub, c1 and part, the component.
 
-    Keys of one hub mostly have the same classes, so they go to the same task, in blocks of about
-    ``HUB_ROWS`` rows, which puts a pair out once for all its keys of a block.
+    A task holds one chunk of a key group (see ``open_rows``); the members of its other chunks that
+    are outside the group's largest component are streamed past it.
     """
     kept, of = THRESHOLD
-    sizes = open_.groupBy("hub").agg(F.ceil(F.count("*") / HUB_ROWS).cast("long").alias("blocks"))
-    rows = (
-        open_.join(sizes, "hub")
-        .join(classes.select("c1", "n", "sketch"), "c1")
-        .withColumn("block", F.pmod(F.xxhash64("key_group"), F.col("blocks")))
-        .select("hub", "block", "key_group", "c1", "part", "n", "sketch")
-    )
 
-    def pairs(members: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        words = min(len(m[3]) for m in members)
-        sketches = np.stack([_folded(m[3], words) for m in members])
-        c1, part, n = (np.array([m[i] for m in members], "int64") for i in range(3))
-        values, counts = np.unique(part, return_counts=True)
-        left, right = [], []
-        # The largest component is compared with the others only from their side.
-        for x in np.flatnonzero(part != values[np.argmax(counts)]):
-            both = n + n[x]
-            near = (part != part[x]) & (np.minimum(n, n[x]) * of >= np.maximum(n, n[x]) * kept)
-            at = np.flatnonzero(near)
-            distance = np.bitwise_count(sketches[at] ^ sketches[x]).sum(axis=1, dtype="int64")
-            at = at[distance * (of + kept) <= both[at] * (of - kept)]
-            left.append(np.minimum(c1[at], c1[x]))
-            right.append(np.maximum(c1[at], c1[x]))
-        return np.concatenate(left), np.concatenate(right)
+    def near(held: tuple, c1: int, part: int, n: int, words: np.ndarray) -> np.ndarray:
+        """The places of the held classes that may be linked with a class."""
+        parts, sizes, sketches = held[1], held[2], held[4]
+        at = np.flatnonzero(
+            (parts != part) & (np.minimum(sizes, n) * of >= np.maximum(sizes, n) * kept)
+        )
+        width = min(len(words), sketches.shape[1])
+        other = sketches[at]
+        while other.shape[1] > width:
+            half = other.shape[1] // 2
+            other = other[:, :half] ^ other[:, half:]
+        distance = np.bitwise_count(other ^ _folded(words, width)).sum(axis=1, dtype="int64")
+        return at[distance * (of + kept) <= (sizes[at] + n) * (of - kept)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, group, members, found = None, None, [], []
-
-        def grouped() -> None:
-            if len(members) > 1:
-                found.append(np.stack(pairs(members)))
+        cell, group, members, held, found, count = None, None, [], None, [], 0
+
+        def stacked() -> tuple:
+            width = min(len(m[4]) for m in members)
+            columns = [np.array([m[i] for m in members]) for i in range(4)]
+            return (*columns, np.stack([_folded(m[4], width) for m in members]))
+
+        def put(at: np.ndarray, c1: int) -> int:
+            other = held[0][at]
+            if len(at):
+                found.append(np.stack([np.minimum(other, c1), np.maximum(other, c1)]))
+            return len(at)
+
+        def within() -> int:
+            """The pairs of the held chunk itself."""
+            added = 0
+            for x in np.flatnonzero(~held[3]):
+                at = near(held, *(held[i][x] for i in (0, 1, 2)), held[4][x])
+                # Of two classes outside the largest component the one with the smaller c1 asks.
+                added += put(at[held[3][at] | (held[0][at] > held[0][x])], held[0][x])
+            return added
 
         def finished() -> Iterator[pa.RecordBatch]:
             if found:
                 a, b = np.unique(np.concatenate(found, axis=1), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
+        names = ("hub", "cell", "key_group", "chunk", "turn", "main", "c1", "part", "n")
         for batch in batches:
             sketches = batch.column("sketch")
             offsets = sketches.offsets.to_numpy()
             words = sketches.values.to_numpy()
-            names = ("hub", "block", "key_group", "c1", "part", "n")
             columns = [batch.column(c).to_pylist() for c in names]
-            for i, (hub, number, own, c1, part, n) in enumerate(zip(*columns, strict=True)):
-                if own != group or (hub, number) != block:
-                    grouped()
-                    group, members = own, []
-                if (hub, number) != block:
+            for i, row in enumerate(zip(*columns, strict=True)):
+                hub, number, own, chunk, turn, main, c1, part, n = row
+                if (hub, number, own, chunk) != group:
+                    if held is None and len(members) > 1:
+                        held = stacked()
+                        count += within()
+                    if (hub, number) != cell or count > HELD_PAIRS:
+                        yield from finished()
+                        found, count = [], 0
+                    cell, group, members, held = (hub, number), (hub, number, own, chunk), [], None
+                own_words = words[offsets[i] : offsets[i + 1]]
+                if not turn:
+                    members.append((c1, part, n, main, own_words.copy()))
+                    continue
+                if not members:  # a chunk that got no member of its own
+                    continue
+                if held is None:
+                    held = stacked()
+                    count += within()
+                at = near(held, c1, part, n, own_words)
+                count += put(at[held[3][at] | (held[0][at] > c1)], c1)
+                if count > HELD_PAIRS:
                     yield from finished()
-                    block, found = (hub, number), []
-                members.append((c1, part, n, words[offsets[i] : offsets[i + 1]].copy()))
-        grouped()
+                    found, count = [], 0
+        if held is None and len(members) > 1:
+            held = stacked()
+            within()
         yield from finished()
 
     return (
-        rows.repartition("hub", "block")
-        .sortWithinPartitions("hub", "block", "key_group")
+        open_rows(open_, classes)
+        .repartition("hub", "cell")
+        .sortWithinPartitions("hub", "cell", "key_group", "chunk", "turn")
         .mapInArrow(run, "a long, b long")
         .distinct()
     )

@@ -162,3 +162,38 @@ def test_stage_keeps_rows_that_only_share_a_number(spark):
         want.remove(x)
     key = lambda x: (x[0] is None, x[0] or 0, x[1] or "")
     assert sorted((x for x in got if x[0] != 14), key=key) == sorted(want, key=key)
+
+
+def test_large_key_groups_are_dealt_into_bounded_chunks(spark, monkeypatch):
+    monkeypatch.setattr(nj, "HUB_ROWS", 16)
+    rng = random.Random(8)
+    base = [np.array([rng.getrandbits(64) for _ in range(100)], "uint64") for _ in range(6)]
+    sets = [np.concatenate([rng.choice(base)[:97], base[0][: i % 3]]) for i in range(200)]
+    sets = [np.unique(np.append(s, U)) for s, U in zip(sets, map(np.uint64, range(200)), strict=True)]
+    classes = spark.createDataFrame(
+        [(i, len(s), nj.sketch(s).tolist()) for i, s in enumerate(sets)],
+        "c1 long, n long, sketch array<long>",
+    )
+    part = [0 if i < 120 else rng.randint(1, 9) for i in range(200)]
+    small = set(rng.sample(range(200), 9)) | {0}
+    open_ = spark.createDataFrame(
+        [(7, 0, i, part[i]) for i in range(200)] + [(8, 0, i, part[i]) for i in small],
+        "key_group long, hub long, c1 long, part long",
+    )
+    rows = nj.open_rows(open_, classes).collect()
+    chunks = {}
+    for r in rows:
+        if not r["turn"]:
+            chunks.setdefault((r["key_group"], r["chunk"]), set()).add(r["c1"])
+    assert len(chunks) > 10 and max(map(len, chunks.values())) <= 40
+    assert {c for (g, _), m in chunks.items() if g == 7 for c in m} == set(range(200))
+    assert not any(r["main"] for r in rows if r["turn"])
+
+    def may(a, b):
+        d = np.bitwise_count(nj.sketch(sets[a]) ^ nj.sketch(sets[b])).sum()
+        n, m = len(sets[a]), len(sets[b])
+        return part[a] != part[b] and 4 * min(n, m) >= 3 * max(n, m) and d * 7 <= n + m
+
+    want = {(a, b) for a in range(200) for b in range(a + 1, 200) if may(a, b)}
+    got = [(r["a"], r["b"]) for r in nj.open_pairs(open_, classes).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 100

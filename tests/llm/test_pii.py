@@ -70,3 +70,23 @@ def test_odd_and_empty_tables(spark):
     rows = pii.pii_scan(odd(spark)).collect()
     assert len(rows) == 10 and not any(r["spans"] for r in rows)
     assert pii.pii_scan(empty(spark)).count() == 0
+
+
+def test_identifiers_with_lower_case_letters_are_instances(spark):
+    values = ["account kx73-qd08 please", "ab12cd34", "a1b2c3 only three", "a1b2c3d4", "x@y", "é1é2é3é4"]
+    rows = pii.occurrences(texts(spark, values)).collect()
+    assert {(r["doc_id"], r["instance"]) for r in rows} == {
+        (0, "kx73-qd08"), (1, "ab12cd34"), (3, "a1b2c3d4"), (4, "x@y"), (5, "1é2é3é4"),
+    }
+
+
+def test_texts_of_very_many_matches(spark):
+    # The plain patterns take quadratic time here, so the places are counted instead.
+    n = 30_000
+    values = ["x@y.z " * n, "1.2.3.4 " * n, "1 " * n]
+    kinds, lengths = ("email", "ip"), (5, 7)
+    for r in pii.pii_scan(texts(spark, values)).collect():
+        i = r["doc_id"]
+        step = lengths[i] + 1 if i < 2 else 0
+        want = [(at * step, at * step + lengths[i], kinds[i]) for at in range(n)] if i < 2 else []
+        assert [(s["start"], s["end"], s["kind"]) for s in r["base"]] == want

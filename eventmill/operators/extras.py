@@ -34,20 +34,19 @@ def payment_branches(events: DataFrame) -> DataFrame:
 
 
 def latest_event_per_order(*topics: DataFrame) -> DataFrame:
-    """Type and place of the last event per key over all topics."""
-    merged = topics[0]
+    """Type and place of the last event per key over all topics, whatever its type.
+
+    ``seq`` is unique. The aggregate carries numbers only (text would need a sort); the last rows
+    are then fetched by key and number. Events without a key are one group.
+    """
+    merged = topics[0].select("key", "event_type", "seq")
     for topic in topics[1:]:
-        merged = merged.unionByName(topic)
-    # Known types go through the aggregate as a number, in a hash table; text would need a sort.
-    kinds = list(SAGA_STATES)
-    code = F.array_position(F.lit(kinds), F.col("event_type"))
-    numbered = merged.select("key", "seq", code.cast("int").alias("_code"))
-    last = numbered.groupBy("key").agg(
-        F.max_by("_code", "seq").alias("_code"), F.max("seq").alias("seq")
-    )
-    return last.select(
-        "key", F.try_element_at(F.lit(kinds), F.col("_code")).alias("event_type"), "seq"
+        merged = merged.unionByName(topic.select("key", "event_type", "seq"))
+    last = merged.groupBy("key").agg(F.max("seq").alias("seq")).alias("last")
+    same = F.col("all.key").eqNullSafe(F.col("last.key")) & F.col("all.seq").eqNullSafe(
+        F.col("last.seq")
     )
+    return merged.alias("all").join(last, same, "left_semi").select("key", "event_type", "seq")
 
 
 def failed_payment_orders(orders: DataFrame, failures: DataFrame) -> DataFrame:

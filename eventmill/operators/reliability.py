@@ -13,24 +13,34 @@ from eventmill.functions import coercion, envelope, ids, times
 # --- idempotent consumption -----------------------------------------------------------------
 
 
+def place_of(*columns: str) -> Column:
+    """One number that orders rows as the whole-number columns do, the first column first.
+
+    A number stays in the hash table of an aggregate; a struct would make Spark sort instead.
+    """
+    place = F.col(columns[0]).cast("decimal(38,0)")
+    for name in columns[1:]:
+        # Each further column is a 64-bit number: 19 digits, moved up so that none is negative.
+        digits = F.col(name).cast("decimal(38,0)") + F.lit(str(2**63)).cast("decimal(38,0)")
+        place = (place * F.lit(str(10**20)).cast("decimal(38,0)") + digits).cast("decimal(38,0)")
+    return place
+
+
 def first_arrivals(
     events: DataFrame, event_id: str = "event_id", seq: str | Sequence[str] = "seq"
 ) -> DataFrame:
     """The first copy of every event id, by arrival.
 
-    An aggregate, not a ranking window: copies collapse before the shuffle, so one id with
-    very many copies costs one row per input task.
+    ``seq`` are whole-number columns (the first below 2^59 where there are two) that no two copies
+    of an id share. The aggregate holds numbers only and combines copies before the shuffle, so one
+    id with very many copies costs one row per input task; the rows are then fetched by id and
+    place, which spreads them evenly.
     """
-    order = F.struct(*seq) if not isinstance(seq, str) else F.col(seq)
-    whole = F.struct(*events.columns)
-    kept = events.groupBy(F.col(event_id).alias("_id")).agg(F.min_by(whole, order).alias("_row"))
-    # The grouping column itself is kept as the id, so that a later join on it needs no shuffle.
-    return kept.select(
-        *[
-            F.col("_id").alias(c) if c == event_id else F.col(f"_row.{c}").alias(c)
-            for c in events.columns
-        ]
-    )
+    names = (seq,) if isinstance(seq, str) else tuple(seq)
+    rows = events.withColumn("_place", F.col(names[0]) if len(names) == 1 else place_of(*names))
+    first = rows.groupBy(F.col(event_id).alias("_id")).agg(F.min("_place").alias("_first"))
+    same = F.col(event_id).eqNullSafe(F.col("_id")) & F.col("_place").eqNullSafe(F.col("_first"))
+    return rows.join(first, same, "left_semi").select(*events.columns)
 
 
 def unprocessed(
@@ -55,6 +65,11 @@ def dedup_events(
 WITHOUT_ID = ("decode event:", "invalid eventId", "unstorable eventId")
 
 
+def has_id(error: Column) -> Column:
+    """Whether a strictly decoded record carries a usable id."""
+    return error.isNull() | ~error.isin(*WITHOUT_ID)
+
+
 def consume(
     decoded: DataFrame,
     processed: DataFrame,
@@ -63,15 +78,16 @@ def consume(
 ) -> DataFrame:
     """What an idempotent consumer does with each record, in the column ``outcome``.
 
-    ``decoded``: records after :func:`eventmill.operators.decode.decode_strict`. In this order: a
+    ``decoded``: records after :func:`eventmill.operators.decode.decode_strict`; they are read
+    twice, so hand over a written table of them. In this order: a
     record that cannot be read or has no valid id is a ``dead letter``; one whose id the service
     processed before, or an earlier good record has, is a ``duplicate``, even if its payload is
     broken; a broken payload is a ``dead letter``; then a handled type takes ``effect`` and any
     other is ``ignored``. A parked record does not count as processed, so a later good copy of it
     still takes effect.
     """
-    place = F.struct(*seq)
-    readable = F.col("error").isNull() | ~F.col("error").isin(*WITHOUT_ID)
+    place = place_of(*seq)
+    readable = has_id(F.col("error"))
     # A record without an id gets one of its own, so that such rows do not meet in one task.
     own = F.concat_ws(":", F.lit("none"), *[F.col(c).cast("string") for c in seq])
     rows = decoded.withColumn(

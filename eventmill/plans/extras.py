@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmill import constants as C
 from eventmill.functions import times
-from eventmill.operators import analytics, extras
+from eventmill.operators import analytics, extras, ordered_fold
 from eventmill.plans import reliability as batch_reliability
 from eventmill.plans import sql
 from eventmill.plans.analytics import JOIN_WINDOW
@@ -123,7 +125,43 @@ def saga_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extras.saga_state(_log(spark, sf_dir).withColumn("order_id", F.col("key")))
 
 
+def open_quantity_start(key: tuple) -> int:
+    return 0
+
+
+def open_quantity(key: tuple, state: int, rows: pd.DataFrame) -> tuple[int, pd.DataFrame]:
+    """A user's handler: quantity ordered for a key since its last payment, after each event."""
+    paid = (rows["event_type"] == C.PAYMENT_COMPLETED).to_numpy()
+    ordered = np.where(paid, 0, rows["quantity"].fillna(0).to_numpy(dtype="int64"))
+    total = state + np.cumsum(ordered)
+    at_payment = np.maximum.accumulate(np.where(paid, np.arange(1, len(rows) + 1), 0))
+    since = np.where(at_payment > 0, total - total[at_payment - 1], total)
+    return int(since[-1]), pd.DataFrame(
+        {"key": rows["key"], "seq": rows["seq"], "open_quantity": since}
+    )
+
+
+OPEN_QUANTITY = "key STRING, seq BIGINT, open_quantity BIGINT"
+
+
+def open_quantity_events(events: DataFrame) -> DataFrame:
+    """Orders and payments, as the handler reads them."""
+    kinds = F.col("event_type").isin(C.ORDER_CREATED, C.PAYMENT_COMPLETED)
+    return events.filter(kinds).select(
+        "key", "seq", "event_type", F.col("quantity").cast("bigint").alias("quantity")
+    )
+
+
+def fold_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A user's function over each key's events in order."""
+    events = open_quantity_events(tables.event_log(spark, sf_dir))
+    return ordered_fold.fold_in_order(
+        events, ["key"], "seq", open_quantity_start, open_quantity, OPEN_QUANTITY
+    )
+
+
 QUERIES = {
+    "fold_orders": fold_orders,
     "high_value_payments": high_value_payments,
     "item_quantity_totals": item_quantity_totals,
     "payment_branches": payment_branches,
@@ -156,7 +194,18 @@ SELECT key, seq, order_id FROM created o WHERE NOT EXISTS (
   SELECT 1 FROM paid p WHERE p.key = o.key AND p.event_time
   BETWEEN o.event_time - INTERVAL 60 MINUTE AND o.event_time + INTERVAL 60 MINUTE)"""
 
+FOLD_ORDERS = f"""WITH {sql.LOG},
+runs AS (
+  SELECT *, count(*) FILTER (event_type = 'PaymentCompleted')
+              OVER (PARTITION BY key ORDER BY seq) AS run
+  FROM log WHERE event_type IN ('OrderCreated', 'PaymentCompleted'))
+SELECT key, seq,
+       CAST(sum(CASE WHEN event_type = 'OrderCreated' THEN quantity ELSE 0 END)
+              OVER (PARTITION BY key, run ORDER BY seq) AS BIGINT) AS open_quantity
+FROM runs"""
+
 ORACLE = {
+    "fold_orders": FOLD_ORDERS,
     "high_value_payments": f"""WITH {sql.LOG}, {sql.PAID}
 SELECT seq, key, order_id AS payment_id, amount FROM paid WHERE amount > 100""",
     "item_quantity_totals": f"""WITH {sql.LOG}, {sql.CREATED}

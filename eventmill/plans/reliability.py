@@ -9,6 +9,7 @@ from eventmill import constants as C
 from eventmill.functions import ids
 from eventmill.operators import decode, reliability
 from eventmill.plans import decoding, sql
+from eventmill.session import written
 from eventmill.sources import driver_tables as tables
 
 HANDLED = decoding.HANDLED
@@ -104,6 +105,9 @@ def redelivered_records(spark: SparkSession, sf_dir: str, streaming: bool = Fals
 
 def consume_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = decode.decode_strict(redelivered_records(spark, sf_dir), HANDLED)
+    decoded = written(
+        decoded.select("partition", "offset", "event_id", "event_type", "error"), "decoded"
+    )
     consumed = reliability.consume(decoded, tables.processed_ids(spark, sf_dir), HANDLED)
     return consumed.select("offset", "outcome", "error")
 

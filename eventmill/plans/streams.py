@@ -203,16 +203,13 @@ def stream_consume_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks = {name: f"{root}/{name}" for name in ("effects", "dead_letters", "processed")}
     marker = f"{root}/marker"
     records = batch_reliability.redelivered_records(spark, sf_dir, streaming=True)
+    outcomes = jobs.consume_stream(
+        records, tables.processed_ids(spark, sf_dir), batch_reliability.HANDLED
+    )
     write = jobs.consumer(
-        spark,
-        sinks,
-        marker,
-        tables.processed_ids(spark, sf_dir),
-        batch_reliability.HANDLED,
-        batch_reliability.GROUP,
-        F.lit(batch_reliability.NOW).cast("timestamp"),
+        sinks, marker, batch_reliability.GROUP, F.lit(batch_reliability.NOW).cast("timestamp")
     )
-    runner.run_batches(records, write, f"{root}/checkpoint")
+    runner.run_batches(outcomes, write, f"{root}/checkpoint")
     effects = runner.read_committed(spark, sinks["effects"], marker)
     letters = reliability.parked(runner.read_committed(spark, sinks["dead_letters"], marker))
     return effects.select("offset", F.lit("effect").alias("outcome"), "error").union(
@@ -240,7 +237,21 @@ def stream_dlq_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reliability.parked(_appended(spark, "dlq", letters))
 
 
+def stream_fold_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same user's function as in ``fold_orders``, with its state carried on a stream."""
+    folded = jobs.fold_stream(
+        batch_extras.open_quantity_events(tables.event_stream(spark, sf_dir)),
+        ["key"],
+        "seq",
+        batch_extras.open_quantity_start,
+        batch_extras.open_quantity,
+        batch_extras.OPEN_QUANTITY,
+    )
+    return _appended(spark, "fold", folded)
+
+
 QUERIES = {
+    "stream_fold_orders": stream_fold_orders,
     "stream_source_replay": stream_source_replay,
     "stream_large_orders": stream_large_orders,
     "stream_item_counts": stream_item_counts,
@@ -263,6 +274,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "stream_fold_orders": batch_extras.FOLD_ORDERS,
     "stream_source_replay": f"""WITH {sql.LOG}, {sql.RECORDS}
 SELECT "offset", key, CASE WHEN k BETWEEN 55 AND 59 THEN '' ELSE event_type END AS event_type
 FROM records WHERE {sql.LENIENT}""",

@@ -10,10 +10,15 @@ from pyspark.sql import functions as F
 
 from eventmill import constants as C
 from eventmill.functions import ids, times
-from eventmill.operators import decode, reliability, saga
-from eventmill.session import written
+from eventmill.operators import decode, ordered_fold, reliability, saga
 from eventmill.streaming import processors, runner
-from eventmill.streaming.processors import CountChanges, LateFilter, StockKeeper, UserFold
+from eventmill.streaming.processors import (
+    CountChanges,
+    LateFilter,
+    SeenIds,
+    StockKeeper,
+    UserFold,
+)
 
 # The worker that prepares a stateful operator does not see files added to the session.
 cloudpickle.register_pickle_by_value(processors)
@@ -117,37 +122,54 @@ def run_saga_stages(
 
 # --- the idempotent consumer ----------------------------------------------------------------
 
-PROCESSED = "event_id STRING"
+#: Groups of ids in the consumer's state; fixed for the life of a checkpoint.
+ID_BUCKETS = 1024
+
+
+def consume_stream(
+    records: DataFrame, processed: DataFrame, handled: Sequence[str], buckets: int = ID_BUCKETS
+) -> DataFrame:
+    """:func:`eventmill.operators.reliability.consume` on a stream of records.
+
+    Ids seen are keyed state, so neither time nor bytes read per micro-batch grow with history.
+    ``processed``: ids the service had before; they are loaded into the state once, by the first
+    micro-batch. Output: the records with their envelope columns, ``id``, ``error``, ``outcome``.
+    """
+
+    def bucket(event_id: Column) -> Column:
+        return F.pmod(F.xxhash64(event_id), F.lit(buckets)).cast("int").alias("bucket")
+
+    decoded = decode.decode_strict(records, handled).drop("headers", "payload")
+    known = F.when(reliability.has_id(F.col("error")), ids.canonical_uuid(F.col("event_id")))
+    # A record without an id goes anywhere, so that such rows do not meet in one task.
+    spread = F.coalesce(known, F.concat_ws(":", "partition", "offset"))
+    rows = decoded.select("*", known.alias("id"), bucket(spread))
+    before = processed.select(ids.canonical_uuid(F.col("event_id")).alias("id"))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.drop("bucket").schema]
+    return rows.groupBy("bucket").transformWithStateInPandas(
+        statefulProcessor=SeenIds(handled),
+        outputStructType=", ".join([*fields, "outcome STRING"]),
+        outputMode="Append",
+        timeMode="None",
+        initialState=before.select(bucket(F.col("id")), "id").groupBy("bucket"),
+    )
 
 
 def consumer(
-    spark: SparkSession,
-    sinks: dict[str, str],
-    marker: str,
-    processed: DataFrame,
-    handled: Sequence[str],
-    group: str,
-    failed_at: Column | None = None,
+    sinks: dict[str, str], marker: str, group: str, failed_at: Column | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """Writer of an idempotent consumer: effects, dead letters and processed ids of a micro-batch
-    become visible together. ``sinks``: folders named effects, dead_letters and processed;
-    ``processed``: ids the service had before."""
+    """Writer of what :func:`consume_stream` decided: effects, dead letters and processed ids of a
+    micro-batch become visible together. ``sinks``: folders named so."""
 
     def split(batch: DataFrame, batch_id: int) -> dict[str, DataFrame]:
-        earlier = runner.read_committed_before(
-            spark, sinks["processed"], marker, batch_id, PROCESSED
-        )
-        decoded = decode.decode_strict(batch, handled)
-        known = processed.select("event_id").union(earlier)
-        consumed = written(reliability.consume(decoded, known, handled), "consumed")
         outcome = F.col("outcome")
         return {
-            "effects": consumed.filter(outcome == "effect").drop("headers", "payload", "outcome"),
+            "effects": batch.filter(outcome == "effect").drop("outcome", "id"),
             "dead_letters": reliability.dead_letters(
-                consumed.filter(outcome == "dead letter"), group, failed_at
+                batch.filter(outcome == "dead letter"), group, failed_at
             ),
-            "processed": consumed.filter(outcome.isin("effect", "ignored")).select(
-                ids.canonical_uuid(F.col("event_id")).alias("event_id")
+            "processed": batch.filter(outcome.isin("effect", "ignored")).select(
+                F.col("id").alias("event_id")
             ),
         }
 
@@ -160,7 +182,9 @@ def fold_stream(
     """:func:`eventmill.operators.ordered_fold.fold_in_order` on a stream: rows are in order
     within a micro-batch, and the state (JSON) is carried from one to the next."""
     return events.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=UserFold(start, step, seq),
+        statefulProcessor=UserFold(
+            ordered_fold.by_value(start), ordered_fold.by_value(step), seq
+        ),
         outputStructType=schema,
         outputMode="Append",
         timeMode="None",

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from eventmill.constants import (
@@ -111,20 +112,72 @@ class StockKeeper(StatefulProcessor):
         pass
 
 
+class SeenIds(StatefulProcessor):
+    """What an idempotent consumer does with each record, with the ids it has seen as keyed state.
+
+    A key is a bucket of ids, not an id, so that a micro-batch is a few large frames; the state is
+    a map from id to nothing, so a lookup costs the same however many ids there are. It is asked
+    once per distinct id of a micro-batch and written once per newly processed one. Held in memory:
+    the rows of one bucket in one micro-batch.
+
+    Input: ``bucket``, ``id`` (NULL where the record carries no usable one), ``partition, offset,
+    error, event_type`` and any other columns. The outcomes are those of
+    :func:`eventmill.operators.reliability.consume`.
+    """
+
+    def __init__(self, handled) -> None:
+        self._handled = list(handled)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._seen = handle.getMapState("seen", "id STRING", "seen BOOLEAN")
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        for event_id in initialState["id"].unique():
+            self._seen.updateValue((event_id,), (True,))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        ordered = pd.concat(list(rows), ignore_index=True)
+        ordered = ordered.sort_values(["partition", "offset"], kind="stable", ignore_index=True)
+        ids = ordered["id"]
+        known = {i for i in ids.dropna().unique() if self._seen.containsKey((i,))}
+        readable, good = ids.notna(), ids.notna() & ordered["error"].isna()
+        first = pd.Series(ordered.index[good], index=ids[good]).groupby(level=0).min()
+        later = pd.Series(ordered.index, index=ordered.index) > ids.map(first).astype("float64")
+        outcome = np.select(
+            [
+                ~readable,
+                ids.isin(known) | later,
+                ordered["error"].notna(),
+                ordered["event_type"].isin(self._handled),
+            ],
+            ["dead letter", "duplicate", "dead letter", "effect"],
+            "ignored",
+        )
+        ordered["outcome"] = outcome
+        for event_id in ids[np.isin(outcome, ["effect", "ignored"])]:
+            self._seen.updateValue((event_id,), (True,))
+        yield ordered.drop(columns=["bucket"])
+
+    def close(self) -> None:
+        pass
+
+
 class UserFold(StatefulProcessor):
     """A fold with the user's functions; the state is kept as JSON text per key.
 
     ``start(key)`` and ``step(key, state, rows)`` are those of
-    :func:`eventmill.operators.ordered_fold.fold_in_order`; the state must be JSON.
+    :func:`eventmill.operators.ordered_fold.fold_in_order`, pickled; the state must be JSON.
     """
 
-    def __init__(self, start, step, seq: str) -> None:
-        self._start, self._step, self._seq = start, step, seq
+    def __init__(self, start: bytes, step: bytes, seq: str) -> None:
+        self._code, self._seq, self._start = (start, step), seq, None
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._state = handle.getValueState("state", "json STRING")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        if self._start is None:  # not in init, which also runs where the package is not shipped
+            self._start, self._step = map(cloudpickle.loads, self._code)
         ordered = pd.concat(list(rows), ignore_index=True).sort_values(self._seq, kind="stable")
         state = json.loads(self._state.get()[0]) if self._state.exists() else self._start(key)
         state, out = self._step(key, state, ordered)

@@ -157,18 +157,6 @@ def read_committed(spark: SparkSession, sink: str, marker: str) -> DataFrame:
     return spark.read.parquet(sink).join(marked, BATCH_ID, "left_semi")
 
 
-def read_committed_before(
-    spark: SparkSession, sink: str, marker: str, batch_id: int, schema: str
-) -> DataFrame:
-    """Rows of marked batches before ``batch_id``, as that batch sees them when it is repeated."""
-    if batch_id == 0:
-        return spark.createDataFrame([], schema)
-    marked = spark.read.schema(f"{BATCH_ID} BIGINT, committed_batch BIGINT").parquet(marker)
-    earlier = marked.filter(F.col(BATCH_ID) < batch_id).select(BATCH_ID)
-    rows = spark.read.schema(f"{schema}, {BATCH_ID} BIGINT").parquet(sink)
-    return rows.join(earlier, BATCH_ID, "left_semi").drop(BATCH_ID)
-
-
 def job_paths(spark: SparkSession, name: str) -> tuple[str, str]:
     """Fresh sink and checkpoint folders of a job run from scratch."""
     root = scratch_path(spark, name)

@@ -158,3 +158,28 @@ def test_timeline_of_one_key(spark):
 
     out = checks.order_timeline(topic("a", [1, 5]), topic("b", [3]), topic("c", [2, 8]), key="o1")
     assert [r["seq"] for r in out.collect()] == [1, 2, 3, 5, 8]
+
+
+def test_latest_event_of_any_type(spark):
+    rows = [("o1", "OrderCreated", 1), ("o1", "OrderCancelled", 9), ("o2", "PaymentFailed", 3),
+            (None, "view", 4), (None, "OrderCreated", 2)]
+    events = spark.createDataFrame(rows, "key string, event_type string, seq bigint")
+    out = {tuple(r) for r in extras.latest_event_per_order(events.limit(3), events).collect()}
+    assert out == {("o1", "OrderCancelled", 9), ("o2", "PaymentFailed", 3), (None, "view", 4)}
+
+
+def test_first_copies_are_those_of_the_least_place(spark):
+    rows = [(f"e{i % 5}", i % 3, 100 - i, i) for i in range(60)] + [(None, 1, 5, 60), (None, 0, 9, 61)]
+    events = spark.createDataFrame(rows, "event_id string, part int, at bigint, row int")
+    out = reliability.first_arrivals(events, seq=("part", "at")).collect()
+    least = {}
+    for event_id, part, at, row in rows:
+        least[event_id] = min(least.get(event_id, (9, 0, 0)), (part, at, row))
+    assert {r["event_id"]: (r["part"], r["at"], r["row"]) for r in out} == least
+
+
+def test_negative_numbers_keep_their_order(spark):
+    rows = [(a, b) for a in (-(2**31), -1, 0, 1, 2**31) for b in (-(2**63), -1, 0, 1, 2**63 - 1)]
+    df = spark.createDataFrame(rows, "a bigint, b bigint")
+    places = df.select("a", "b", reliability.place_of("a", "b").alias("p")).collect()
+    assert [tuple(r)[:2] for r in sorted(places, key=lambda r: r["p"])] == sorted(rows)

@@ -13,9 +13,37 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _modules():
-    from eventmill.llm import decontamination, license_scan, line_dedup, ngram_join, packing, pii, secret_scan, sharding, spot_signatures, toxicity
+    from eventmill.llm import (
+        conversation_repair,
+        decontamination,
+        hard_negatives,
+        language_id,
+        license_scan,
+        line_dedup,
+        ngram_join,
+        packing,
+        pii,
+        secret_scan,
+        sharding,
+        spot_signatures,
+        toxicity,
+    )
 
-    return [decontamination, license_scan, line_dedup, ngram_join, packing, pii, secret_scan, sharding, spot_signatures, toxicity]
+    return [
+        license_scan,
+        secret_scan,
+        packing,
+        decontamination,
+        pii,
+        toxicity,
+        line_dedup,
+        sharding,
+        spot_signatures,
+        ngram_join,
+        hard_negatives,
+        language_id,
+        conversation_repair,
+    ]
 
 
 def _prepared(query: Query) -> Query:

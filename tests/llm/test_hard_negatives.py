@@ -86,10 +86,9 @@ def test_odd_rows(spark):
 
 def test_scores_beyond_doubles_are_exact(spark):
     rng = random.Random(6)
-    rows = [(i, [rng.randint(-(2**30), 2**30) * 64.0 + 1 for _ in range(3)], i % 2) for i in range(120)]
-    assert result(spark, rows, SCHEMA.replace("float", "double")) == [
-        r for r in _plain_double(rows) if abs(r[4]) < 2**63
-    ]
+    rows = [(i, [rng.randint(-(2**21), 2**21) + 0.123 for _ in range(3)], i % 2) for i in range(120)]
+    found = result(spark, rows, SCHEMA.replace("float", "double"))
+    assert found == _plain_double(rows) and max(r[4] for r in found) > 2**54
 
 
 def _plain_double(rows):

@@ -87,56 +87,73 @@ def test_hot_item_may_be_unknown(spark):
     assert allocate(spark, requests, STOCK, 8) == brute_force(requests, dict(STOCK))
 
 
-def walk(requests, size, stock):
-    """Openings of all blocks by summaries, and how many blocks had to be folded."""
-    import numpy as np
-    import pandas as pd
-
-    blocks, frames = [], []
-    for b in range(-(-len(requests) // size)):
-        rows = requests[b * size : (b + 1) * size]
-        frame = pd.DataFrame(rows, columns=["item", "seq", "quantity", "holds"])
-        frame["_block"], frame["_order"] = b, None
-        frames.append(frame)
-        blocks.append(allocation._summarise(frame))
-    summary = pd.concat(blocks, ignore_index=True)
-    summary["_open"] = stock
-    closings: list[tuple] = []
-    folds = 0
-    while True:
-        known = pd.DataFrame(closings, columns=["_block", "_close", "_held"])
-        walked = allocation._walk_blocks(("hot",), summary, known)
-        pending = walked[walked["pending"]]
-        if pending.empty:
-            return walked["_open"].astype(int).tolist(), folds
-        folds += 1
-        b = int(pending["_block"].iloc[0])
-        fold = allocation.Fold(int(pending["_open"].iloc[0]))
-        frame = frames[b]
-        fold.decide(
-            frame["quantity"].to_numpy("int64"), frame["holds"].to_numpy(bool),
-            np.full(len(frame), None, object),
-        )
-        closings.append((b, fold.stock, []))
+def rounds(monkeypatch):
+    """Counts the levels walked, which are the driver's rounds."""
+    seen, walk = [], allocation._walk_level
+    monkeypatch.setattr(allocation, "_walk_level", lambda *a: seen.append(1) or walk(*a))
+    return seen
 
 
 @pytest.mark.parametrize("choices", [[1, 5, 30], [0, 0, 1, 5, 30]])
-def test_most_blocks_pass_by_their_summary(choices):
-    """With quantities of 0 or more few blocks need their rows, however many there are."""
-    rng = random.Random(9)
-    for n in (2000, 10_000):
-        requests = [("hot", i, rng.choice(choices), True) for i in range(n)]
-        opens, folds = walk(requests, 50, 20_000)
-        assert folds <= 16
-        expected = brute_force(requests, {"hot": 20_000})
-        assert [expected[b * 50][0] for b in range(n // 50)] == opens
-
-
-def test_rounds_are_bounded_with_any_quantities(spark, monkeypatch):
-    """After a few folded blocks the rest of an item is streamed once."""
-    monkeypatch.setattr(allocation, "FOLD_ROUNDS", 2)
+def test_rounds_do_not_grow_with_blocks(spark, monkeypatch, choices):
+    """With quantities of 0 or more there is a round per power of two, however many blocks."""
+    rng, seen = random.Random(9), rounds(monkeypatch)
+    requests = [("hot", i, rng.choice(choices), True) for i in range(3000)]
+    assert allocate(spark, requests, [("hot", 20_000)], 10) == brute_force(requests, {"hot": 20_000})
+    assert len(seen) <= 16
+
+
+def test_items_that_may_gain_stock_are_streamed(spark, monkeypatch):
+    seen = rounds(monkeypatch)
     requests = random_requests(11, n=300, low=-30)
     assert allocate(spark, requests, STOCK, 4) == brute_force(requests, dict(STOCK))
+    assert len(seen) <= 16
+
+
+def resubmitted(rows, stock):
+    left, held, want = dict(stock), set(), {}
+    for order_id, item, seq, quantity, holds in rows:
+        before = left.get(item)
+        fits = before is not None and before >= quantity
+        if fits and order_id is not None and (item, order_id) in held:
+            want[seq] = (before, False, "order already reserved")
+            continue
+        want[seq] = (before, fits, None)
+        if fits and holds:
+            held.add((item, order_id))
+            left[item] -= quantity
+    return want
+
+
+def resubmit(spark, rows, stock, block_rows):
+    schema = "order_id string, item string, seq bigint, quantity int, holds boolean"
+    req = spark.createDataFrame(rows, schema).repartition(4)
+    table = spark.createDataFrame(stock, "item string, available_quantity int")
+    out = allocation.allocate(req, table, block_rows).collect()
+    return {r["seq"]: (r["available_before"], r["reserved"], r["error"]) for r in out}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_resubmitted_orders_that_hold_or_give_back(spark, seed):
+    rng = random.Random(seed)
+    rows = [
+        (rng.choice([None, *[f"o{rng.randrange(60)}"] * 6]), rng.choice(["hot", "hot", "a", "ghost"]),
+         i, rng.choice([0, 1, 2, 5, 17, 40, 200]), rng.random() < 0.7)
+        for i in range(400)
+    ]
+    assert resubmit(spark, rows, STOCK, 9) == resubmitted(rows, STOCK)
+
+
+def test_a_thousand_blocks_with_resubmitted_orders(spark, monkeypatch):
+    """Rounds do not grow with the blocks that hold a resubmitted order."""
+    rng, seen = random.Random(12), rounds(monkeypatch)
+    rows = [
+        ("same" if i % 3 == 0 else f"o{rng.randrange(900)}", "hot", i, rng.choice([1, 1, 2, 9]), True)
+        for i in range(4000)
+    ]
+    stock = [("hot", 2500)]
+    assert resubmit(spark, rows, stock, 4) == resubmitted(rows, stock)
+    assert len(seen) <= 14
 
 
 def test_many_hot_keys_are_all_split(spark):

@@ -98,6 +98,22 @@ def enrich_latest_price(orders: DataFrame, price_changes: DataFrame) -> DataFram
     return orders.join(prices, "item", "left")
 
 
+def price_at_arrival(orders: DataFrame, changes: DataFrame, before: DataFrame) -> DataFrame:
+    """Orders with the last price of their item set before them (by ``seq``), NULL if there is none.
+
+    ``changes``: ``item, price, seq``; ``before``: the last one per item of earlier times. Orders
+    without an item have no price.
+    """
+    earlier = before.select("item", "price", F.lit(None).cast("bigint").alias("seq"))
+    both = orders.withColumn("_order", F.lit(True)).unionByName(
+        changes.unionByName(earlier), allowMissingColumns=True
+    )
+    past = W.partitionBy("item").orderBy(F.col("seq").asc_nulls_first())
+    price = F.last("price", ignorenulls=True).over(past.rowsBetween(W.unboundedPreceding, 0))
+    known = F.when(F.col("item").isNotNull(), price)
+    return both.withColumn("price", known).filter("_order").drop("_order")
+
+
 def session_counts(
     events: DataFrame, keys: Sequence[str], gap: str, time: str = "event_time"
 ) -> DataFrame:

@@ -9,8 +9,9 @@ from eventmill import constants as C
 from eventmill.functions import ids
 from eventmill.operators import decode, reliability
 from eventmill.plans import decoding, sql
-from eventmill.session import written
+from eventmill.session import scratch_path, written
 from eventmill.sources import driver_tables as tables
+from eventmill.streaming.outbox import Outbox
 
 HANDLED = decoding.HANDLED
 GROUP = "inventory-service"
@@ -18,6 +19,8 @@ GROUP = "inventory-service"
 NOW = "2024-01-15 00:00:00"
 # Offsets of second deliveries start here.
 SECOND_DELIVERY = 1_000_000_000_000
+#: Rows of a segment in the relay query, so that its outbox has several.
+RELAY_SEGMENT = 10_000
 
 
 def dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,6 +158,19 @@ def outbox_mark_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select("seq", "published_at")
 
 
+def outbox_relay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches relayed by an outbox of open and closed segments; then all its rows."""
+    rows = _outbox(spark, sf_dir)
+    unmarked = rows.drop("published_at")
+    box = Outbox(spark, scratch_path(spark, "outbox"), unmarked.schema, RELAY_SEGMENT).create()
+    box.append(unmarked)
+    box.mark(rows.filter("published_at IS NOT NULL"), F.col("published_at"))
+    for _ in range(2):
+        published = written(box.next_batch(), "published")  # where a relay would publish
+        box.mark(published, F.lit(NOW).cast("timestamp_ntz"))
+    return box.table().select("seq", "published_at")
+
+
 def outbox_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reliability.outbox_backlog(_outbox(spark, sf_dir))
 
@@ -174,6 +190,7 @@ QUERIES = {
     "outbox_next_batch": outbox_next_batch,
     "outbox_mark_published": outbox_mark_published,
     "outbox_backlog": outbox_backlog,
+    "outbox_relay": outbox_relay,
 }
 
 _STRICT = f"WITH {sql.LOG}, {sql.RECORDS}, {sql.STRICT}"
@@ -261,6 +278,12 @@ SELECT seq, topic, key, created_at FROM next""",
     "outbox_mark_published": f"""WITH {sql.LOG}, {_OUTBOX}, {_NEXT}
 SELECT seq, CASE WHEN seq IN (SELECT seq FROM next) THEN {_NOW} ELSE published_at END
          AS published_at
+FROM outbox""",
+    "outbox_relay": f"""WITH {sql.LOG}, {_OUTBOX},
+relayed AS (SELECT seq FROM outbox WHERE published_at IS NULL ORDER BY seq
+            LIMIT {2 * C.OUTBOX_BATCH_SIZE})
+SELECT seq, CASE WHEN seq IN (SELECT seq FROM relayed) THEN {_NOW} ELSE published_at END
+         AS published_at
 FROM outbox""",
     "outbox_backlog": f"""WITH {sql.LOG}, {_OUTBOX}
 SELECT topic, count(*) AS backlog, min(seq) AS oldest_seq, min(created_at) AS oldest_created_at

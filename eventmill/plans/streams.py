@@ -41,7 +41,7 @@ def _appended(spark: SparkSession, name: str, stream: DataFrame) -> DataFrame:
 
 def _updated(spark: SparkSession, name: str, stream: DataFrame, keys: list[str]) -> DataFrame:
     sink, checkpoint = runner.job_paths(spark, name)
-    runner.run_update(stream, sink, checkpoint)
+    runner.run_update(stream, sink, checkpoint, keys)
     return runner.read_latest(spark, sink, keys)
 
 
@@ -67,7 +67,7 @@ def stream_item_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def counts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All counts, read from the state of the counting job instead of its output."""
     sink, checkpoint = runner.job_paths(spark, "counts-state")
-    runner.run_update(analytics.item_counts(_orders(spark, sf_dir)), sink, checkpoint)
+    runner.run_update(analytics.item_counts(_orders(spark, sf_dir)), sink, checkpoint, ["item"])
     return state.read_counts(spark, checkpoint)
 
 
@@ -250,7 +250,20 @@ def stream_fold_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _appended(spark, "fold", folded)
 
 
+def stream_enrich_latest_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the price of their item as it was when they arrived; the price table is kept by
+    the same stream, whose prices change in between."""
+    events = tables.event_stream(spark, sf_dir)
+    kinds = F.col("event_type").isin(C.ORDER_CREATED, C.PAYMENT_COMPLETED)
+    price = F.when(F.col("event_type") == C.PAYMENT_COMPLETED, F.col("amount")).alias("price")
+    rows = events.filter(kinds).select("item", "seq", "quantity", price)
+    sink, checkpoint = runner.job_paths(spark, "prices")
+    runner.run_batches(rows, jobs.price_enricher(f"{sink}/orders", f"{sink}/prices"), checkpoint)
+    return spark.read.parquet(f"{sink}/orders").select("item", "seq", "quantity", "price")
+
+
 QUERIES = {
+    "stream_enrich_latest_price": stream_enrich_latest_price,
     "stream_fold_orders": stream_fold_orders,
     "stream_source_replay": stream_source_replay,
     "stream_large_orders": stream_large_orders,
@@ -274,6 +287,12 @@ QUERIES = {
 }
 
 ORACLE = {
+    "stream_enrich_latest_price": f"""WITH {sql.LOG},
+priced AS (
+  SELECT *, last_value(CASE WHEN event_type = 'PaymentCompleted' THEN amount END IGNORE NULLS)
+              OVER (PARTITION BY item ORDER BY seq) AS price
+  FROM log WHERE event_type IN ('OrderCreated', 'PaymentCompleted'))
+SELECT item, seq, quantity, price FROM priced WHERE event_type = 'OrderCreated'""",
     "stream_fold_orders": batch_extras.FOLD_ORDERS,
     "stream_source_replay": f"""WITH {sql.LOG}, {sql.RECORDS}
 SELECT "offset", key, CASE WHEN k BETWEEN 55 AND 59 THEN '' ELSE event_type END AS event_type

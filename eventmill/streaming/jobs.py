@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from eventmill import constants as C
 from eventmill.functions import ids, times
-from eventmill.operators import decode, ordered_fold, reliability, saga
+from eventmill.operators import decode, extras, ordered_fold, reliability, saga
 from eventmill.streaming import processors, runner
 from eventmill.streaming.processors import (
     CountChanges,
@@ -176,6 +176,34 @@ def consumer(
     return runner.atomic_sinks(sinks, marker, split)
 
 
+def price_enricher(orders: str, prices: str) -> Callable[[DataFrame, int], None]:
+    """Writer that gives orders the price of their item as of their arrival.
+
+    A micro-batch has ``item, seq, quantity`` and ``price``, which is NULL for an order; a change
+    counts for the orders after it. Prices of earlier batches come from the table in ``prices``, of
+    which a batch reads and rewrites the buckets it touches; the orders go to ``orders``. A repeated
+    batch sees the prices before it and replaces what it wrote.
+    """
+    table = runner.KeyedTable(prices, ["item"])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            changes = batch.filter("price IS NOT NULL").select("item", "price", "seq")
+            asked = batch.filter("price IS NULL").drop("price")
+            before = table.rows_before(batch, batch_id, changes.schema)
+            priced = extras.price_at_arrival(asked, changes, before)
+            runner.upsert_batch(orders)(priced, batch_id)
+            last = changes.groupBy("item").agg(
+                F.max_by("price", "seq").alias("price"), F.max("seq").alias("seq")
+            )
+            table.write(last, batch_id)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
 def fold_stream(
     events: DataFrame, keys: Sequence[str], seq: str, start: Callable, step: Callable, schema: str
 ) -> DataFrame:

@@ -7,12 +7,15 @@ topic from the start with empty state.
 
 from __future__ import annotations
 
+import functools
+import json
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from eventmill.session import ROCKSDB, scratch_path
 
@@ -103,7 +106,7 @@ def _batch_folder(sink: str, batch_id: int) -> str:
     return f"{sink}/{BATCH_ID}={batch_id}"
 
 
-def upsert_sink(sink: str) -> Callable[[DataFrame, int], None]:
+def upsert_batch(sink: str) -> Callable[[DataFrame, int], None]:
     """Writer that keeps each micro-batch in its own folder; a repeated batch replaces it."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -112,19 +115,109 @@ def upsert_sink(sink: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+# --- tables kept by a stream -----------------------------------------------------------------
+
+#: Buckets of a table kept by an update sink; fixed for the life of the sink.
+SINK_BUCKETS = 16
+_BUCKET, _SLOT = "_bucket", "_slot"
+_MANIFEST = f"{_BUCKET} INT, {_SLOT} INT, table_schema STRING, batch BIGINT"
+
+
+class KeyedTable:
+    """A table of current rows by key, as a stream's micro-batches change it.
+
+    Rows are in buckets of their keys, and a bucket has two slots, one of which is current. A
+    micro-batch reads and rewrites only the buckets it touches, each into its other slot, and then
+    writes a manifest of the current slots; manifests of odd and even batches take turns. So files
+    do not pile up, a reader sees a whole batch or none of it, and a repeated batch starts from the
+    manifest before it and replaces itself. A reader that outlasts two batches reads again. One
+    checkpoint writes a table, from batch 0 on.
+    """
+
+    def __init__(self, sink: str, keys: list[str], buckets: int = SINK_BUCKETS) -> None:
+        self.sink, self.keys, self.buckets = sink, list(keys), buckets
+
+    def _manifest(self, spark: SparkSession, before: int | None) -> tuple[dict, StructType | None]:
+        """Slot by bucket and the schema, as of the last batch (before ``before``); the rows of two
+        manifests are collected, at most one per bucket each."""
+        if before == 0:
+            return {}, None
+        rows = spark.read.schema(_MANIFEST).parquet(f"{self.sink}/manifest")
+        rows = [r for r in rows.collect() if before is None or r["batch"] < before]
+        last = max((r["batch"] for r in rows), default=None)
+        rows = [r for r in rows if r["batch"] == last]
+        schema = StructType.fromJson(json.loads(rows[0]["table_schema"])) if rows else None
+        return {r[_BUCKET]: r[_SLOT] for r in rows if r[_BUCKET] >= 0}, schema
+
+    def _read(self, spark: SparkSession, slots: dict, schema: StructType) -> DataFrame:
+        if not slots:
+            return spark.createDataFrame([], schema)
+        placed = StructType([*schema.fields, *StructType.fromDDL(f"{_BUCKET} INT, {_SLOT} INT").fields])
+        current = F.lit(False)
+        for slot in (0, 1):
+            of_slot = [b for b, s in slots.items() if s == slot]
+            current |= (F.col(_SLOT) == slot) & F.col(_BUCKET).isin(of_slot)
+        rows = spark.read.schema(placed).parquet(f"{self.sink}/data")
+        return rows.filter(current).drop(_BUCKET, _SLOT)
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """The current rows."""
+        slots, schema = self._manifest(spark, None)
+        return self._read(spark, slots, schema)
+
+    def rows_before(self, batch: DataFrame, batch_id: int, schema: StructType) -> DataFrame:
+        """The rows as they were before a batch, of the buckets that its keys fall into."""
+        slots, _ = self._manifest(batch.sparkSession, batch_id)
+        touched = self._touched(batch)
+        return self._read(batch.sparkSession, {b: s for b, s in slots.items() if b in touched}, schema)
+
+    def _bucket_of(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def _touched(self, rows: DataFrame) -> set[int]:
+        return {r[0] for r in rows.select(self._bucket_of()).distinct().collect()}
+
+    def write(self, changed: DataFrame, batch_id: int) -> None:
+        """Put the rows of one micro-batch, one per key, in place of the earlier rows of their keys."""
+        spark = changed.sparkSession
+        changed.persist()
+        try:
+            before, _ = self._manifest(spark, batch_id)
+            touched = self._touched(changed)
+            slots = before | {b: 1 - before.get(b, 1) for b in touched}
+            earlier = self._read(
+                spark, {b: s for b, s in before.items() if b in touched}, changed.schema
+            )
+            same = [F.col(f"old.{k}").eqNullSafe(F.col(f"new.{k}")) for k in self.keys]
+            kept = earlier.alias("old").join(
+                changed.select(*self.keys).alias("new"), functools.reduce(lambda a, b: a & b, same), "left_anti"
+            )
+            slot = F.lit(0)
+            for bucket in touched:
+                slot = F.when(F.col(_BUCKET) == bucket, slots[bucket]).otherwise(slot)
+            if touched:
+                rows = kept.unionByName(changed).withColumn(_BUCKET, self._bucket_of())
+                rows.withColumn(_SLOT, slot).repartition(_BUCKET).write.mode("overwrite").option(
+                    "partitionOverwriteMode", "dynamic"
+                ).partitionBy(_BUCKET, _SLOT).parquet(f"{self.sink}/data")
+            schema = changed.schema.json()
+            entries = [(-1, 0, schema, batch_id), *[(b, s, schema, batch_id) for b, s in slots.items()]]
+            manifest = spark.createDataFrame(entries, _MANIFEST).coalesce(1)
+            manifest.write.mode("overwrite").parquet(f"{self.sink}/manifest/turn={batch_id % 2}")
+        finally:
+            changed.unpersist()
+
+
 def run_update(
-    stream: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None
+    stream: DataFrame, sink: str, checkpoint: str, keys: list[str], trigger: dict | None = None
 ) -> None:
-    """Process what is there and record every changed row per micro-batch."""
-    run_batches(stream, upsert_sink(sink), checkpoint, "update", trigger)
+    """Process what is there and keep the last row of every key in a :class:`KeyedTable`."""
+    run_batches(stream, KeyedTable(sink, keys).write, checkpoint, "update", trigger)
 
 
 def read_latest(spark: SparkSession, sink: str, keys: list[str]) -> DataFrame:
     """Current rows of an update sink: the last version of each key."""
-    versions = spark.read.parquet(sink)
-    rest = [c for c in versions.columns if c not in (*keys, BATCH_ID)]
-    last = versions.groupBy(*keys).agg(F.max_by(F.struct(*rest), BATCH_ID).alias("_last"))
-    return last.select(*keys, "_last.*")
+    return KeyedTable(sink, keys).rows(spark)
 
 
 # --- several outputs of one batch, visible together ------------------------------------------

@@ -162,7 +162,7 @@ def test_stream_equals_batch_for_any_split(spark, parts):
     batch = orders_of(spark, ROWS)
 
     sink, checkpoint = runner.job_paths(spark, "t-counts")
-    runner.run_update(analytics.item_counts(orders), sink, checkpoint)
+    runner.run_update(analytics.item_counts(orders), sink, checkpoint, ["item"])
     mine = runner.read_latest(spark, sink, ["item"]).select("item", "order_count").collect()
     assert sorted(mine) == sorted(analytics.item_counts(batch).collect())
 
@@ -200,7 +200,7 @@ def test_restart_goes_on_and_fresh_checkpoint_starts_over(spark):
 
     def run(sink, checkpoint):
         orders = decode.order_created(decode.decode_lenient(stream_of(spark, folder)))
-        runner.run_update(analytics.item_counts(orders), sink, checkpoint)
+        runner.run_update(analytics.item_counts(orders), sink, checkpoint, ["item"])
         counts = runner.read_latest(spark, sink, ["item"])
         return sorted(tuple(r) for r in counts.select("item", "order_count").collect())
 
@@ -220,7 +220,7 @@ def test_watermark_drops_rows_of_closed_windows(spark):
     orders = decode.order_created(decode.decode_lenient(stream_of(spark, folder)))
     windows = analytics.item_orders_per_window(analytics.with_lateness(orders, "30 seconds"))
     sink, checkpoint = runner.job_paths(spark, "t-late")
-    runner.run_update(windows, sink, checkpoint)
+    runner.run_update(windows, sink, checkpoint, ["item_window"])
     latest = runner.read_latest(spark, sink, ["item_window"])
     counts = {r["item_window"]: r["order_count"] for r in latest.collect()}
     assert counts == {"widget@2026-09-25T10:00:00Z": 1, "widget@2026-09-25T10:10:00Z": 3}

@@ -1,9 +1,10 @@
 """License scan: an exact containment join of text blocks with license templates.
 
 A block is a line of a document, a template a license sentence; both are sets of words. A block
-matches a template when it holds at least ``THRESHOLD`` of the template's words. The join is the
-prefix-filter set-similarity join: the words of all templates are ordered by how many blocks of the
-whole corpus hold them, rarest first; a block that matches must hold one of the template's first
+matches a template when it holds at least ``THRESHOLD`` of the template's words. Texts are split into
+words once; what the rest needs of them is a narrow table. The join is the prefix-filter
+set-similarity join: the words of all templates are ordered by how many blocks of the whole corpus
+(those long enough to match any template) hold them, rarest first; a block that matches must hold one of the template's first
 ``size - need + 1`` words (prefix filter), must have at least ``need`` words (length filter), and
 from the position of its first common word on, both sides must still have enough words (positional
 filter). What is left is verified by the exact overlap.
@@ -23,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmill.llm.common import ascii_lower, documents, whole
+from eventmill.session import written
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 THRESHOLD = 0.9
@@ -63,10 +65,6 @@ TEMPLATES = (
 )
 
 
-def words(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0))
-
-
 def _python_words(text: str) -> list[str]:
     import re
 
@@ -86,18 +84,42 @@ def needed(size: int, threshold: float) -> int:
     return max(1, need if need >= size * threshold - 1e-9 else need + 1)
 
 
-def blocks(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
-    """The blocks (doc_id, text_hash, block) that hold a word of the vocabulary, as word sets."""
-    known = F.array(*[F.lit(w) for w in vocabulary])
-    # A cheap test first: most lines hold none of the templates' rarer words.
-    split = docs.select(
-        "doc_id",
-        F.xxhash64("text").alias("text_hash"),
-        F.explode(F.split(whole("text"), "\n", -1)).alias("line"),
+def scanned(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """Every row of (doc_id, text) in one pass over its words: their number, the places of each
+    phrase, and its blocks (``blocks``), each as its set of template words.
+
+    Blocks with fewer of these words than any template needs are left out (length filter). The rows
+    are written, since counts, candidates and the report all read them.
+    """
+    sets = template_sets(templates)
+    vocabulary = sorted({w for _, _, own in sets for w in own})
+    least = min(needed(len(own), threshold) for _, _, own in sets)
+    lines = F.transform(
+        F.split(ascii_lower(whole("text")), "\n", -1),
+        lambda line: F.regexp_extract_all(line, F.lit(WORD), F.lit(0)),
+    )
+    known = F.transform(
+        "lines", lambda line: F.array_distinct(F.filter(line, lambda w: w.isin(vocabulary)))
+    )
+    empty = F.array().cast("array<int>")
+    starts = [
+        F.when(F.array_contains("words", phrase[0]), phrase_starts(F.col("words"), phrase))
+        .otherwise(empty)
+        .alias(f"p{i}")
+        for i, (phrase, _) in enumerate(PHRASES)
+    ]
+    worded = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), lines.alias("lines"))
+    split = worded.select("doc_id", "text_hash", "lines", F.flatten("lines").alias("words"))
+    return written(
+        split.select(
+            "doc_id",
+            "text_hash",
+            F.size("words").cast("long").alias("n_words"),
+            *starts,
+            F.filter(known, lambda held: F.size(held) >= least).alias("blocks"),
+        ),
+        "license-words",
     )
-    return split.select(
-        "doc_id", "text_hash", F.array_intersect(words(F.col("line")), known).alias("held")
-    ).where(F.size("held") > 0)
 
 
 def word_order(held: DataFrame, vocabulary: list[str]) -> list[str]:
@@ -110,9 +132,14 @@ def word_order(held: DataFrame, vocabulary: list[str]) -> list[str]:
 
 def license_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """Every (doc_id, text_hash, label, containment) of a block and a template it matches."""
+    return matches(scanned(docs, templates, threshold), templates, threshold)
+
+
+def matches(rows: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+    """:func:`license_matches` of scanned rows."""
     sets = template_sets(templates)
     vocabulary = sorted({w for _, _, own in sets for w in own})
-    held = blocks(docs, vocabulary)
+    held = rows.select("doc_id", "text_hash", F.explode("blocks").alias("held"))
     order = word_order(held, vocabulary)
     rank = {w: i for i, w in enumerate(order)}
     index = []
@@ -134,7 +161,7 @@ def license_matches(docs: DataFrame, templates=TEMPLATES, threshold: float = THR
             for word, place, number, label, own, need in index
         ]
     )
-    postings = docs.sparkSession.range(1).select(F.inline(entries))
+    postings = rows.sparkSession.range(1).select(F.inline(entries))
     firsts = F.array(*[F.lit(w) for w in sorted({e[0] for e in index}, key=rank.__getitem__)])
     ordered = F.array(*[F.lit(w) for w in order])
     # array_intersect keeps the order of its first side: the block in global order.
@@ -184,26 +211,12 @@ def _all(conditions: list[Column]) -> Column:
 
 def license_scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """Phrases and template matches of every row of (doc_id, text)."""
-    docs = docs.select("doc_id", "text")
+    counted = scanned(docs.select("doc_id", "text"), templates, threshold)
     found = (
-        license_matches(docs, templates, threshold)
+        matches(counted, templates, threshold)
         .groupBy("doc_id", "text_hash")
         .agg(F.collect_set("label").alias("labels"), F.max("containment").alias("containment"))
     )
-    split = docs.select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), words(whole("text")).alias("words")
-    )
-    # The last word of every phrase must be there at all before places are looked for.
-    empty = F.array().cast("array<int>")
-    starts = [
-        F.when(F.array_contains("words", words_[0]), phrase_starts(F.col("words"), words_))
-        .otherwise(empty)
-        .alias(f"p{i}")
-        for i, (words_, _) in enumerate(PHRASES)
-    ]
-    counted = split.select(
-        "doc_id", "text_hash", F.size("words").cast("long").alias("n_words"), *starts
-    )
     every = F.concat(*[F.col(f"p{i}") for i in range(len(PHRASES))])
     base = F.array_compact(
         F.array(*[F.when(F.size(f"p{i}") > 0, F.lit(k)) for i, (_, k) in enumerate(PHRASES)])

@@ -50,6 +50,7 @@ def _rows(docs: DataFrame) -> DataFrame:
     text = whole("text")
     return docs.select(
         "doc_id",
+        F.monotonically_increasing_id().alias("row_number"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
         *hash128(text),
@@ -71,7 +72,8 @@ def _with_parts(rows: DataFrame, limit: int) -> DataFrame:
     )
     # Broadcast: fewer than SHARDS * UNITS units can be heavier than the limit.
     joined = rows.join(F.broadcast(heavy), ["h1", "h2"], "left")
-    part = F.pmod(F.xxhash64("doc_id", "size"), F.coalesce("parts", F.lit(1)))
+    # By the written number of the row, since doc_ids may be null or repeated.
+    part = F.pmod(F.xxhash64("row_number"), F.coalesce("parts", F.lit(1)))
     return joined.withColumn("part", part).drop("parts")
 
 
@@ -159,7 +161,7 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
         units = at.withColumn("node", F.col("node") * 2 + later).drop("key")
     placed = units.select("h1", "h2", "part", F.col("node").alias("shard"))
     return parted.join(placed, ["h1", "h2", "part"]).select(
-        "doc_id", "size", "text_crc32", "shard"
+        "doc_id", "row_number", "size", "text_crc32", "shard"
     )
 
 
@@ -168,25 +170,25 @@ def with_slots(placed: DataFrame) -> DataFrame:
     placed = written(placed, "shard-placed")
     largest = placed.groupBy("shard").count().agg(F.max("count")).first()[0] or 1
     parts = max(64, largest // SLOT_ROWS)
-    dealt = placed.withColumn("deal", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(parts)))
+    dealt = placed.withColumn("deal", F.pmod(F.xxhash64("row_number"), F.lit(parts)))
     before = Window.partitionBy("shard").orderBy("deal").rowsBetween(Window.unboundedPreceding, -1)
     firsts = (
         dealt.groupBy("shard", "deal")
         .agg(F.count("*").alias("n"))
         .select("shard", "deal", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
     )
-    own = Window.partitionBy("shard", "deal").orderBy("doc_id", "text_crc32", "size")
+    own = Window.partitionBy("shard", "deal").orderBy("row_number")
     return (
         dealt.withColumn("place", F.row_number().over(own) - 1)
         .join(firsts, ["shard", "deal"])
         .withColumn("slot", (F.col("first") + F.col("place")).cast("long"))
-        .drop("deal", "place", "first")
+        .drop("deal", "place", "first", "row_number")
     )
 
 
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Law ``bytes``: the shards' sizes are near equal; copies of a text stay together unless
-    their group is heavier than a thousandth of a shard."""
+    their group is heavier than a hundredth of a shard."""
     return with_slots(shard(documents(spark, sf_dir))).select(
         "doc_id",
         "size",

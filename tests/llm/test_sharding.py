@@ -57,3 +57,23 @@ def test_odd_and_empty_tables(spark):
     assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in ODD_ROWS)
     assert {r["size"] for r in got if r["doc_id"] in (1, 2)} == {1}
     assert sh.with_slots(sh.shard(empty(spark))).count() == 0
+
+
+def test_rows_without_or_with_one_doc_id_are_dealt_evenly(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(4500):
+        hot = i % 3 == 0
+        doc_id = (None if i % 2 else 7) if hot else i
+        text = "the hot copy " * 5 if hot else f"{i} " + "y" * rng.randint(0, 80)
+        rows.append((doc_id, text, "en", "src0", len(text)))
+    got = sh.with_slots(sh.shard(frame(spark, rows))).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in rows)
+    sizes, slots = Counter(), defaultdict(list)
+    for r in got:
+        sizes[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    mean = sum(sizes.values()) / 16
+    assert set(sizes) == set(range(16))
+    assert all(abs(s - mean) <= 0.04 * mean for s in sizes.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())

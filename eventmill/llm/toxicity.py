@@ -360,12 +360,12 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
         matcher = matcher_of(words)
         return pd.Series([matcher.counts(t).tolist() for t in texts], dtype=object)
 
-    rows = (
-        sample.select("doc_id", "toxic", counts_of("text").alias("counts"))
-        .dropDuplicates(["doc_id"])  # so that repeated rows do not exceed the bound
-        .orderBy("doc_id")
-        .collect()
+    # One text of each doc_id, so that repeated rows do not exceed the bound: that with the least
+    # hash, whatever the order of the rows.
+    single = sample.groupBy("doc_id").agg(
+        F.max("toxic").alias("toxic"), F.min_by("text", F.xxhash64("text")).alias("text")
     )
+    rows = single.select("doc_id", "toxic", counts_of("text").alias("counts")).orderBy("doc_id").collect()
     if not rows:
         return Model(learned, np.array(list(KINDS.values())), BIAS)
     counts = np.array([r["counts"] for r in rows])

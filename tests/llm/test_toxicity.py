@@ -2,7 +2,7 @@ import random
 import zlib
 
 import numpy as np
-from cases import empty, odd, texts
+from cases import empty, frame, odd, texts
 from pyspark.sql import functions as F
 
 from eventmill.llm import toxicity as tx
@@ -129,3 +129,16 @@ def test_stage_keeps_clean_rows_and_columns(spark, tmp_path):
     assert kept.columns == docs.columns
     ids = {r["doc_id"] for r in kept.select("doc_id").collect()}
     assert {i for i in range(400) if i % 4} <= ids and len(ids) <= 305
+
+
+def test_fit_does_not_depend_on_the_order_of_rows(spark):
+    """One doc_id with several texts: the same one is learned from, wherever it stands."""
+    rows = [(i, t, "en", "s", 0) for i in range(60) for t in (f"you are an idiot {i}", f"a calm walk {i}")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    models = [
+        tx.train(frame(spark, some).repartition(parts), labels)
+        for some, parts in ((rows, 3), (rows[::-1], 5))
+    ]
+    assert models[0].learned == models[1].learned
+    assert models[0].bias == models[1].bias
+    assert (models[0].weights == models[1].weights).all()

@@ -598,7 +598,9 @@ def open_pairs(open_: DataFrame, classes: DataFrame) -> DataFrame:
         while other.shape[1] > width:
             half = other.shape[1] // 2
             other = other[:, :half] ^ other[:, half:]
-        distance = np.bitwise_count(other ^ _folded(words, width)).sum(axis=1, dtype="int64")
+        # Unsigned, since the bits of a negative number are counted in its absolute value.
+        differing = (other ^ _folded(words, width)).view("uint64")
+        distance = np.bitwise_count(differing).sum(axis=1, dtype="int64")
         return at[distance * (of + kept) <= (sizes[at] + n) * (of - kept)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,10 +18,12 @@ sketches bound that difference from below without the sets:
 * Verification on the sets themselves.
 
 Groups of copies are never expanded: documents with equal sets form one class, and the classes that
-share a key are compared with the smallest of them first (a star). Only where a key's classes are
-still in several components are the pairs between components passed through the Hamming filter too
-(in the task that has the key's classes), and what is left compared, so no link is lost and a group
-of near copies costs as many comparisons as it has members.
+share a key are compared with the smallest of them first (a star). Where a key's classes are still
+in several components, each class outside the largest one meets all of the others' sketches in the
+task that has the key's classes, and is compared with its nearest in another component; then
+components are joined anew, and only what is still apart goes on, with eight times as many of the
+nearest each round, until no class has one left that the Hamming filter lets pass. So no link is
+lost, and a group of near copies costs about as many comparisons as it has members.
 
 Python (numpy) hashes texts and counts keys within tasks; Spark moves keys by hash slot (packed, 5
 bytes a key), so a frequent key's classes are spread over all slots of their other keys. Components
@@ -65,6 +67,8 @@ BLOCK = 64
 HUB_ROWS, HELD_BYTES = 4000, 32 << 20
 #: Pairs that a task collects before it puts them out.
 HELD_PAIRS = 1_000_000
+#: How many times as many of its nearest a class is compared with in each further round.
+MORE = 8
 BLOOM_BITS = 1 << 25
 
 U = np.uint64
@@ -578,18 +582,21 @@ def open_rows(open_: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
-def open_pairs(open_: DataFrame, classes: DataFrame) -> DataFrame:
+def open_pairs(open_: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
     """Pairs (a, b) of classes of one key in different components that pass the size and Hamming
-    filters. ``open_``: key_group, hub, c1 and part, the component.
+    filters: the ``limit`` nearest of each class outside its key group's largest component. ``more``
+    tells that the class had others. ``open_``: key_group, hub, c1 and part, the component.
 
     A task holds one chunk of a key group (see ``open_rows``); the members of its other chunks that
-    are outside the group's largest component are streamed past it.
+    are outside the group's largest component are streamed past it, and ``limit`` holds for each
+    chunk. So a round makes at most ``limit`` pairs for a row of ``open_rows``.
     """
     kept, of = THRESHOLD
 
-    def near(held: tuple, c1: int, part: int, n: int, words: np.ndarray) -> np.ndarray:
-        """The places of the held classes that may be linked with a class."""
-        parts, sizes, sketches = held[1], held[2], held[4]
+    def nearest(held: tuple, c1: int, part: int, n: int, words: np.ndarray) -> tuple:
+        """The held classes that may be linked with a class, the nearest first; whether there are
+        more than ``limit``."""
+        numbers, parts, sizes, sketches = held
         at = np.flatnonzero(
             (parts != part) & (np.minimum(sizes, n) * of >= np.maximum(sizes, n) * kept)
         )
@@ -601,35 +608,37 @@ def open_pairs(open_: DataFrame, classes: DataFrame) -> DataFrame:
         # Unsigned, since the bits of a negative number are counted in its absolute value.
         differing = (other ^ _folded(words, width)).view("uint64")
         distance = np.bitwise_count(differing).sum(axis=1, dtype="int64")
-        return at[distance * (of + kept) <= (sizes[at] + n) * (of - kept)]
+        near = distance * (of + kept) <= (sizes[at] + n) * (of - kept)
+        at, distance = at[near], distance[near]
+        # Of equal distances the smallest number, so that many classes choose the same one.
+        order = np.lexsort((numbers[at], distance))[:limit]
+        return numbers[at[order]], len(at) > limit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, group, members, held, found, count = None, None, [], None, [], 0
 
         def stacked() -> tuple:
             width = min(len(m[4]) for m in members)
-            columns = [np.array([m[i] for m in members]) for i in range(4)]
+            columns = [np.array([m[i] for m in members]) for i in range(3)]
             return (*columns, np.stack([_folded(m[4], width) for m in members]))
 
-        def put(at: np.ndarray, c1: int) -> int:
-            other = held[0][at]
-            if len(at):
-                found.append(np.stack([np.minimum(other, c1), np.maximum(other, c1)]))
-            return len(at)
+        def put(c1: int, part: int, n: int, words: np.ndarray) -> int:
+            other, more = nearest(held, c1, part, n, words)
+            if len(other):
+                ends = np.minimum(other, c1), np.maximum(other, c1)
+                found.append(np.stack([*ends, np.full(len(other), more)]))
+            return len(other)
 
         def within() -> int:
             """The pairs of the held chunk itself."""
-            added = 0
-            for x in np.flatnonzero(~held[3]):
-                at = near(held, *(held[i][x] for i in (0, 1, 2)), held[4][x])
-                # Of two classes outside the largest component the one with the smaller c1 asks.
-                added += put(at[held[3][at] | (held[0][at] > held[0][x])], held[0][x])
-            return added
+            return sum(put(c1, part, n, words) for c1, part, n, main, words in members if not main)
 
         def finished() -> Iterator[pa.RecordBatch]:
             if found:
-                a, b = np.unique(np.concatenate(found, axis=1), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                a, b, more = np.unique(np.concatenate(found, axis=1), axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a), pa.array(b), pa.array(more.astype(bool))], names=["a", "b", "more"]
+                )
 
         names = ("hub", "cell", "key_group", "chunk", "turn", "main", "c1", "part", "n")
         for batch in batches:
@@ -656,8 +665,7 @@ def open_pairs(open_: DataFrame, classes: DataFrame) -> DataFrame:
                 if held is None:
                     held = stacked()
                     count += within()
-                at = near(held, c1, part, n, own_words)
-                count += put(at[held[3][at] | (held[0][at] > c1)], c1)
+                count += put(c1, part, n, own_words)
                 if count > HELD_PAIRS:
                     yield from finished()
                     found, count = [], 0
@@ -670,8 +678,9 @@ def open_pairs(open_: DataFrame, classes: DataFrame) -> DataFrame:
         open_rows(open_, classes)
         .repartition("hub", "cell")
         .sortWithinPartitions("hub", "cell", "key_group", "chunk", "turn")
-        .mapInArrow(run, "a long, b long")
-        .distinct()
+        .mapInArrow(run, "a long, b long, more boolean")
+        .groupBy("a", "b")
+        .agg(F.max("more").alias("more"))
     )
 
 
@@ -804,20 +813,34 @@ def linked_rows(docs: DataFrame, words: int = WORDS) -> DataFrame:
     links = written(verified(tried, docs, classes, words), "star-links")
     roots = components(links)
 
-    # Then, where a key's classes are in several components, the pairs between them.
-    labelled = written(_rooted(groups, roots, "part"), "key-parts")
-    mixed = (
-        labelled.groupBy("key_group")
-        .agg(F.min("part").alias("least"), F.max("part").alias("most"))
-        .where("least <> most")
-        .select("key_group")
-    )
-    open_ = labelled.join(mixed, "key_group", "left_semi")
-    between = open_pairs(open_, classes).join(star, ["a", "b"], "left_anti")
-    rest = written(between, "open-pairs")
-    if rest.limit(1).count():
-        more = written(verified(rest, docs, classes, words), "open-links")
-        roots = components(links.union(more))
+    # Then, where a key's classes are in several components, each class outside the largest one with
+    # its nearest in the others, with more of them each round, until no class has others.
+    tried, limit = star, 1
+    while True:
+        labelled = written(_rooted(groups, roots, "part"), "key-parts")
+        mixed = (
+            labelled.groupBy("key_group")
+            .agg(F.min("part").alias("least"), F.max("part").alias("most"))
+            .where("least <> most")
+            .select("key_group")
+        )
+        # What is whole by now stays so.
+        groups = written(
+            labelled.join(mixed, "key_group", "left_semi"), f"open-groups-{limit}"
+        )
+        if not groups.limit(1).count():
+            break
+        nearest = written(open_pairs(groups, classes, limit), "open-pairs")
+        rest = written(
+            nearest.select("a", "b").join(tried.select("a", "b"), ["a", "b"], "left_anti"),
+            "open-untried",
+        )
+        if rest.limit(1).count():
+            links = links.union(written(verified(rest, docs, classes, words), "open-links"))
+            roots = components(links)
+        if not nearest.where("more").limit(1).count():
+            break
+        tried, groups, limit = tried.union(rest), groups.drop("part"), limit * MORE
 
     rooted = _rooted(classes.select("c1", "c2", "doc_id"), roots, "part")
     named = written(

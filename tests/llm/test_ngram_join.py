@@ -200,5 +200,38 @@ def test_large_key_groups_are_dealt_into_bounded_chunks(spark, monkeypatch):
         return part[a] != part[b] and 4 * min(n, m) >= 3 * max(n, m) and d * 7 <= n + m
 
     want = {(a, b) for a in range(200) for b in range(a + 1, 200) if may(a, b)}
-    got = [(r["a"], r["b"]) for r in nj.open_pairs(open_, classes).collect()]
+    rows = nj.open_pairs(open_, classes, 200).collect()
+    got = [(r["a"], r["b"]) for r in rows]
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
+    assert not any(r["more"] for r in rows)
+
+    first = nj.open_pairs(open_, classes, 1).collect()
+    few = {(r["a"], r["b"]) for r in first}
+    assert few < want and any(r["more"] for r in first)
+    asked = {x for x in range(200) if part[x] and any(x in p for p in want)}
+    assert asked <= {x for p in few for x in p}
+    assert len(few) <= len(nj.open_rows(open_, classes).collect())
+
+
+def test_pairs_of_a_group_of_near_copies_are_as_many_as_its_members(spark, monkeypatch):
+    monkeypatch.setattr(nj, "SAMPLE", 100)
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(150)]
+    values = []
+    for i in range(600):  # most are linked with a few only, so that no star joins them
+        words = list(base)
+        for at in rng.sample(range(150), rng.choice([2, 3, 3, 4, 4, 4])):
+            words[at] = f"v{i}x{at}"
+        values.append(" ".join(words))
+    made = []
+    plain = nj.open_pairs
+
+    def counted(open_, classes, limit):
+        out = nj.written(plain(open_, classes, limit), "counted")
+        made.append((limit, out.count()))
+        return out
+
+    monkeypatch.setattr(nj, "open_pairs", counted)
+    got = run(texts(spark, values))
+    assert {i: c for i, (_, c) in got.items()} == linked(list(enumerate(values)))
+    assert made[0][0] == 1 and sum(n for _, n in made) < 4 * len(values), made

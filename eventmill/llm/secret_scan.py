@@ -5,8 +5,8 @@ identifiers. A candidate (a run of identifier characters) is reported when the l
 of the two models is at least ``MARGIN`` in all and ``PER_CHAR`` per character.
 
 Training samples are labelled by the base patterns over the whole corpus: values those patterns
-find are random strings, all other candidate runs (of ``WORD_CHARS`` or more) are ordinary
-identifiers. Only pair counts leave a task, at most ``67 * 67`` per model, so what is gathered does
+find are random strings; runs of 8 or more characters (``TRAINING``) outside them are ordinary
+identifiers, but for those of ``CANDIDATE_CHARS`` or more with a digit, which may be secrets. Only pair counts leave a task, at most ``67 * 67`` per model, so what is gathered does
 not depend on the corpus' size while every row is counted. Copies weigh as often as they occur, but
 the models' weight per pair is bounded by smoothing: the random model starts from ``PRIOR`` counts
 of uniform letters, digits and hexadecimal digits, so it is defined where no secret was found.

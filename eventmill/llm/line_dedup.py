@@ -102,6 +102,23 @@ def build_runs(docs: DataFrame, batches: int = BATCHES) -> LineRuns:
     return runs
 
 
+def without(values: Column, places: Column) -> Column:
+    """The array without the elements at ``places`` (from 0; null: none), in time linear in both:
+    a hash set of places, not a search per element."""
+    # The one-element array binds the values, so that they are computed once per row.
+    return F.when(places.isNull(), values).otherwise(
+        F.transform(
+            F.array(values),
+            lambda every: F.transform(
+                F.array_except(
+                    F.sequence(F.lit(0), F.size(every)), F.array_append(places, F.size(every))
+                ),
+                lambda place: F.get(every, place),
+            ),
+        )[0]
+    )
+
+
 def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BATCHES) -> DataFrame:
     """Each row of ``docs`` as struct ``row``, with kept_text, n_lines and n_dropped."""
     runs = build_runs(docs, batches)
@@ -135,12 +152,9 @@ def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BATCHES
         "left",
     )
     every = lines(F.col("row.text"))
-    kept = F.when(F.col("gone").isNull(), every).otherwise(
-        F.filter(every, lambda _, place: ~F.array_contains(F.col("gone"), place))
-    )
     return joined.select(
         "row",
-        F.array_join(kept, "\n").alias("kept_text"),
+        F.array_join(without(every, F.col("gone")), "\n").alias("kept_text"),
         F.size(every).cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
     )

@@ -91,23 +91,18 @@ def test_short_null_and_equal_items():
     assert dc.find_items("", index) == dc.find_items(None, index) == []
 
 
-def test_operator_in_blocks(spark):
+def test_operator_in_blocks(spark, monkeypatch):
     rng = random.Random(13)
     items = [(i, _words(rng, 15)) for i in range(12)]
     bench = spark.createDataFrame(items, "item_id long, text string")
     values = [_words(rng, 30) + " " + items[i][1] for i in range(12)] + [_words(rng, 40)]
     docs = texts(spark, values)
-    assert len(dc.benchmark_blocks(bench, 300)) > 3
+    assert len(list(dc.benchmark_blocks(bench, 300))) > 3
     for chars in (300, dc.BLOCK_CHARS):
-        dc.BLOCK_CHARS, before = chars, dc.BLOCK_CHARS
-        try:
-            rows = docs.select("doc_id", dc.matches(docs["text"], bench).alias("hits")).collect()
-        finally:
-            dc.BLOCK_CHARS = before
-        assert {r["doc_id"]: [h["item_id"] for h in r["hits"]] for r in rows} == {
-            **{i: [i] for i in range(12)},
-            12: [],
-        }
+        monkeypatch.setattr(dc, "BLOCK_CHARS", chars)
+        rows = dc.all_matches(docs, bench).collect()
+        assert sorted((r["doc_id"], r["item_id"]) for r in rows) == [(i, i) for i in range(12)]
+        assert [r["doc_id"] for r in dc.clean(docs, bench).collect()] == [12]
 
 
 def test_odd_and_empty_tables(spark):
@@ -116,9 +111,47 @@ def test_odd_and_empty_tables(spark):
         "item_id long, text string",
     )
     docs = odd(spark)
-    rows = docs.select("doc_id", dc.matches(docs["text"], bench).alias("hits")).collect()
-    assert sorted(r["doc_id"] for r in rows if r["hits"]) == [6, 7, 8, 8]
+    rows = dc.all_matches(docs, bench).collect()
+    assert sorted(r["doc_id"] for r in rows) == [6, 7, 8, 8]
     none = bench.where("false")
-    assert not any(r["h"] for r in docs.select(dc.matches(docs["text"], none).alias("h")).collect())
+    assert dc.all_matches(docs, none).count() == 0
+    assert dc.clean(docs, none).count() == docs.count()
     nothing = empty(spark)
-    assert nothing.select(dc.matches(nothing["text"], bench)).count() == 0
+    assert dc.all_matches(nothing, bench).count() == dc.clean(nothing, bench).count() == 0
+
+
+def test_white_space_is_one_blank_and_places_are_of_the_text():
+    item = "def first():\n        return the_first_of_them\n"
+    index = dc.build_index([(3, item)])
+    for indent in (" ", "\t\t", " " * 400):
+        head = f"\n\n{indent}x = 1  \n"
+        text = head + item.strip().replace("        ", indent) + "\n\n  y"
+        ((i, start, end, edits),) = dc.find_items(text, index)
+        assert (i, edits, text[start:end]) == (3, 0, text[len(head) : -len("\n\n  y")])
+
+
+def test_repeated_characters_stay_cheap():
+    rng = random.Random(14)
+    runs = [" " * 40, "=" * 40, "-=" * 20, "ab" * 20]
+    items = [(i, runs[i % 4] + _words(rng, 20) + runs[i % 4]) for i in range(20)]
+    items.append((20, "=" * 60))
+    index = dc.build_index(items)
+    for filler in (" " * 1_000_000, "-=" * 20_000, "ab" * 20_000):
+        text = filler + items[5][1] + filler
+        assert [h[0] for h in dc.find_items(text, index)] == [5]
+    hits = dc.find_items("=" * 50_000 + items[5][1], index)
+    assert [h[0] for h in hits if h[0] != 20] == [5]
+    # The item of one character is found in places that do not overlap.
+    ends = [(h[1], h[2]) for h in hits if h[0] == 20]
+    assert len(ends) > 400 and all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+
+
+def test_slices_of_postings_change_nothing(monkeypatch):
+    rng = random.Random(15)
+    items = [(i, _words(rng, 12) + "=" * (i % 3) * 10) for i in range(10)]
+    index = dc.build_index(items)
+    hosts = [_words(rng, 9) + "=" * 90 + _edit(rng, items[i][1], 2) + _words(rng, 9) for i in range(10)]
+    before = [dc.find_items(h, index) for h in hosts]
+    monkeypatch.setattr(dc, "POSTINGS", 7)
+    assert [dc.find_items(h, index) for h in hosts] == before
+    assert sum(map(bool, before)) >= 9

@@ -1,4 +1,7 @@
+import random
+
 from cases import ODD_ROWS, empty, odd, texts
+from pyspark.sql import functions as F
 
 from eventmill.llm import line_dedup as ld
 
@@ -70,3 +73,27 @@ def test_stage_keeps_columns(spark):
     changed = {r["doc_id"]: r for r in ld.dedup_stage(spark, texts(spark, VALUES), "").collect()}
     assert changed[0]["text"] == "x\n" and changed[0]["n_chars"] == 2
     assert changed[8]["text"] == VALUES[8]
+
+
+def test_without_places(spark):
+    rng = random.Random(5)
+    rows = []
+    for n in (0, 1, 2, 7, 30):
+        values = [str(i) for i in range(n)]
+        for share in (0.0, 0.3, 1.0):
+            gone = [i for i in range(n) if rng.random() < share]
+            rng.shuffle(gone)
+            rows += [(values, gone), (values, None)]
+    df = spark.createDataFrame(rows, "v array<string>, g array<int>")
+    out = df.select("v", "g", ld.without(F.col("v"), F.col("g")).alias("kept")).collect()
+    for r in out:
+        assert r["kept"] == [x for i, x in enumerate(r["v"]) if i not in (r["g"] or [])]
+
+
+def test_texts_of_very_many_lines(spark):
+    n = 200_000
+    common = "\n".join(f"line number {i} that several hold" for i in range(n))
+    df = texts(spark, [common, f"x\n{common}", f"{common}\ny", "z"])
+    rows = {r[0]: r for r in run(df)}
+    assert [rows[i][1:3] for i in range(4)] == [(n, n), (n + 1, n), (n + 1, 0), (1, 0)]
+    assert [rows[i][3] for i in (0, 1, 3)] == ["", "x", "z"] and rows[2][3] == f"{common}\ny"

@@ -131,8 +131,10 @@ def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BATCHES
         docs.select(
             F.col("doc_id").alias("id"),
             F.xxhash64("text").alias("text_hash"),
-            F.posexplode(lines(F.col("text"))).alias("place", "line"),
+            lines(F.col("text")).alias("lines"),
         )
+        # In a select of its own, so that a text is hashed once and not once per line.
+        .select("id", "text_hash", F.posexplode("lines").alias("place", "line"))
         .select("id", "text_hash", "place", line_key(F.col("line")).alias("key"))
         .where(F.char_length("key") >= MIN_CHARS)
         .select("id", "text_hash", "place", *hash128("key"))

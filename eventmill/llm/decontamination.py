@@ -9,7 +9,7 @@ region is verified by an alignment banded to its diagonals. A band counts each q
 once, however often the text repeats it: a match shares that many *different* places of the item. The
 filter loses nothing: a match always reaches the bound in some band.
 
-Texts and items are compared lower-cased, every run of white space as one blank; an item's outer white
+Texts and items are compared lower-cased, every run of ASCII white space as one blank; an item's outer white
 space does not count. Places are code points of the text as it stands. The benchmark is read in blocks
 of about ``BLOCK_CHARS`` characters, one after the other, each with a job of its own; one block's
 q-grams are what the driver and each Python worker hold. Every text is scanned whole, in overlapping
@@ -44,7 +44,7 @@ BLOCK_CHARS = 1_000_000
 STRETCH = 1 << 18
 POSTINGS = 1 << 21
 HITS = "array<struct<item_id:long,start:int,end:int,edits:int>>"
-BLANKS = re.compile(r"\s+")
+BLANKS = re.compile("  +")
 #: Multiplier of the rolling hash (odd, so that it is invertible).
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -59,13 +59,14 @@ def squeezed(text: str) -> tuple[str, np.ndarray | None]:
     lower = text.lower()
     if len(lower) != len(text):
         lower = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
-    plain = BLANKS.sub(" ", lower)
-    if len(plain) == len(lower):
-        return plain, None
+    for other in "\t\n\x0b\x0c\r":
+        lower = lower.replace(other, " ")
+    if "  " not in lower:
+        return lower, None
     dropped = np.zeros(len(lower), bool)
     for run in BLANKS.finditer(lower):
         dropped[run.start() + 1 : run.end()] = True
-    return plain, np.flatnonzero(~dropped)
+    return BLANKS.sub(" ", lower), np.flatnonzero(~dropped)
 
 
 def characters(text: str) -> np.ndarray:

@@ -126,9 +126,16 @@ def _in_array(text: Column) -> Column:
     return F.concat(F.lit("["), text, F.lit("]"))
 
 
-def one_value(text: Column) -> Column:
+def read_objects(text: Column) -> Column:
+    """The text as an array of JSON objects; what :func:`one_value` and :func:`object_fields` look at.
+
+    To be computed once per row (see :func:`once`), since both need it.
+    """
+    return F.from_json(_in_array(text), "array<map<string,variant>>", STANDARD_JSON)
+
+
+def one_value(text: Column, docs: Column) -> Column:
     """True where the text is one JSON object or null with nothing after it."""
-    docs = F.from_json(_in_array(text), "array<map<string,variant>>", STANDARD_JSON)
     start = F.ltrim(text, F.lit(" \t\r\n"))
     # The array ends early only at a bracket of the text; as a member such a text is no JSON.
     member = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
@@ -140,11 +147,10 @@ def one_value(text: Column) -> Column:
     )
 
 
-def object_fields(text: Column) -> Column:
-    """Folded name, kind and text of every field of a JSON object, in order."""
-    docs = F.from_json(_in_array(text), "array<map<string,variant>>", STANDARD_JSON)
+def object_fields(doc: Column) -> Column:
+    """Folded name, kind and text of every field of a JSON object (a map), in order."""
     return F.transform(
-        F.map_entries(F.get(docs, F.lit(0))),
+        F.map_entries(doc),
         lambda e: F.struct(
             folded(e["key"]).alias("name"),
             json_kind(e["value"]).alias("kind"),
@@ -153,17 +159,25 @@ def object_fields(text: Column) -> Column:
     )
 
 
-def raw_field(text: Column, name: str) -> Column:
-    """JSON text of the last field of this name, its own fields in their order."""
-    docs = F.from_json(_in_array(text), "array<map<string,string>>", STANDARD_JSON)
-    found = F.filter(
-        F.map_entries(F.get(docs, F.lit(0))), lambda e: folded(e["key"]) == name.upper()
-    )
+def last_field(doc: Column, name: str) -> Column:
+    """The last field of this name of a JSON object (a map)."""
+    found = F.filter(F.map_entries(doc), lambda e: folded(e["key"]) == name.upper())
     return F.try_element_at(found, F.lit(-1))["value"]
 
 
-def _of_name(fields: Column, name: str) -> Column:
-    return F.filter(fields, lambda f: f["name"] == name.upper())
+def ordered_fields(node: Column, text: Column, name: str) -> Column:
+    """:func:`object_fields` of the VARIANT ``node``, the last field ``name`` of the object in ``text``.
+
+    A VARIANT has its fields sorted. Only where two of them agree but for the letter case does their
+    order in the text count, and the text is read once more.
+    """
+    fields = F.try_variant_get(node, "$", "map<string,variant>")
+    names = F.transform(F.map_keys(fields), folded)
+    raw = F.from_json(_in_array(text), "array<map<string,string>>", STANDARD_JSON)
+    in_order = F.get(read_objects(last_field(F.get(raw, F.lit(0)), name)), F.lit(0))
+    return object_fields(
+        F.when(F.size(F.array_distinct(names)) < F.size(names), in_order).otherwise(fields)
+    )
 
 
 def strict_ok(fields: Column, name: str, target: str) -> Column:
@@ -179,13 +193,16 @@ def strict_ok(fields: Column, name: str, target: str) -> Column:
             "double": kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL"),
         }[target]
 
-    fine = F.forall(_of_name(fields, name), lambda f: (f["kind"] == "VOID") | accepted(f["kind"]))
+    fine = F.forall(
+        fields,
+        lambda f: (f["name"] != name.upper()) | (f["kind"] == "VOID") | accepted(f["kind"]),
+    )
     return F.coalesce(fine, F.lit(True))
 
 
 def strict_text(fields: Column, name: str) -> Column:
     """Text of the last field of this name that is not null; NULL if there is none."""
-    set_ = F.filter(_of_name(fields, name), lambda f: f["kind"] != "VOID")
+    set_ = F.filter(fields, lambda f: (f["name"] == name.upper()) & (f["kind"] != "VOID"))
     return F.try_element_at(set_, F.lit(-1))["text"]
 
 

@@ -138,21 +138,20 @@ def decode_strict(records: DataFrame, handled: Sequence[str] = (C.ORDER_CREATED,
     names = {"event_id": "eventId", "event_type": "eventType", "aggregate_id": "aggregateId"}
     raw = list(records.columns)
     value = F.col("value")
+    read = coercion.once(records, coercion.read_objects(value).alias("_docs"))
+    doc = F.get(F.col("_docs"), F.lit(0))
     parsed = coercion.once(
-        records,
-        coercion.one_value(value).alias("_one"),
-        coercion.object_fields(value).alias("_outer"),
-        coercion.raw_field(value, "payload").alias("_payload_text"),
+        read,
+        coercion.one_value(value, F.col("_docs")).alias("_one"),
+        coercion.object_fields(doc).alias("_outer"),
+        coercion.last_field(doc, "payload").alias("_payload"),
     )
-    outer = F.col("_outer")
-    last_payload = F.filter(outer, lambda f: f["name"] == "PAYLOAD")
-    kind = F.try_element_at(last_payload, F.lit(-1))["kind"]
+    outer, payload = F.col("_outer"), F.col("_payload")
+    kind = coercion.json_kind(payload)
     envelope = coercion.once(
-        parsed,
+        parsed.drop("_docs"),
         kind.alias("_payload_kind"),
-        F.when(
-            kind.startswith("OBJECT<"), coercion.object_fields(F.col("_payload_text"))
-        ).alias("_fields"),
+        coercion.ordered_fields(payload, value, "payload").alias("_fields"),
         *[coercion.strict_value(outer, n, "string").alias(c) for c, n in names.items()],
         coercion.strict_text(outer, "timestamp").alias("_time_text"),
         times.parse_strict_instant(coercion.strict_text(outer, "timestamp")).alias("event_time"),

@@ -1,13 +1,15 @@
 """Secret scan: fixed patterns, and strings that look random to character Markov models.
 
 Two first-order Markov models over characters are trained: one of random strings, one of ordinary
-identifiers. A candidate (a run of identifier characters) is reported when the log-likelihood ratio
-of the two models is at least ``MARGIN`` in all and ``PER_CHAR`` per character.
+identifiers. A candidate (a run of ``CANDIDATE_CHARS`` or more identifier characters, cut where base
+spans stand) is reported when the log-likelihood ratio of the two models is at least ``MARGIN`` in
+all and ``PER_CHAR`` per character; so the shorter a run, the clearer each character must speak.
 
 Training samples are labelled by the base patterns over the whole corpus: values those patterns
 find are random strings; runs of 8 or more characters (``TRAINING``) outside them are ordinary
-identifiers, but for those of ``CANDIDATE_CHARS`` or more with a digit, which may be secrets. Only pair counts leave a task, at most ``67 * 67`` per model, so what is gathered does
-not depend on the corpus' size while every row is counted. Copies weigh as often as they occur, but
+identifiers, but for those of ``UNSURE_CHARS`` or more with a digit, which may be secrets. Only pair
+counts leave a task, at most ``67 * 67`` per model, so what is gathered does not depend on the corpus'
+size while every row is counted. Copies weigh as often as they occur, but
 the models' weight per pair is bounded by smoothing: the random model starts from ``PRIOR`` counts
 of uniform letters, digits and hexadecimal digits, so it is defined where no secret was found.
 
@@ -45,8 +47,8 @@ KINDS = ("assign", "access", "hex", "markov")
 ASSIGN_CHARS, ACCESS_CHARS = 8, 16
 
 #: Candidates of the Markov models.
-CANDIDATE_CHARS = 20
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+CANDIDATE_CHARS = 8
+UNSURE_CHARS = 20
 DIGIT = re.compile("[0-9]")
 TRAINING = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
@@ -87,11 +89,6 @@ def secret_values(text: str, spans: list[Span]) -> list[str]:
     return out
 
 
-def codes(run: str) -> np.ndarray:
-    """State numbers of a run, from the start state on."""
-    return np.concatenate(([START], _CODE[np.frombuffer(run.encode("ascii", "replace"), "uint8")]))
-
-
 def pair_counts(runs: list[str]) -> np.ndarray:
     """Counts of the transitions of all runs, as a flat STATES x STATES table."""
     total = np.zeros(STATES * STATES, "int64")
@@ -138,7 +135,7 @@ def train(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 else:
                     runs = TRAINING.findall(text)
                 ordinary += pair_counts(
-                    [r for r in runs if len(r) < CANDIDATE_CHARS or not DIGIT.search(r)]
+                    [r for r in runs if len(r) < UNSURE_CHARS or not DIGIT.search(r)]
                 )
         for name, table in ((0, secret), (1, ordinary)):
             at = np.flatnonzero(table)
@@ -177,23 +174,28 @@ def models(secret: np.ndarray, ordinary: np.ndarray) -> tuple[np.ndarray, np.nda
     )
 
 
-def log_ratio(run: str, random: np.ndarray, ordinary: np.ndarray) -> float:
-    """Log-likelihood ratio of a run: over 0 when it rather looks random."""
-    states = codes(run)
-    before, after = states[:-1], states[1:]
-    return float((random[before, after] - ordinary[before, after]).sum())
-
-
 def markov_spans(
     text: str, spans: list[Span], random: np.ndarray, ordinary: np.ndarray
 ) -> list[tuple[int, int, str, float]]:
-    """Candidate runs outside the base spans that look random, with their ratio."""
-    out = []
-    for start, end in _outside(text, spans, CANDIDATE):
-        ratio = log_ratio(text[start:end], random, ordinary)
-        if ratio >= max(MARGIN, PER_CHAR * (end - start)):
-            out.append((start, end, "markov", ratio))
-    return out
+    """Candidate runs outside the base spans that look random, with their log-likelihood ratio."""
+    code = _CODE[np.frombuffer(text.encode("ascii", "replace"), "uint8")]
+    for start, end, _ in spans:
+        code[start:end] = -1
+    inside = np.concatenate(([False], code >= 0, [False]))
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    runs = edges.reshape(-1, 2)
+    runs = runs[runs[:, 1] - runs[:, 0] >= CANDIDATE_CHARS]
+    if not len(runs):
+        return []
+    before = np.concatenate((np.array([START], "int16"), code[:-1]))
+    before[before < 0] = START  # a run begins in the start state
+    gain = np.append((random - ordinary)[before, code], 0.0)
+    ratios = np.add.reduceat(gain, runs.ravel())[::2]
+    found = ratios >= np.maximum(MARGIN, PER_CHAR * (runs[:, 1] - runs[:, 0]))
+    return [
+        (int(start), int(end), "markov", float(ratio))
+        for (start, end), ratio in zip(runs[found], ratios[found], strict=True)
+    ]
 
 
 SPANS = "array<struct<start:int,end:int,kind:string,ratio:double>>"

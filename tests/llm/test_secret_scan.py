@@ -84,3 +84,56 @@ def test_odd_and_empty_tables(spark):
     rows = ss.secret_scan(odd(spark)).collect()
     assert len(rows) == 10 and not any(r["spans"] for r in rows if r["doc_id"] in (1, 2, 5))
     assert ss.secret_scan(empty(spark)).count() == 0
+
+
+def _plain_spans(text, spans, random_model, ordinary):
+    """Character by character."""
+    taken = {i for s, e, _ in spans for i in range(s, e)}
+    out, run = [], []
+    for i in range(len(text) + 1):
+        if i < len(text) and text[i] in ss.ALPHABET and i not in taken:
+            run.append(i)
+            continue
+        if len(run) >= ss.CANDIDATE_CHARS:
+            states = [ss.START] + [ss.ALPHABET.index(text[k]) for k in run]
+            ratio = sum(random_model[a, b] - ordinary[a, b] for a, b in zip(states, states[1:]))
+            if ratio >= max(ss.MARGIN, ss.PER_CHAR * len(run)):
+                out.append((run[0], run[-1] + 1))
+        run = []
+    return out
+
+
+def test_runs_are_judged_as_character_by_character(spark):
+    rng = random.Random(6)
+    letters = string.ascii_letters + string.digits
+    models = ss.train(texts(spark, [f"{_identifier(rng)} {_identifier(rng)}" for _ in range(200)]))
+
+    def piece():
+        kind = rng.randrange(5)
+        if kind == 0:
+            return "".join(rng.choices(letters, k=rng.randint(1, 30)))
+        if kind == 1:
+            return "token=" + "".join(rng.choices(letters, k=rng.randint(6, 12)))
+        return rng.choice([_identifier(rng), "f" * 33, "é\U0001f600", "AKIA" + "Z9" * 7, "."])
+
+    found = 0
+    for _ in range(300):
+        text = rng.choice(["", " ", "."]).join(piece() for _ in range(rng.randint(0, 6)))
+        base = ss.base_spans(text)
+        want = _plain_spans(text, base, *models)
+        assert [(s, e) for s, e, _, _ in ss.markov_spans(text, base, *models)] == want
+        found += len(want)
+    assert found > 100
+
+
+def test_short_runs_and_the_rest_of_a_run_with_a_base_span(spark):
+    rng = random.Random(7)
+    letters = string.ascii_letters + string.digits
+    models = ss.train(texts(spark, [f"{_identifier(rng)} {_identifier(rng)}" for _ in range(300)]))
+    for length in (8, 12, 16, 19):
+        runs = ["".join(rng.choices(letters, k=length)) for _ in range(200)]
+        assert sum(bool(ss.markov_spans(f"see {r} here", [], *models)) for r in runs) >= 180
+    text = "0123456789abcdef" * 2 + "_qZ8vR2xK9wL4mT7yB3nC6"
+    base = ss.base_spans(text)
+    assert base == [(0, 32, "hex")]
+    assert [s[:2] for s in ss.markov_spans(text, base, *models)] == [(32, len(text))]

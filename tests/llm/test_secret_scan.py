@@ -130,9 +130,11 @@ def test_short_runs_and_the_rest_of_a_run_with_a_base_span(spark):
     rng = random.Random(7)
     letters = string.ascii_letters + string.digits
     models = ss.train(texts(spark, [f"{_identifier(rng)} {_identifier(rng)}" for _ in range(300)]))
-    for length in (8, 12, 16, 19):
+    # The margin in all asks more of each character of a short run, so fewer of those are caught.
+    for length, least in ((8, 140), (12, 180), (16, 195), (19, 195)):
         runs = ["".join(rng.choices(letters, k=length)) for _ in range(200)]
-        assert sum(bool(ss.markov_spans(f"see {r} here", [], *models)) for r in runs) >= 180
+        caught = sum(bool(ss.markov_spans(f"see {r} here", [], *models)) for r in runs)
+        assert caught >= least, (length, caught)
     text = "0123456789abcdef" * 2 + "_qZ8vR2xK9wL4mT7yB3nC6"
     base = ss.base_spans(text)
     assert base == [(0, 32, "hex")]

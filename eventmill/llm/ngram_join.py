@@ -21,9 +21,10 @@ Groups of copies are never expanded: documents with equal sets form one class, a
 share a key are compared with the smallest of them first (a star). Where a key's classes are still
 in several components, each class outside the largest one meets all of the others' sketches in the
 task that has the key's classes, and is compared with its nearest in another component; then
-components are joined anew, and only what is still apart goes on, with eight times as many of the
-nearest each round, until no class has one left that the Hamming filter lets pass. So no link is
-lost, and a group of near copies costs about as many comparisons as it has members.
+components are joined anew, and only keys that are still apart and in which a class had others go on,
+with eight times as many of the nearest each round, until no class has one left that the Hamming
+filter lets pass. So no link is lost, and a group of near copies costs about as many comparisons as
+it has members.
 
 Python (numpy) hashes texts and counts keys within tasks; Spark moves keys by hash slot (packed, 5
 bytes a key), so a frequent key's classes are spread over all slots of their other keys. Components
@@ -585,7 +586,9 @@ def open_rows(open_: DataFrame, classes: DataFrame) -> DataFrame:
 def open_pairs(open_: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
     """Pairs (a, b) of classes of one key in different components that pass the size and Hamming
     filters: the ``limit`` nearest of each class outside its key group's largest component. ``more``
-    tells that the class had others. ``open_``: key_group, hub, c1 and part, the component.
+    numbers the key groups in which a class had others, each at a pair of its own (at most the keys of
+    a class); of a key group that is in none, all such pairs are there. ``open_``: key_group, hub, c1
+    and part, the component.
 
     A task holds one chunk of a key group (see ``open_rows``); the members of its other chunks that
     are outside the group's largest component are streamed past it, and ``limit`` holds for each
@@ -616,6 +619,7 @@ def open_pairs(open_: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell, group, members, held, found, count = None, None, [], None, [], 0
+        unfinished, noted = {}, None
 
         def stacked() -> tuple:
             width = min(len(m[4]) for m in members)
@@ -623,10 +627,13 @@ def open_pairs(open_: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
             return (*columns, np.stack([_folded(m[4], width) for m in members]))
 
         def put(c1: int, part: int, n: int, words: np.ndarray) -> int:
+            nonlocal noted
             other, more = nearest(held, c1, part, n, words)
             if len(other):
-                ends = np.minimum(other, c1), np.maximum(other, c1)
-                found.append(np.stack([*ends, np.full(len(other), more)]))
+                found.append(np.stack([np.minimum(other, c1), np.maximum(other, c1)]))
+            if more and noted != group:
+                noted = group
+                unfinished.setdefault(tuple(found[-1][:, 0].tolist()), []).append(group[2])
             return len(other)
 
         def within() -> int:
@@ -635,9 +642,12 @@ def open_pairs(open_: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
 
         def finished() -> Iterator[pa.RecordBatch]:
             if found:
-                a, b, more = np.unique(np.concatenate(found, axis=1), axis=1)
+                a, b = np.unique(np.concatenate(found, axis=1), axis=1)
+                groups = [unfinished.get(pair, []) for pair in zip(a.tolist(), b.tolist(), strict=True)]
+                unfinished.clear()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(a), pa.array(b), pa.array(more.astype(bool))], names=["a", "b", "more"]
+                    [pa.array(a), pa.array(b), pa.array(groups, pa.list_(pa.int64()))],
+                    names=["a", "b", "more"],
                 )
 
         names = ("hub", "cell", "key_group", "chunk", "turn", "main", "c1", "part", "n")
@@ -678,9 +688,9 @@ def open_pairs(open_: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
         open_rows(open_, classes)
         .repartition("hub", "cell")
         .sortWithinPartitions("hub", "cell", "key_group", "chunk", "turn")
-        .mapInArrow(run, "a long, b long, more boolean")
+        .mapInArrow(run, "a long, b long, more array<long>")
         .groupBy("a", "b")
-        .agg(F.max("more").alias("more"))
+        .agg(F.array_distinct(F.flatten(F.collect_list("more"))).alias("more"))
     )
 
 
@@ -814,7 +824,8 @@ def linked_rows(docs: DataFrame, words: int = WORDS) -> DataFrame:
     roots = components(links)
 
     # Then, where a key's classes are in several components, each class outside the largest one with
-    # its nearest in the others, with more of them each round, until no class has others.
+    # its nearest in the others, with more of them each round, until no class has others. Components
+    # only grow, so a key whose classes had no others needs no further round.
     tried, limit = star, 1
     while True:
         labelled = written(_rooted(groups, roots, "part"), "key-parts")
@@ -838,9 +849,11 @@ def linked_rows(docs: DataFrame, words: int = WORDS) -> DataFrame:
         if rest.limit(1).count():
             links = links.union(written(verified(rest, docs, classes, words), "open-links"))
             roots = components(links)
-        if not nearest.where("more").limit(1).count():
+        unfinished = nearest.select(F.explode("more").alias("key_group"))
+        if not unfinished.limit(1).count():
             break
-        tried, groups, limit = tried.union(rest), groups.drop("part"), limit * MORE
+        groups = groups.drop("part").join(unfinished, "key_group", "left_semi")
+        tried, limit = tried.union(rest), limit * MORE
 
     rooted = _rooted(classes.select("c1", "c2", "doc_id"), roots, "part")
     named = written(

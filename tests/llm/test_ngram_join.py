@@ -235,3 +235,38 @@ def test_pairs_of_a_group_of_near_copies_are_as_many_as_its_members(spark, monke
     got = run(texts(spark, values))
     assert {i: c for i, (_, c) in got.items()} == linked(list(enumerate(values)))
     assert made[0][0] == 1 and sum(n for _, n in made) < 4 * len(values), made
+
+
+def test_only_keys_whose_classes_had_others_get_a_further_round(spark, monkeypatch):
+    monkeypatch.setattr(nj, "SAMPLE", 100)
+    rng = random.Random(10)
+    base = [f"b{i}" for i in range(150)]
+    values = []
+    for i in range(120):
+        words = list(base)
+        for at in rng.sample(range(150), rng.choice([2, 3, 3, 4, 4, 4])):
+            words[at] = f"v{i}x{at}"
+        values.append(" ".join(words))
+    for i in range(100):  # two texts that share half of their words stay apart for ever
+        same, own = [f"s{i}x{j}" for j in range(60)], [[f"{o}{i}x{j}" for j in range(60)] for o in "pq"]
+        values += [" ".join(same + own[0]), " ".join(same + own[1])]
+    rounds = []
+    plain = nj.open_pairs
+
+    def counted(open_, classes, limit):
+        out = nj.written(plain(open_, classes, limit), "counted")
+        rounds.append(
+            (
+                {r[0] for r in open_.select("key_group").collect()},
+                {g for r in out.collect() for g in r["more"]},
+            )
+        )
+        return out
+
+    monkeypatch.setattr(nj, "open_pairs", counted)
+    got = run(texts(spark, values))
+    assert {i: c for i, (_, c) in got.items()} == linked(list(enumerate(values)))
+    assert len(rounds) > 1 and len(rounds[0][0]) > 100
+    for (_, more), (groups, _) in zip(rounds, rounds[1:]):
+        assert groups <= more
+    assert len(rounds[1][0]) <= len(rounds[0][0]) - 100

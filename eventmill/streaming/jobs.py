@@ -24,6 +24,10 @@ from eventmill.streaming.processors import (
 cloudpickle.register_pickle_by_value(processors)
 
 
+#: Groups of items in the stock keeper's state; fixed for the life of a checkpoint.
+ITEM_BUCKETS = 1024
+
+
 def count_changes(orders: DataFrame) -> DataFrame:
     """Stream of ``seq, item, order_count``: one row per order."""
     return (
@@ -55,7 +59,8 @@ def stock_movements(requests: DataFrame, stock: DataFrame, kind: str = "reserve"
 
 def keep_stock(movements: DataFrame) -> DataFrame:
     """Decisions and releases in arrival order, as events; error rows belong on the DLQ."""
-    return movements.groupBy("item").transformWithStateInPandas(
+    bucket = F.pmod(F.xxhash64("item"), F.lit(ITEM_BUCKETS)).cast("int").alias("bucket")
+    return movements.select("*", bucket).groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=StockKeeper(),
         outputStructType=StockKeeper.SCHEMA,
         outputMode="Append",

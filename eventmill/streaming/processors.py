@@ -55,12 +55,15 @@ class CountChanges(StatefulProcessor):
 
 
 class StockKeeper(StatefulProcessor):
-    """Reserve and release stock of one item in arrival order.
-
-    Input: ``kind`` ('reserve' or 'release'), ``order_id, seq, quantity`` and ``opening``, the
-    item's stock before any order (NULL for an unknown item). State: stock left, and the
-    quantity of each live reservation. A reserve for an order that already holds a
-    reservation is an error row, a release without one is a no-op.
+    """Reserve and release stock of the items of one bucket, each in arrival order.
+
+    A key is a bucket of items, not an item, so that a micro-batch is a few large frames. Input:
+    ``bucket``, ``item``, ``kind`` ('reserve' or 'release'), ``order_id, seq, quantity`` and
+    ``opening``, the item's stock before any order (NULL for an unknown item). State: stock left by
+    item, and the quantity of each live reservation; it is asked and written once per item and order
+    of a micro-batch, and not asked while it is empty. A reserve for an order that already holds a
+    reservation of the item is an error row, a release without one is a no-op. Held in memory: the
+    rows of one bucket in one micro-batch.
     """
 
     SCHEMA = (
@@ -69,41 +72,58 @@ class StockKeeper(StatefulProcessor):
     )
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self._stock = handle.getValueState("stock", "available BIGINT")
-        self._held = handle.getMapState("held", "order_id STRING", "quantity BIGINT")
+        self._stock = handle.getMapState("stock", "item STRING", "available BIGINT")
+        self._held = handle.getMapState("held", "item STRING, order_id STRING", "quantity BIGINT")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         ordered = _in_order(rows)
-        opening = ordered["opening"].iloc[0]
-        if self._stock.exists():
-            stock = self._stock.get()[0]
-        else:
-            stock = None if pd.isna(opening) else int(opening)
+        known, any_held = self._stock.exists(), self._held.exists()
+        stocks, held, held_before = {}, {}, {}
         out = []
-        columns = (ordered[c].tolist() for c in ("seq", "kind", "order_id", "quantity"))
-        for seq, kind, order_id, quantity in zip(*columns):
-            before = stock
+        columns = ("seq", "kind", "item", "order_id", "quantity", "opening")
+        for seq, kind, item, order_id, quantity, opening in zip(
+            *(ordered[c].tolist() for c in columns)
+        ):
+            if item not in stocks:
+                kept = self._stock.getValue((item,)) if known else None
+                if kept is not None:
+                    stocks[item] = kept[0]
+                else:
+                    stocks[item] = None if pd.isna(opening) else int(opening)
+            stock = before = stocks[item]
+            place = (item, order_id)
+            if place not in held and (kind == "release" or (stock is not None and stock >= quantity)):
+                kept = self._held.getValue(place) if any_held else None
+                held[place] = held_before[place] = None if kept is None else kept[0]
             event, reason, error = None, None, None
             if kind == "release":
-                if not self._held.containsKey((order_id,)):
+                if held[place] is None:
                     continue
-                quantity = self._held.getValue((order_id,))[0]
-                self._held.removeKey((order_id,))
+                quantity, held[place] = held[place], None
                 stock += quantity
                 event = INVENTORY_RELEASED
             elif stock is None:
                 event, reason = INVENTORY_RESERVATION_FAILED, UNKNOWN_ITEM
             elif stock < quantity:
                 event, reason = INVENTORY_RESERVATION_FAILED, INSUFFICIENT_STOCK
-            elif self._held.containsKey((order_id,)):
+            elif held[place] is not None:
                 error = "order already reserved"
             else:
                 stock -= quantity
-                self._held.updateValue((order_id,), (int(quantity),))
+                held[place] = int(quantity)
                 event = INVENTORY_RESERVED
-            out.append((seq, order_id, key[0], quantity, before, event, reason, error))
-        if stock is not None:
-            self._stock.update((int(stock),))
+            stocks[item] = stock
+            out.append((seq, order_id, item, quantity, before, event, reason, error))
+        for item, stock in stocks.items():
+            if stock is not None:
+                self._stock.updateValue((item,), (int(stock),))
+        for place, quantity in held.items():
+            if quantity == held_before[place]:
+                continue
+            if quantity is None:
+                self._held.removeKey(place)
+            else:
+                self._held.updateValue(place, (quantity,))
         names = [c.strip().split(" ")[0] for c in self.SCHEMA.split(",")]
         frame = pd.DataFrame(out, columns=names)
         yield frame.astype({"seq": "int64", "quantity": "int64", "available_before": "Int64"})

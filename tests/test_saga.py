@@ -236,3 +236,28 @@ def test_atomic_outputs_are_read_by_committed_batch(spark):
     spark.range(100, 101).write.parquet(f"{sinks['state']}/batch_id=2")
     assert runner.read_committed(spark, sinks["state"], marker).count() == 8
     assert runner.read_committed(spark, sinks["events"], marker).count() == 8
+
+
+def test_stream_stock_takes_many_items_in_one_frame(spark, monkeypatch):
+    """Items are handled in buckets, whose state tells items and orders of one number apart."""
+    plain = jobs.StockKeeper.handleInputRows
+
+    def counted(self, key, rows, timerValues):
+        for frame in plain(self, key, rows, timerValues):
+            yield frame.assign(reason=f"frame {key[0]}")
+
+    monkeypatch.setattr(jobs.StockKeeper, "handleInputRows", counted)
+    monkeypatch.setattr(jobs, "ITEM_BUCKETS", 1)
+    items = [None, *[f"i{i}" for i in range(20)]]
+    first = [(item, "reserve", f"o{n % 2}", n, 4, 5) for n, item in enumerate(items)]
+    then = [(item, "release", f"o{n % 2}", 100 + n, 0, 5) for n, item in enumerate(items)]
+    then += [(item, "release", f"o{1 - n % 2}", 200 + n, 0, 5) for n, item in enumerate(items)]
+    again = [(item, "reserve", "o0", 300 + n, 5, 1) for n, item in enumerate(items)]
+    out = run_movements(spark, [first, then, again])
+    frames = {r["reason"] for r in out}
+    assert frames == {"frame 0"}
+    assert [(r["seq"], r["item"], r["event_type"], r["available_before"], r["quantity"]) for r in out] == [
+        *[(n, item, C.INVENTORY_RESERVED, 5, 4) for n, item in enumerate(items)],
+        *[(100 + n, item, C.INVENTORY_RELEASED, 1, 4) for n, item in enumerate(items)],
+        *[(300 + n, item, C.INVENTORY_RESERVED, 5, 5) for n, item in enumerate(items)],
+    ]

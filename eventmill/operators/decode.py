@@ -165,9 +165,8 @@ def decode_strict(records: DataFrame, handled: Sequence[str] = (C.ORDER_CREATED,
         F.when(ids.is_urn(F.col("event_id")), "unstorable eventId"),
         *[_payload_error(t) for t in handled],
     )
-    return envelope.select(
-        *raw, *names, "event_time", error.alias("error"), F.col("_fields").alias("payload")
-    )
+    checked = coercion.once(envelope, error.alias("error"))
+    return checked.select(*raw, *names, "event_time", "error", F.col("_fields").alias("payload"))
 
 
 def typed_payload(decoded: DataFrame, event_type: str) -> DataFrame:

@@ -207,7 +207,8 @@ def dlq_replay(letters: DataFrame, processed: DataFrame, key: str | None = None)
     rows = parked(letters)
     if key is not None:
         rows = rows.filter(F.col("key") == key)
-    id_text = F.try_variant_get(coercion.parse_lenient(F.col("value")), "$.eventId", "string")
+    read = F.try_variant_get(coercion.parse_lenient(F.col("value")), "$.eventId", "string")
+    rows, id_text = coercion.once(rows, read.alias("_id_text")), F.col("_id_text")
     # A row without a valid id gets one of its own, so that such rows do not meet in one task.
     own = F.concat_ws(":", F.lit("none"), "original_partition", "original_offset")
     known = F.when(ids.is_uuid(id_text), ids.canonical_uuid(id_text))

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from eventmill import constants as C
 from eventmill.sources import topics
 
+#: Tasks for each core that make and decode topic records.
+TASKS_PER_CORE = 4
+
 EVENT_TYPES = {
     "signup": C.ORDER_CREATED,
     "purchase": C.PAYMENT_COMPLETED,
@@ -108,6 +111,13 @@ def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.withColumn("event_time", earlier)
 
 
+def _spread(raw: DataFrame) -> DataFrame:
+    """The events dealt over all cores. A file of few row groups is read by as few tasks, which then
+    would make and decode all records, at many times the cost of moving the plain events."""
+    tasks = TASKS_PER_CORE * raw.sparkSession.sparkContext.defaultParallelism
+    return raw.repartition(tasks, "event_id", "user_id")
+
+
 # Damage done to a record, by ``k``: the first matching range changes the named parts.
 # A part of None leaves the field out.
 DAMAGE = [
@@ -188,7 +198,11 @@ def topic_records(spark: SparkSession, sf_dir: str, streaming: bool = False) ->
     10 it is no JSON at all); from 80 on records are sound. Offsets are the event ids, so
     they grow within a partition with gaps, as in a compacted topic.
     """
-    log = event_stream(spark, sf_dir) if streaming else event_log(spark, sf_dir)
+    if streaming:
+        raw, time = stream_table(spark, sf_dir, "events"), F.col("ts").cast("timestamp")
+    else:
+        raw, time = table(spark, sf_dir, "events"), F.col("ts")
+    log = _typed(_spread(raw), time)
     md5 = F.md5("order_id")
     dashed = F.regexp_replace(md5, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
     value = _template_of("")

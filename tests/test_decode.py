@@ -9,6 +9,7 @@ from topics import T0, created, event, records
 from eventmill import constants as C
 from eventmill.functions import ids
 from eventmill.operators import decode, reliability
+from eventmill.sources import driver_tables
 
 UUID = "5b2a7a52-0000-4000-8000-000000000001"
 
@@ -235,3 +236,16 @@ def test_key_and_partition_of_events(spark):
     merged = frames[0].unionByName(frames[1]).unionByName(frames[2])
     assert checks.misplaced_keys(merged).count() == 0
     assert created("o1")[0] == "o1"
+
+
+def test_records_of_one_row_group_are_decoded_by_many_tasks(spark, tmp_path):
+    rows = [(i, i % 50, "signup", 1.5, f'{{"k": {i % 100}}}') for i in range(2000)]
+    events = spark.createDataFrame(
+        rows, "event_id bigint, user_id bigint, event_type string, value double, props string"
+    ).withColumn("ts", F.expr("timestamp_ntz'2024-01-02 03:04:05'"))
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    read = decode.decode_strict(driver_tables.topic_records(spark, str(tmp_path)))
+    tasks = read.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in tasks) == 2000
+    assert len(tasks) >= spark.sparkContext.defaultParallelism
+    assert max(r["count"] for r in tasks) < 400

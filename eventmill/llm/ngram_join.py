@@ -56,6 +56,8 @@ WORDS = 5
 THRESHOLD = (75, 100)
 #: Least bits of a sketch.
 BITS = 1024
+#: About how many characters of texts are hashed together.
+TOGETHER = 1 << 18
 #: Keys of one hash slot, and the least number of slots.
 SLOT_KEYS, LEAST_SLOTS = 1_000_000, 64
 #: Documents sampled for frequent keys, and how many of them must have one. Only the order of keys,
@@ -66,8 +68,9 @@ BLOCK = 64
 #: Rows of the keys of one hub that one group of rows holds, and bytes of the sketches of a key's
 #: classes that one task holds.
 HUB_ROWS, HELD_BYTES = 4000, 32 << 20
-#: Pairs that a task collects before it puts them out.
-HELD_PAIRS = 1_000_000
+#: Pairs that a task collects before it puts them out, and 64-bit words of sketches that it compares
+#: at once.
+HELD_PAIRS, HELD_WORDS = 1_000_000, 1 << 20
 #: How many times as many of its nearest a class is compared with in each further round.
 MORE = 8
 BLOOM_BITS = 1 << 25
@@ -80,12 +83,18 @@ _INVERSE = pow(_FACTOR, -1, 1 << 64)
 _POWERS: dict[int, np.ndarray] = {}
 
 
-def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
+def mix(x: np.ndarray, seed: int | np.ndarray = 0) -> np.ndarray:
     """A 64-bit finalizer: every bit of the input changes about half of the output's."""
-    x = x + U((seed * 2 + 1) * 0xD1B54A32D192ED03 % (1 << 64))
-    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
+    if isinstance(seed, int):
+        x = x + U((seed * 2 + 1) * 0xD1B54A32D192ED03 % (1 << 64))
+    else:
+        x = x + (seed * U(2) + U(1)) * U(0xD1B54A32D192ED03)
+    x ^= x >> U(30)
+    x *= U(0xBF58476D1CE4E5B9)
+    x ^= x >> U(27)
+    x *= U(0x94D049BB133111EB)
+    x ^= x >> U(31)
+    return x
 
 
 def _powers(factor: int, n: int) -> np.ndarray:
@@ -101,42 +110,100 @@ def _powers(factor: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """64-bit hashes of the words, A-Z lower-cased, from prefix sums of a polynomial."""
-    raw = np.frombuffer(text.encode("utf-8", "surrogatepass").lower(), "uint8")
-    space = np.concatenate(([True], _SPACE[raw], [True]))
-    starts = np.flatnonzero(space[:-1] & ~space[1:])
-    ends = np.flatnonzero(~space[:-1] & space[1:])
-    if not len(starts):
-        return np.zeros(0, "uint64")
-    sums = np.concatenate(
-        ([U(0)], np.cumsum((raw.astype("uint64") + U(1)) * _powers(_FACTOR, len(raw))))
-    )
+def _bounds(sizes: np.ndarray | list[int]) -> np.ndarray:
+    """Where each of several runs of these sizes begins, one after another, and where the last ends."""
+    out = np.zeros(len(sizes) + 1, "int64")
+    np.cumsum(sizes, out=out[1:])
+    return out
+
+
+def word_hashes(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of UTF-8 bytes, from prefix sums of a polynomial, and where the
+    words start. A hash does not depend on its place."""
+    space = np.ones(len(raw) + 2, bool)
+    np.take(_SPACE, raw, out=space[1:-1])
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    sums = np.zeros(len(raw) + 1, "uint64")
+    np.cumsum((raw + U(1)) * _powers(_FACTOR, len(raw)), out=sums[1:])
     values = (sums[ends] - sums[starts]) * _powers(_INVERSE, len(raw))[starts]
-    return mix(values ^ (ends - starts).astype("uint64"))
+    return mix(values ^ (ends - starts).astype("uint64")), starts
+
+
+def shingle_sets(texts: list[str | None], words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of texts, A-Z lower-cased, one after another: sorted distinct 64-bit shingle hashes;
+    and the sets' bounds."""
+    encoded = [(text or "").encode("utf-8", "surrogatepass") for text in texts]
+    hashed, starts = word_hashes(np.frombuffer(b" ".join(encoded).lower(), "uint8"))
+    word = np.searchsorted(starts, _bounds([len(raw) + 1 for raw in encoded]))
+    counts = np.diff(word)
+    sizes = np.where(counts < words, counts > 0, counts - words + 1)
+    bounds = _bounds(sizes)
+    total = np.full(max(0, len(hashed) - words + 1), U(words))
+    for i in range(words):
+        total *= U(0xFF51AFD7ED558CCD)
+        total += hashed[i : i + len(total)]
+    found = np.zeros(bounds[-1], "uint64")
+    long = np.repeat(counts >= words, sizes)
+    found[long] = total[(np.arange(len(found)) + np.repeat(word[:-1] - bounds[:-1], sizes))[long]]
+    for width in range(1, words):  # texts of fewer words than a shingle
+        of = np.flatnonzero(counts == width)
+        if len(of):
+            short = np.full(len(of), U(width))
+            for i in range(width):
+                short = short * U(0xFF51AFD7ED558CCD) + hashed[word[of] + i]
+            found[bounds[of]] = short
+    found = mix(found, 1)
+    for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        found[start:end].sort()
+    fresh = np.ones(len(found), bool)
+    fresh[1:] = found[1:] != found[:-1]
+    fresh[bounds[:-1][sizes > 0]] = True
+    return found[fresh], _bounds(fresh)[bounds]
+
+
+def _text_blocks(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """The texts in blocks of about ``TOGETHER`` characters."""
+    start = held = 0
+    for end, text in enumerate(texts, 1):
+        held += len(text or "")
+        if held >= TOGETHER or end == len(texts):
+            yield texts[start:end]
+            start, held = end, 0
 
 
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """The set of a text: sorted distinct 64-bit shingle hashes."""
-    if not text:
-        return np.zeros(0, "uint64")
-    hashed = word_hashes(text)
-    if not len(hashed):
-        return hashed
-    width = min(words, len(hashed))
-    n = len(hashed) - width + 1
-    total = np.full(n, U(width))
-    for i in range(width):
-        total = total * U(0xFF51AFD7ED558CCD) + hashed[i : i + n]
-    return np.unique(mix(total, 1))
+    """The set of a text."""
+    return shingle_sets([text], words)[0]
+
+
+def numbers_of(found: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Two 64-bit numbers (signed) that stand for each of several sets; zeros for empty ones."""
+    sizes = np.diff(bounds)
+    out = np.zeros((2, len(sizes)), "uint64")
+    full = sizes > 0
+    begin = bounds[:-1][full]
+    if len(begin):
+        first = np.add.reduceat(mix(found, 2), begin, dtype="uint64")
+        out[0, full] = first ^ sizes[full].astype("uint64")
+        out[1, full] = np.bitwise_xor.reduceat(mix(found, 3), begin)
+    return out.view("int64")
 
 
 def set_numbers(found: np.ndarray) -> tuple[int, int]:
     """Two 64-bit numbers (signed) that stand for a set."""
-    first = np.add.reduce(mix(found, 2), dtype="uint64")
-    second = np.bitwise_xor.reduce(mix(found, 3))
-    pair = np.array([first ^ U(len(found)), second], "uint64").view("int64")
-    return int(pair[0]), int(pair[1])
+    first, second = numbers_of(found, _bounds([len(found)]))[:, 0].tolist()
+    return first, second
+
+
+def sketches_of(found: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sketches of several sets, one after another, and their bounds; an empty set has none."""
+    sizes = np.diff(bounds)
+    bits = np.array([n and max(BITS, 1 << (n - 1).bit_length()) for n in sizes.tolist()], "int64")
+    at = _bounds(bits)
+    own = mix(found, 4) & (np.repeat(bits, sizes) - 1).view("uint64")
+    flips = np.bincount(own.view("int64") + np.repeat(at[:-1], sizes), minlength=at[-1])
+    return np.packbits(flips.astype("uint8") & 1).view("int64"), at // 64
 
 
 def sketch(found: np.ndarray) -> np.ndarray:
@@ -145,9 +212,7 @@ def sketch(found: np.ndarray) -> np.ndarray:
     It has at least as many bits as the set has shingles, a power of two, so that the XOR of its
     halves is the sketch of half the size.
     """
-    bits = max(BITS, 1 << (max(1, len(found)) - 1).bit_length())
-    flips = np.bincount((mix(found, 4) % U(bits)).astype("int64"), minlength=bits) & 1
-    return np.packbits(flips.astype("uint8")).view("int64")
+    return sketches_of(found, _bounds([len(found)]))[0]
 
 
 def _edges(limit: int = 1 << 48) -> list[int]:
@@ -191,6 +256,7 @@ def _plan(band: int, joint: bool) -> tuple[int, int, int, int]:
     return differ, parts, least, most
 
 
+@lru_cache(maxsize=1 << 16)
 def band_plans(n: int) -> list[tuple[int, int, int]]:
     """(number of the plan, D, P) of the bands a set of size n takes part in: 2i for band i itself,
     2i + 1 for band i together with the next one."""
@@ -204,36 +270,89 @@ def band_plans(n: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def part_keys(found: np.ndarray, frequent: Frequent | None = None) -> np.ndarray:
-    """The pigeonhole keys of a set: enough that every set it qualifies with shares one. Without
-    ``frequent``, the keys of all its parts."""
-    keys = []
-    for number, differ, parts in band_plans(len(found)):
-        own = _parities(found, parts, number * 2)
-        if frequent is None:
-            keys.append(own)
-        elif len(own) > differ:
-            order = np.lexsort((own, frequent.holds(own)))
-            keys.append(own[order[: differ + 1]])
+def keys_of(
+    found: np.ndarray, bounds: np.ndarray, frequent: Frequent | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """The pigeonhole keys of several sets, one set's after another's, and their bounds: enough that
+    every set with which a set qualifies shares one. Without ``frequent``, the keys of all parts."""
+    sizes = np.diff(bounds)
+    plans = [(i, *plan) for i, n in enumerate(sizes.tolist()) for plan in band_plans(n)]
+    if not plans:
+        return np.zeros(0, "uint64"), np.zeros(len(bounds), "int64")
+    of = np.array([plan[0] for plan in plans])
+    mixed, keys, counts = mix(found, 5), [], []
+    # As many plans at a time as have TOGETHER shingles, or the one that has more.
+    turn = _bounds(sizes[of])[1:] // TOGETHER
+    cuts = np.flatnonzero(np.diff(turn)) + 1
+    for start, end in zip([0, *cuts], [*cuts, len(plans)], strict=True):
+        own, ends = _parities(found, mixed, bounds, plans[start:end])
+        if frequent is not None:
+            own, ends = _first_keys(own, ends, found, bounds, plans[start:end], frequent)
+        keys.append(own)
+        counts.append(np.diff(ends))
+    each = np.bincount(of, np.concatenate(counts), len(sizes)).astype("int64")
+    return np.concatenate(keys), _bounds(each)
+
+
+def _parities(
+    found: np.ndarray, mixed: np.ndarray, bounds: np.ndarray, plans: list[tuple[int, int, int, int]]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the parts that are not empty, for each plan (set, number, D, P), and their bounds.
+    Sets are sorted, and so are the parts, which are ranges of hashes."""
+    of, number, _, parts = np.array(plans, "int64").T
+    sizes = bounds[of + 1] - bounds[of]
+    ends = _bounds(sizes)
+    at = np.arange(ends[-1]) + np.repeat(bounds[of] - ends[:-1], sizes)
+    part = _part(found[at], np.repeat(parts.astype("uint64"), sizes))
+    fresh = np.ones(len(part), bool)
+    fresh[1:] = part[1:] != part[:-1]
+    fresh[ends[:-1]] = True
+    first = np.flatnonzero(fresh)
+    key_ends = _bounds(fresh)[ends]
+    parity = np.bitwise_xor.reduceat(mixed[at], first)
+    seed = np.repeat((number * 2).astype("uint64"), np.diff(key_ends))
+    return mix(parity + mix(part[first].astype("uint64"), seed), seed), key_ends
+
+
+def _first_keys(
+    keys: np.ndarray,
+    ends: np.ndarray,
+    found: np.ndarray,
+    bounds: np.ndarray,
+    plans: list[tuple[int, int, int, int]],
+    frequent: Frequent,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Of the keys of each plan the first D + 1, frequent ones last, and their bounds; of a plan with
+    at most D all, and its empty parts."""
+    often = frequent.holds(keys)
+    rare, common = keys[~often], keys[often]
+    rare_ends = _bounds(~often)[ends]
+    common_ends = ends - rare_ends
+    chosen = []
+    for i, (owner, number, differ, parts) in enumerate(plans):
+        if ends[i + 1] - ends[i] > differ:
+            own = rare[rare_ends[i] : rare_ends[i + 1]]
+            if len(own) > differ + 1:
+                own.partition(differ)
+                own = own[: differ + 1]
+            elif len(own) <= differ:
+                last = np.sort(common[common_ends[i] : common_ends[i + 1]])
+                own = np.concatenate([own, last[: differ + 1 - len(own)]])
         else:
-            empty = np.setdiff1d(np.arange(parts), _part(found, parts)).astype("uint64")
-            keys += [own, mix(empty, number * 2 + 1)]
-    return np.concatenate(keys) if keys else np.zeros(0, "uint64")
+            filled = _part(found[bounds[owner] : bounds[owner + 1]], U(parts))
+            empty = np.setdiff1d(np.arange(parts), filled).astype("uint64")
+            own = np.concatenate([keys[ends[i] : ends[i + 1]], mix(empty, number * 2 + 1)])
+        chosen.append(own)
+    return np.concatenate(chosen), _bounds([len(own) for own in chosen])
 
 
-def _part(found: np.ndarray, parts: int) -> np.ndarray:
-    return (((found >> U(32)) * U(parts)) >> U(32)).astype("int64")
+def part_keys(found: np.ndarray, frequent: Frequent | None = None) -> np.ndarray:
+    """The pigeonhole keys of a set."""
+    return keys_of(found, _bounds([len(found)]), frequent)[0]
 
 
-def _parities(found: np.ndarray, parts: int, seed: int) -> np.ndarray:
-    """Keys of the parts that are not empty. ``found`` is sorted, and so are the parts, which are
-    ranges of hashes."""
-    if not len(found):
-        return np.zeros(0, "uint64")
-    part = _part(found, parts)
-    first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-    parity = np.bitwise_xor.reduceat(mix(found, 5), first)
-    return mix(parity + mix(part[first].astype("uint64"), seed), seed)
+def _part(found: np.ndarray, parts: np.ndarray | np.uint64) -> np.ndarray:
+    return (((found >> U(32)) * parts) >> U(32)).astype("int64")
 
 
 class Frequent:
@@ -272,21 +391,25 @@ def document_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, firsts, seconds, sketches = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                found = shingles(text, words)
-                first, second = set_numbers(found) if len(found) else (0, 0)
-                sizes.append(len(found))
-                firsts.append(first)
-                seconds.append(second)
-                sketches.append(sketch(found).tolist() if len(found) else [])
+            sizes, numbers, sketches, lengths = [], [], [], []
+            for block in _text_blocks(batch.column(1).to_pylist()):
+                found, bounds = shingle_sets(block, words)
+                sizes.append(np.diff(bounds))
+                numbers.append(numbers_of(found, bounds))
+                flat, ends = sketches_of(found, bounds)
+                sketches.append(flat)
+                lengths.append(np.diff(ends))
+            if not sizes:
+                continue
+            first, second = np.concatenate(numbers, axis=1)
+            offsets = _bounds(np.concatenate(lengths)).astype("int32")
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(firsts, pa.int64()),
-                    pa.array(seconds, pa.int64()),
-                    pa.array(sketches, pa.list_(pa.int64())),
+                    pa.array(np.concatenate(sizes)),
+                    pa.array(first),
+                    pa.array(second),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sketches))),
                     batch.column(2),
                     batch.column(3),
                 ],
@@ -308,11 +431,9 @@ def frequent_keys(docs: DataFrame, rows: int, words: int = WORDS) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch.column(1).to_pylist():
-                found = shingles(text, words)
-                if len(found):
-                    keys = part_keys(found).view("int64")
-                    yield pa.RecordBatch.from_arrays([pa.array(keys)], names=["key"])
+            for block in _text_blocks(batch.column(1).to_pylist()):
+                keys = keys_of(*shingle_sets(block, words))[0].view("int64")
+                yield pa.RecordBatch.from_arrays([pa.array(keys)], names=["key"])
 
     counted = (
         _texts(docs)
@@ -332,26 +453,26 @@ def packed_keys(docs: DataFrame, frequent: np.ndarray, slots: int, words: int) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen = Frequent(frequent), set()
         for batch in batches:
-            keys, counts, numbers = [], [], []
-            for text in batch.column(1).to_pylist():
-                found = shingles(text, words)
-                if not len(found):
-                    continue
-                number = set_numbers(found)
-                if number in seen:  # copies within a task are sent once
-                    continue
-                if len(seen) < 1_000_000:
-                    seen.add(number)
-                own = part_keys(found, known)
-                if len(own):
-                    keys.append(own)
-                    counts.append(len(own))
-                    numbers.append(number[0])
-            if not keys:
+            keys, owners = [], []
+            for block in _text_blocks(batch.column(1).to_pylist()):
+                found, bounds = shingle_sets(block, words)
+                numbers, sizes = numbers_of(found, bounds), np.diff(bounds)
+                new = sizes > 0
+                for i, number in enumerate(zip(*numbers.tolist(), strict=True)):
+                    if number in seen:  # copies within a task are sent once
+                        new[i] = False
+                    elif new[i] and len(seen) < 1_000_000:
+                        seen.add(number)
+                own, ends = keys_of(found[np.repeat(new, sizes)], _bounds(sizes[new]), known)
+                keys.append(own)
+                owners.append(np.repeat(numbers[0, new], np.diff(ends)))
+            every = np.concatenate(keys) if keys else np.zeros(0, "uint64")
+            if not len(every):
                 continue
-            every = np.concatenate(keys)
-            owner = np.repeat(np.array(numbers, "int64"), counts)
-            slot = ((every >> U(40)) % U(slots)).astype("int64")
+            owner = np.concatenate(owners)
+            slot = (every >> U(40)) % U(slots)
+            # Numbers of 16 bits are sorted by their digits.
+            slot = slot.astype("uint16" if slots <= 1 << 16 else "int64")
             order = np.argsort(slot, kind="stable")
             every, owner, slot = every[order], owner[order], slot[order]
             cuts = np.flatnonzero(np.concatenate(([True], slot[1:] != slot[:-1])))
@@ -398,6 +519,16 @@ def key_groups(packed: DataFrame, slots: int) -> DataFrame:
         if not keys:
             return
         keys, owners = np.concatenate(keys), np.concatenate(owners)
+        # Most keys are in the slot once: those go before the owners are sorted.
+        order = np.argsort(keys)
+        keys = keys[order]
+        same = keys[1:] == keys[:-1]
+        shared = np.zeros(len(keys), bool)
+        shared[1:] = same
+        shared[:-1] |= same
+        keys, owners = keys[shared], owners[order[shared]]
+        if not len(keys):
+            return
         order = np.lexsort((owners, keys))
         keys, owners = keys[order], owners[order]
         fresh = np.concatenate(([True], (keys[1:] != keys[:-1]) | (owners[1:] != owners[:-1])))
@@ -471,11 +602,14 @@ def class_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
                 may &= (table[(place >> U(6)).astype("int64")] >> (place & U(63))) & U(1) == 1
             texts = batch.column(0).take(pa.array(np.flatnonzero(may))).to_pylist()
             numbers, sets = [], []
-            for text in texts:
-                found = shingles(text, words)
-                if len(found):
-                    numbers.append(set_numbers(found)[0])
-                    sets.append(found.tobytes())
+            for block in _text_blocks(texts):
+                found, bounds = shingle_sets(block, words)
+                for number, start, end in zip(
+                    numbers_of(found, bounds)[0].tolist(), bounds[:-1], bounds[1:], strict=True
+                ):
+                    if start < end:
+                        numbers.append(number)
+                        sets.append(found[start:end].tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(numbers, pa.int64()), pa.array(sets, pa.binary())],
                 names=["c1", "shingles"],
@@ -594,95 +728,90 @@ def open_pairs(open_: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
     are outside the group's largest component are streamed past it, and ``limit`` holds for each
     chunk. So a round makes at most ``limit`` pairs for a row of ``open_rows``.
     """
-    kept, of = THRESHOLD
-
-    def nearest(held: tuple, c1: int, part: int, n: int, words: np.ndarray) -> tuple:
-        """The held classes that may be linked with a class, the nearest first; whether there are
-        more than ``limit``."""
-        numbers, parts, sizes, sketches = held
-        at = np.flatnonzero(
-            (parts != part) & (np.minimum(sizes, n) * of >= np.maximum(sizes, n) * kept)
-        )
-        width = min(len(words), sketches.shape[1])
-        other = sketches[at]
-        while other.shape[1] > width:
-            half = other.shape[1] // 2
-            other = other[:, :half] ^ other[:, half:]
-        # Unsigned, since the bits of a negative number are counted in its absolute value.
-        differing = (other ^ _folded(words, width)).view("uint64")
-        distance = np.bitwise_count(differing).sum(axis=1, dtype="int64")
-        near = distance * (of + kept) <= (sizes[at] + n) * (of - kept)
-        at, distance = at[near], distance[near]
-        # Of equal distances the smallest number, so that many classes choose the same one.
-        order = np.lexsort((numbers[at], distance))[:limit]
-        return numbers[at[order]], len(at) > limit
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, group, members, held, found, count = None, None, [], None, [], 0
-        unfinished, noted = {}, None
-
-        def stacked() -> tuple:
-            width = min(len(m[4]) for m in members)
-            columns = [np.array([m[i] for m in members]) for i in range(3)]
-            return (*columns, np.stack([_folded(m[4], width) for m in members]))
-
-        def put(c1: int, part: int, n: int, words: np.ndarray) -> int:
-            nonlocal noted
-            other, more = nearest(held, c1, part, n, words)
-            if len(other):
-                found.append(np.stack([np.minimum(other, c1), np.maximum(other, c1)]))
-            if more and noted != group:
-                noted = group
-                unfinished.setdefault(tuple(found[-1][:, 0].tolist()), []).append(group[2])
-            return len(other)
-
-        def within() -> int:
-            """The pairs of the held chunk itself."""
-            return sum(put(c1, part, n, words) for c1, part, n, main, words in members if not main)
-
-        def finished() -> Iterator[pa.RecordBatch]:
-            if found:
-                a, b = np.unique(np.concatenate(found, axis=1), axis=1)
-                groups = [unfinished.get(pair, []) for pair in zip(a.tolist(), b.tolist(), strict=True)]
-                unfinished.clear()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a), pa.array(b), pa.array(groups, pa.list_(pa.int64()))],
-                    names=["a", "b", "more"],
-                )
+        found, count, waiting, words_waiting = [], 0, {}, 0
+        group, members, held = None, [], None
+
+        def compare() -> None:
+            nonlocal count, words_waiting
+            for jobs in waiting.values():
+                found.append(_nearest(jobs, limit))
+                count += len(found[-1][0])
+            waiting.clear()
+            words_waiting = 0
+
+        def ask(rows: tuple, others: tuple) -> None:
+            """Put down rows of the group to be compared with others; sketches are of one size."""
+            nonlocal words_waiting
+            # As many rows at a time as HELD_WORDS allow, or one.
+            each = others[3].size
+            step = max(1, HELD_WORDS // each)
+            for at in range(0, len(rows[0]), step):
+                some = rows if len(rows[0]) <= step else tuple(c[at : at + step] for c in rows)
+                if words_waiting + each * len(some[0]) > HELD_WORDS:
+                    compare()
+                waiting.setdefault(others[3].shape[1], []).append((group[2], some, others))
+                words_waiting += each * len(some[0])
+
+        def hold() -> tuple:
+            """The members of the chunk, whose own pairs are put down."""
+            if len(members) == 1:
+                *columns, sketches = members[0]
+                matrix = sketches.folded(sketches.sizes.min())
+            else:
+                *columns, sketches = zip(*members, strict=True)
+                columns = [np.concatenate(c) for c in columns]
+                width = min(x.sizes.min() for x in sketches)
+                matrix = np.concatenate([x.folded(width) for x in sketches])
+            others = (*columns[:3], matrix)
+            asking = np.flatnonzero(~columns[3])
+            if len(matrix) > 1 and len(asking):
+                ask(tuple(c[asking] for c in others), others)
+            return others
 
         names = ("hub", "cell", "key_group", "chunk", "turn", "main", "c1", "part", "n")
         for batch in batches:
+            if not batch.num_rows:
+                continue
+            hub, cell, key_group, chunk, turn, main, c1, part, n = (
+                batch.column(c).to_numpy(zero_copy_only=False) for c in names
+            )
             sketches = batch.column("sketch")
-            offsets = sketches.offsets.to_numpy()
-            words = sketches.values.to_numpy()
-            columns = [batch.column(c).to_pylist() for c in names]
-            for i, row in enumerate(zip(*columns, strict=True)):
-                hub, number, own, chunk, turn, main, c1, part, n = row
-                if (hub, number, own, chunk) != group:
-                    if held is None and len(members) > 1:
-                        held = stacked()
-                        count += within()
-                    if (hub, number) != cell or count > HELD_PAIRS:
-                        yield from finished()
-                        found, count = [], 0
-                    cell, group, members, held = (hub, number), (hub, number, own, chunk), [], None
-                own_words = words[offsets[i] : offsets[i + 1]]
-                if not turn:
-                    members.append((c1, part, n, main, own_words.copy()))
-                    continue
-                if not members:  # a chunk that got no member of its own
-                    continue
-                if held is None:
-                    held = stacked()
-                    count += within()
-                count += put(c1, part, n, own_words)
-                if count > HELD_PAIRS:
-                    yield from finished()
-                    found, count = [], 0
-        if held is None and len(members) > 1:
-            held = stacked()
-            within()
-        yield from finished()
+            offsets, words = sketches.offsets.to_numpy(), sketches.values.to_numpy()
+            fresh = np.zeros(len(hub), bool)
+            for column in (hub, cell, key_group, chunk, turn):
+                fresh[1:] |= column[1:] != column[:-1]
+            cuts = [0, *np.flatnonzero(fresh).tolist(), len(hub)]
+            starts = np.array(cuts[:-1])
+            names_at = zip(*(c[starts].tolist() for c in (hub, cell, key_group, chunk)), strict=True)
+            turns = turn[starts].tolist()
+            for start, end, name, later in zip(cuts[:-1], cuts[1:], names_at, turns, strict=True):
+                if name != group:
+                    if members and held is None:
+                        hold()
+                    group, members, held = name, [], None
+                rows = (c1[start:end], part[start:end], n[start:end])
+                sketched = _Sketches(words, offsets[start : end + 1])
+                if not later:
+                    members.append((*rows, main[start:end], sketched))
+                elif members:  # else a chunk that got no member of its own
+                    if held is None:
+                        held = hold()
+                    widths = np.minimum(sketched.sizes, held[3].shape[1])
+                    for width in np.unique(widths).tolist():
+                        at = np.flatnonzero(widths == width)
+                        asking = (*(c[at] for c in rows), sketched.folded(width, at))
+                        ask(asking, (*held[:3], _folded(held[3], width)))
+            compare()
+            if count > HELD_PAIRS:
+                yield _paired(found)
+                found, count = [], 0
+        if members and held is None:
+            hold()
+            compare()
+        if found:
+            yield _paired(found)
 
     return (
         open_rows(open_, classes)
@@ -695,15 +824,106 @@ def open_pairs(open_: DataFrame, classes: DataFrame, limit: int) -> DataFrame:
 
 
 def _folded(words: np.ndarray, size: int) -> np.ndarray:
-    """A sketch folded to ``size`` words by the XOR of its halves."""
-    while len(words) > size:
-        half = len(words) // 2
-        words = words[:half] ^ words[half:]
+    """Sketches (rows of a matrix) folded to ``size`` words by the XOR of their halves."""
+    while words.shape[-1] > size:
+        half = words.shape[-1] // 2
+        words = words[..., :half] ^ words[..., half:]
     return words
 
 
+class _Sketches:
+    """Sketches of several sizes, one after another."""
+
+    def __init__(self, words: np.ndarray, offsets: np.ndarray):
+        self.words, self.offsets, self.sizes = words, offsets, np.diff(offsets)
+
+    def folded(self, size: int, of: np.ndarray | None = None) -> np.ndarray:
+        """The sketches (only those at ``of``) as a matrix of ``size`` words a row."""
+        if of is None:
+            if len(self.sizes) * size == self.offsets[-1] - self.offsets[0]:  # none is larger
+                return self.words[self.offsets[0] : self.offsets[-1]].reshape(-1, size)
+            of = np.arange(len(self.sizes))
+        out = np.zeros((len(of), size), self.words.dtype)
+        for width in np.unique(self.sizes[of]).tolist():
+            same = self.sizes[of] == width
+            at = self.offsets[of[same]][:, None] + np.arange(width)
+            out[same] = _folded(self.words[at], size)
+        return out
+
+
+def _nearest(jobs: list[tuple], limit: int) -> tuple:
+    """Pairs (a, b) of the rows of each job with the ``limit`` nearest of those it is compared with,
+    in another component and near enough to be linked; then places among these pairs and the key
+    groups in which a row had more, each job's once.
+
+    A job: key group, rows and others, both as columns c1, part, n and a matrix of sketches. All
+    sketches have one size.
+    """
+    kept, of = THRESHOLD
+    groups = np.array([job[0] for job in jobs], "int64")
+    asked = np.array([len(job[1][0]) for job in jobs])
+    others = np.array([len(job[2][0]) for job in jobs])
+
+    def column(side: int, i: int) -> np.ndarray:
+        return jobs[0][side][i] if len(jobs) == 1 else np.concatenate([job[side][i] for job in jobs])
+
+    (c1, part, n, words), (c2, part2, n2, words2) = ([column(s, i) for i in range(4)] for s in (1, 2))
+    job = np.repeat(np.arange(len(jobs)), asked)
+    begin = _bounds(others[job])
+    i = np.repeat(np.arange(len(job)), others[job])
+    j = np.arange(begin[-1]) + (_bounds(others)[job] - begin[:-1])[i]
+    least, most = np.minimum(n[i], n2[j]), np.maximum(n[i], n2[j])
+    may = (part[i] != part2[j]) & (least * of >= most * kept)
+    i, j, both = i[may], j[may], (least + most)[may]
+    # Unsigned, since the bits of a negative number are counted in its absolute value.
+    words, words2 = words.view("uint64"), words2.view("uint64")
+    if len(jobs) == 1 and 3 * len(i) > begin[-1]:  # most of them: without a copy for each
+        distance = np.bitwise_count(words[:, None] ^ words2).sum(axis=2, dtype="int64")[i, j]
+    else:
+        distance = np.bitwise_count(words[i] ^ words2[j]).sum(axis=1, dtype="int64")
+    near = distance * (of + kept) <= both * (of - kept)
+    i, j, distance = i[near], j[near], distance[near]
+    # Of equal distances the smallest number, so that many rows choose the same one.
+    order = np.lexsort((c2[j], distance, i))
+    i, j = i[order], j[order]
+    counts = np.bincount(i, minlength=len(job))
+    first = _bounds(counts)[:-1]
+    taken = np.arange(len(i)) - first[i] < limit
+    more = np.flatnonzero(counts > limit)
+    of_job, once = np.unique(job[more], return_index=True)
+    places = (_bounds(taken)[:-1])[first[more[once]]] if len(more) else more
+    i, j = i[taken], j[taken]
+    return np.minimum(c1[i], c2[j]), np.maximum(c1[i], c2[j]), places, groups[of_job]
+
+
+def _paired(found: list[tuple]) -> pa.RecordBatch:
+    """The results of ``_nearest``, each pair once with the key groups noted at it."""
+    a, b = (np.concatenate([x[i] for x in found]) for i in (0, 1))
+    shift = _bounds([len(x[0]) for x in found])[:-1]
+    at = np.concatenate([x[2] + begin for x, begin in zip(found, shift, strict=True)])
+    groups = np.concatenate([x[3] for x in found])
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    fresh = np.ones(len(a), bool)
+    fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    pair = np.zeros(len(a), "int64")
+    pair[order] = np.cumsum(fresh) - 1
+    pair = pair[at]
+    offsets = _bounds(np.bincount(pair, minlength=int(fresh.sum()))).astype("int32")
+    noted = groups[np.argsort(pair, kind="stable")]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(a[fresh]),
+            pa.array(b[fresh]),
+            pa.ListArray.from_arrays(pa.array(offsets), pa.array(noted)),
+        ],
+        names=["a", "b", "more"],
+    )
+
+
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
-    """The pairs (a, b) whose sets qualify. Set a meets its partners in blocks, streamed.
+    """The pairs (a, b) whose sets qualify (some may be repeated). Set a meets its partners in
+    blocks, streamed.
 
     Only the sets of classes that are in a pair are worked out again from their texts.
     """
@@ -717,8 +937,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int)
         "a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("block")
     )
     heads = (
-        dealt.select("a", "block")
-        .distinct()
+        partners_of.select("a", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"))
         .join(sets.withColumnRenamed("c1", "a"), "a")
         .select("a", "block", F.lit(0).alias("turn"), F.lit(0).cast("long").alias("b"), "shingles")
     )
@@ -750,7 +969,6 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int)
         .repartition("a", "block")
         .sortWithinPartitions("a", "block", "turn")
         .mapInArrow(run, "a long, b long")
-        .distinct()
     )
 
 
@@ -826,33 +1044,40 @@ def linked_rows(docs: DataFrame, words: int = WORDS) -> DataFrame:
     # Then, where a key's classes are in several components, each class outside the largest one with
     # its nearest in the others, with more of them each round, until no class has others. Components
     # only grow, so a key whose classes had no others needs no further round.
-    tried, limit = star, 1
+    tried, limit, grown = star, 1, True
     while True:
-        labelled = written(_rooted(groups, roots, "part"), "key-parts")
-        mixed = (
-            labelled.groupBy("key_group")
-            .agg(F.min("part").alias("least"), F.max("part").alias("most"))
-            .where("least <> most")
-            .select("key_group")
-        )
-        # What is whole by now stays so.
-        groups = written(
-            labelled.join(mixed, "key_group", "left_semi"), f"open-groups-{limit}"
-        )
-        if not groups.limit(1).count():
-            break
+        if grown:
+            labelled = written(_rooted(groups, roots, "part"), "key-parts")
+            mixed = (
+                labelled.groupBy("key_group")
+                .agg(F.min("part").alias("least"), F.max("part").alias("most"))
+                .where("least <> most")
+                .select("key_group")
+            )
+            # What is whole by now stays so.
+            groups = written(
+                labelled.join(mixed, "key_group", "left_semi"), f"open-groups-{limit}"
+            )
+            if not groups.limit(1).count():
+                break
         nearest = written(open_pairs(groups, classes, limit), "open-pairs")
         rest = written(
             nearest.select("a", "b").join(tried.select("a", "b"), ["a", "b"], "left_anti"),
             "open-untried",
         )
+        grown = False
         if rest.limit(1).count():
-            links = links.union(written(verified(rest, docs, classes, words), "open-links"))
+            new = written(verified(rest, docs, classes, words), "open-links")
+            grown = bool(new.limit(1).count())
+        if grown:
+            links = links.union(new)
             roots = components(links)
         unfinished = nearest.select(F.explode("more").alias("key_group"))
         if not unfinished.limit(1).count():
             break
-        groups = groups.drop("part").join(unfinished, "key_group", "left_semi")
+        groups = groups.join(unfinished, "key_group", "left_semi")
+        # Without new links the components, and so the parts, are as they were.
+        groups = groups.drop("part") if grown else written(groups, f"open-groups-{limit}")
         tried, limit = tried.union(rest), limit * MORE
 
     rooted = _rooted(classes.select("c1", "c2", "doc_id"), roots, "part")

@@ -270,3 +270,94 @@ def test_only_keys_whose_classes_had_others_get_a_further_round(spark, monkeypat
     for (_, more), (groups, _) in zip(rounds, rounds[1:]):
         assert groups <= more
     assert len(rounds[1][0]) <= len(rounds[0][0]) - 100
+
+
+def test_sets_and_keys_of_many_texts_are_worked_out_together(monkeypatch):
+    rng = random.Random(11)
+    values = [None, "", " \n", "one", "One two", "a\x0bb c d e"] + [
+        " ".join(rng.choices(["a", "B", "é", "dd", "\U0001f600", "x"], k=rng.choice([3, 5, 40, 700])))
+        for _ in range(300)
+    ]
+    values += values[40:50]
+    seen = []
+    plain = nj.mix
+    monkeypatch.setattr(nj, "mix", lambda *args: seen.append(1) or plain(*args))
+    blocks = list(nj._text_blocks(values))
+    assert [text for block in blocks for text in block] == values
+    frequent = nj.Frequent(nj.part_keys(nj.shingles(values[-1]))[::3])
+    seen.clear()
+    found, bounds = nj.shingle_sets(values)
+    numbers = nj.numbers_of(found, bounds)
+    flat, ends = nj.sketches_of(found, bounds)
+    keys, key_ends = nj.keys_of(found, bounds)
+    assert len(seen) < 20  # not some for each text
+    first, first_ends = nj.keys_of(found, bounds, frequent)
+    for i, text in enumerate(values):
+        own = found[bounds[i] : bounds[i + 1]]
+        assert len(own) == len(shingle_set(text)) and (np.diff(own.view("uint64")) > 0).all()
+        assert np.array_equal(own, nj.shingles(text))
+        if len(own):
+            assert tuple(numbers[:, i].tolist()) == nj.set_numbers(own)
+            assert np.array_equal(flat[ends[i] : ends[i + 1]], nj.sketch(own))
+        else:
+            assert not numbers[:, i].any() and ends[i] == ends[i + 1]
+        for got, at, chosen in ((keys, key_ends, None), (first, first_ends, frequent)):
+            want = nj.part_keys(own, chosen)
+            assert np.array_equal(np.sort(got[at[i] : at[i + 1]]), np.sort(want))
+    # A bound on what is held at once does not change the keys.
+    monkeypatch.setattr(nj, "TOGETHER", 100)
+    assert np.array_equal(nj.keys_of(found, bounds, frequent)[0], first)
+
+
+def test_nearest_of_many_groups_are_compared_together():
+    rng = random.Random(12)
+    base = np.array([rng.getrandbits(64) for _ in range(200)], "uint64")
+    jobs, want, more = [], set(), set()
+    for group in range(60):
+        size = rng.choice([2, 3, 9])
+        sets = [
+            np.unique(np.append(base[rng.randrange(30) :], [np.uint64(group), np.uint64(1000 + k)]))
+            for k in range(size)
+        ]
+        c1 = np.array(rng.sample(range(group * 100, group * 100 + 100), size))
+        part = np.array([rng.randrange(3) for _ in range(size)])
+        n = np.array([len(x) for x in sets])
+        rows = (c1, part, n, np.stack([nj.sketch(x) for x in sets]))
+        asking = np.flatnonzero(part > 0)
+        jobs.append((group, tuple(c[asking] for c in rows), rows))
+        for i in asking:
+            near = []
+            for j in range(size):
+                differ = (rows[3][i] ^ rows[3][j]).view("uint64")
+                distance = int(np.bitwise_count(differ).sum())
+                small, large = sorted((int(n[i]), int(n[j])))
+                if part[i] != part[j] and 4 * small >= 3 * large and 7 * distance <= small + large:
+                    near.append((distance, int(c1[j])))
+            want |= {(min(c, int(c1[i])), max(c, int(c1[i]))) for _, c in sorted(near)[:2]}
+            more |= {group} if len(near) > 2 else set()
+    batch = nj._paired([nj._nearest(jobs[:35], 2), nj._nearest(jobs[35:], 2)])
+    rows = batch.to_pylist()
+    got = [(r["a"], r["b"]) for r in rows]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 60
+    # A group is noted once, at a pair of its own.
+    noted = [(g, r["a"] // 100) for r in rows for g in r["more"]]
+    assert all(g == of for g, of in noted) and more
+    assert sorted(g for g, _ in noted) == sorted(more)
+
+
+def test_components_are_worked_out_anew_only_after_new_links(spark, monkeypatch):
+    values = []
+    for i in range(10):  # any two differ by just more than the threshold
+        words = [f"b{j}" for j in range(150)]
+        for at in (0, 5 + 14 * i, 12 + 14 * i):
+            words[at] = f"v{i}x{at}"
+        values.append(" ".join(words))
+    calls = []
+    for name in ("verified", "components"):
+        plain = getattr(nj, name)
+        monkeypatch.setattr(
+            nj, name, lambda *args, n=name, f=plain: calls.append(n) or f(*args)
+        )
+    got = run(texts(spark, values))
+    assert {i: c for i, (_, c) in got.items()} == {i: i for i in range(10)}
+    assert calls.count("verified") > 1 and calls.count("components") == 1
